@@ -96,10 +96,25 @@ def compare(spark, con, name, fn, sql, sf_dir):
         only_d = list((drows - srows).elements())[:3]
         res.update(ok=False, note=f"values differ; cols={scols}\n  spark-only {only_s}\n  oracle-only {only_d}")
         return res
-    res.update(ok=True)
+    stypes = {f.name: _family(f.type) for f in spdf.schema}
+    dtypes = {f.name: _family(f.type) for f in dpdf.schema}
+    diff = {c: (stypes[c], dtypes[c]) for c in scols if stypes[c] != dtypes[c]}
+    res.update(ok=True, note=f"TYPES {diff}" if diff else "")
     return res
 
 
+def _family(t):
+    import pyarrow as pa
+
+    if pa.types.is_large_string(t) or pa.types.is_string(t):
+        return "string"
+    if pa.types.is_timestamp(t):
+        return "timestamp"
+    if pa.types.is_null(t):
+        return "null"
+    return str(t)
+
+
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in argv[1:] if not a.startswith("/")]
