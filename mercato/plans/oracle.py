@@ -187,15 +187,21 @@ SELECT rain_category, COUNT(order_id) AS total_orders,
 FROM stg WHERE rain_category IS NOT NULL GROUP BY rain_category""",
 }
 
-
-def with_ctes(select: str) -> str:
-    body = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in _CTES.items())
-    return f"WITH {body}\n{select}"
-
-
 OFULL_OUT = """order_id, customer_id, order_status, order_purchase_timestamp,
        order_delivered_customer_date, order_estimated_delivery_date, purchase_date, delivery_date,
        estimated_date, delivery_days, was_late, year, month, customer_state, customer_city,
        CAST(total_payment AS DOUBLE) AS total_payment, payment_count, item_count,
        CAST(items_total AS DOUBLE) AS items_total, CAST(freight_total AS DOUBLE) AS freight_total,
        temp_max, precipitation, rain_category"""
+
+_CTES["ofull_out"] = f"SELECT {OFULL_OUT} FROM ofull"
+_CTES["stg_weather_v"] = f"""
+SELECT DISTINCT purchase_date AS weather_date, temp_max, precipitation, rain_category,
+       {TEMP('temp_max')} AS temp_category
+FROM ofull WHERE purchase_date IS NOT NULL"""
+
+
+def with_ctes(select: str) -> str:
+    body = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in _CTES.items())
+    return f"WITH {body}\n{select}"
+

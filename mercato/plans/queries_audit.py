@@ -1 +1,279 @@
-"""Registered queries (filled in below)."""
+"""Profiling, audit and data-quality queries."""
+
+from __future__ import annotations
+
+from mercato.operators import enrich, marts, profile, quality
+from mercato.plans.oracle import R, with_ctes
+from mercato.plans.queries_core import ofull, out, stg
+from mercato.plans.registry import query
+from mercato.sources import fixtures
+
+# Expected output schema of the registered orders_full query (Spark type names).
+ORDERS_FULL_TYPES = [
+    ("order_id", "bigint"), ("customer_id", "bigint"), ("order_status", "string"),
+    ("order_purchase_timestamp", "timestamp_ntz"), ("order_delivered_customer_date", "timestamp_ntz"),
+    ("order_estimated_delivery_date", "timestamp_ntz"), ("purchase_date", "date"), ("delivery_date", "date"),
+    ("estimated_date", "date"), ("delivery_days", "int"), ("was_late", "int"), ("year", "int"),
+    ("month", "int"), ("customer_state", "string"), ("customer_city", "string"),
+    ("total_payment", "double"), ("payment_count", "bigint"), ("item_count", "bigint"),
+    ("items_total", "double"), ("freight_total", "double"), ("temp_max", "double"),
+    ("precipitation", "double"), ("rain_category", "string"),
+]
+NUMERIC_SPARK = {"bigint", "int", "double", "smallint", "tinyint", "float"}
+
+# Numeric columns of the driver's raw tables (for the cross-table audits).
+RAW_NUMERIC = {
+    "region": ["r_regionkey"],
+    "nation": ["n_nationkey", "n_regionkey"],
+    "customer": ["c_custkey", "c_nationkey", "c_acctbal"],
+    "supplier": ["s_suppkey", "s_nationkey", "s_acctbal"],
+    "part": ["p_partkey", "p_size", "p_retailprice"],
+    "orders": ["o_orderkey", "o_custkey", "o_totalprice"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax"],
+    "events": ["event_id", "user_id", "value"],
+    "documents": ["doc_id", "n_chars"],
+    "embeddings": ["vec_id", "label"],
+    "pages": ["page_id"],
+    "benchmark": ["item_id"],
+    "labels": ["doc_id", "quality", "toxic"],
+    "conversations": ["conv_id", "turn"],
+}
+RAW_TABLES = list(RAW_NUMERIC)
+
+# Numeric columns of the four loaded tables.
+LOADED_NUMERIC = {
+    "orders_full": [c for c, t in ORDERS_FULL_TYPES if t in NUMERIC_SPARK],
+    "monthly_revenue": ["year", "month", "total_orders", "total_revenue", "avg_order_value",
+                        "avg_delivery_days", "late_deliveries"],
+    "revenue_by_state": ["total_orders", "total_revenue", "avg_order_value", "avg_delivery_days"],
+    "weather_impact": ["total_orders", "avg_order_value"],
+}
+LOADED_CTE = {"orders_full": "ofull_out", "monthly_revenue": "etl_monthly",
+              "revenue_by_state": "etl_state", "weather_impact": "etl_weather"}
+
+
+def _dsum(col: str) -> str:
+    return f"COALESCE(SUM(CAST({col} AS DECIMAL(38,6))), 0)"
+
+
+def loaded_tables(spark, sf):
+    full = ofull(spark, sf)
+    return {
+        "orders_full": out(full),
+        "monthly_revenue": marts.monthly_revenue(full),
+        "revenue_by_state": marts.revenue_by_state(full),
+        "weather_impact": marts.weather_impact(full),
+    }
+
+
+def raw_tables(spark, sf):
+    return {t: fixtures.read_table(spark, sf, t) for t in RAW_TABLES}
+
+
+def dq_tables(spark, sf):
+    full = ofull(spark, sf)
+    s = enrich.stg_orders(full)
+    return {
+        "orders_full": full,
+        "stg_orders": s,
+        "stg_weather": enrich.stg_weather(full),
+        "monthly_revenue": marts.monthly_revenue_mart(s),
+        "revenue_by_state": marts.revenue_by_state_mart(s),
+        "weather_impact": marts.weather_impact_mart(s),
+    }
+
+
+DQ_CTE = {"orders_full": "ofull", "stg_orders": "stg", "stg_weather": "stg_weather_v",
+          "monthly_revenue": "mart_monthly", "revenue_by_state": "mart_state", "weather_impact": "mart_weather"}
+
+# ------------------------------------------------------------------ §2.10 profiling
+
+
+def _profile_sql():
+    parts = []
+    for i, (c, t) in enumerate(ORDERS_FULL_TYPES):
+        miss = f"{c} IS NULL" + (f" OR isnan({c})" if t == "double" else "")
+        parts.append(
+            f"SELECT {i + 1} AS position, '{c}' AS column_name, '{t}' AS data_type, "
+            f"CAST(COUNT_IF({miss}) AS BIGINT) AS null_count, "
+            f"{R(f'CAST(COUNT_IF({miss}) AS DOUBLE) * 100.0 / NULLIF(COUNT(*), 0)', 1)} AS null_pct, "
+            f"COUNT(*) AS n_rows, {len(ORDERS_FULL_TYPES)} AS n_cols FROM ofull_out"
+        )
+    return with_ctes("\nUNION ALL\n".join(parts))
+
+
+@query("table_profile", _profile_sql())
+def q_table_profile(spark, sf):
+    return profile.table_profile(out(ofull(spark, sf)))
+
+
+@query(
+    "numeric_sums",
+    with_ctes("\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, CAST({_dsum(c)} AS DOUBLE) AS total FROM ofull_out"
+        for c in LOADED_NUMERIC["orders_full"]
+    )),
+)
+def q_numeric_sums(spark, sf):
+    return profile.numeric_sums(out(ofull(spark, sf)))
+
+
+def _per_table_sums(tables: dict, cte_of, label: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS {label}, {_dsum(c)} AS total FROM {cte_of(t)}"
+        for t, cols in tables.items() for c in cols
+    )
+
+
+@query(
+    "grand_numeric_totals",
+    with_ctes(
+        "SELECT column_name, CAST(SUM(total) AS DOUBLE) AS grand_total, COUNT(*) AS n_tables FROM ("
+        + _per_table_sums(LOADED_NUMERIC, LOADED_CTE.get, "table_name")
+        + ") p GROUP BY column_name"
+    ),
+)
+def q_grand_numeric_totals(spark, sf):
+    return profile.grand_numeric_totals(loaded_tables(spark, sf))
+
+
+_RAW_SUMS = _per_table_sums(RAW_NUMERIC, lambda t: t, "source")
+
+
+@query(
+    "cross_file_totals",
+    "SELECT column_name, source, CAST(total AS DOUBLE) AS total FROM (" + _RAW_SUMS + ") p\n"
+    "UNION ALL\nSELECT column_name, NULL AS source, CAST(SUM(total) AS DOUBLE) AS total FROM ("
+    + _RAW_SUMS + ") q GROUP BY column_name",
+)
+def q_cross_file_totals(spark, sf):
+    return profile.cross_file_totals(raw_tables(spark, sf))
+
+
+@query(
+    "row_counts",
+    "SELECT table_name, n_rows FROM (" + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM {t}" for t in RAW_TABLES
+    ) + ") p\nUNION ALL\nSELECT NULL, CAST(" + " + ".join(f"(SELECT COUNT(*) FROM {t})" for t in RAW_TABLES)
+    + " AS BIGINT)",
+)
+def q_row_counts(spark, sf):
+    return profile.row_counts(raw_tables(spark, sf))
+
+
+@query(
+    "describe_schema",
+    "SELECT CAST(ordinal_position AS INTEGER) AS position, column_name, "
+    "CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
+    "WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date' "
+    "WHEN 'FLOAT' THEN 'float' ELSE lower(data_type) END AS data_type, is_nullable = 'YES' AS nullable "
+    "FROM information_schema.columns WHERE table_name = 'lineitem'",
+)
+def q_describe_schema(spark, sf):
+    return profile.describe_schema(fixtures.read_table(spark, sf, "lineitem"))
+
+
+@query("sample_rows", "SELECT * FROM customer ORDER BY c_custkey LIMIT 3")
+def q_sample_rows(spark, sf):
+    return profile.sample_rows(fixtures.read_table(spark, sf, "customer"), 3, "c_custkey")
+
+
+# ------------------------------------------------------------------ §2.11 data quality
+
+_V = "CAST({k} AS VARCHAR) AS row_key"
+
+
+@query(
+    "dq_not_null",
+    with_ctes("\nUNION ALL\n".join(
+        f"SELECT 'not_null' AS \"check\", '{t}' AS table_name, '{c}' AS column_name, "
+        f"{_V.format(k=k)}, CAST(NULL AS VARCHAR) AS bad_value FROM {DQ_CTE[t]} WHERE {c} IS NULL"
+        for t, k, c in quality.NOT_NULL_CHECKS
+    )),
+)
+def q_dq_not_null(spark, sf):
+    return quality.dq_not_null(dq_tables(spark, sf))
+
+
+@query(
+    "dq_unique",
+    with_ctes("\nUNION ALL\n".join(
+        f"SELECT 'unique' AS \"check\", '{t}' AS table_name, '{c}' AS column_name, "
+        f"{_V.format(k=c)}, CAST(COUNT(*) AS VARCHAR) AS bad_value FROM {DQ_CTE[t]} "
+        f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1"
+        for t, c in quality.UNIQUE_CHECKS
+    )),
+)
+def q_dq_unique(spark, sf):
+    return quality.dq_unique(dq_tables(spark, sf))
+
+
+def _accepted_sql(values):
+    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+
+
+@query(
+    "dq_accepted_values",
+    with_ctes("\nUNION ALL\n".join(
+        f"SELECT 'accepted_values' AS \"check\", '{t}' AS table_name, '{c}' AS column_name, "
+        f"{_V.format(k=k)}, CAST({c} AS VARCHAR) AS bad_value FROM {DQ_CTE[t]} "
+        f"WHERE {c} IS NOT NULL AND {c} NOT IN ({_accepted_sql(v)})"
+        for t, k, c, v in quality.ACCEPTED_VALUES_CHECKS
+    )),
+)
+def q_dq_accepted_values(spark, sf):
+    return quality.dq_accepted_values(dq_tables(spark, sf))
+
+
+@query("dq_positive_revenue", with_ctes("SELECT period, total_revenue FROM mart_monthly WHERE total_revenue <= 0"))
+def q_dq_positive_revenue(spark, sf):
+    return quality.dq_positive_revenue(marts.monthly_revenue_mart(stg(spark, sf)))
+
+
+@query(
+    "dq_late_rate_range",
+    with_ctes("SELECT customer_state, late_rate_pct FROM mart_state WHERE late_rate_pct < 0 OR late_rate_pct > 50"),
+)
+def q_dq_late_rate_range(spark, sf):
+    return quality.dq_late_rate_range(marts.revenue_by_state_mart(stg(spark, sf)))
+
+
+TOP_STATE = "0"
+
+
+@query(
+    "dq_top_state",
+    with_ctes(
+        f"SELECT customer_state, revenue_rank FROM mart_state WHERE customer_state = '{TOP_STATE}' "
+        "AND revenue_rank != 1"
+    ),
+)
+def q_dq_top_state(spark, sf):
+    return quality.dq_top_state(marts.revenue_by_state_mart(stg(spark, sf)), TOP_STATE)
+
+
+@query(
+    "dq_row_counts",
+    with_ctes(
+        "SELECT table_name, has_rows FROM (" + "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS table_name, COUNT(*) AS has_rows FROM (SELECT 1 FROM {cte} LIMIT 1) x"
+            for t, cte in LOADED_CTE.items()
+        ) + ") p WHERE has_rows = 0"
+    ),
+)
+def q_dq_row_counts(spark, sf):
+    return quality.dq_row_counts(loaded_tables(spark, sf))
+
+
+@query(
+    "dq_null_counts",
+    with_ctes(
+        "SELECT column_name, null_count FROM (" + "\nUNION ALL\n".join(
+            f"SELECT '{alias}' AS column_name, CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS null_count FROM ofull"
+            for c, alias in quality.NULL_COUNT_COLUMNS
+        ) + ") p WHERE null_count > 0"
+    ),
+)
+def q_dq_null_counts(spark, sf):
+    return quality.dq_null_counts(ofull(spark, sf))
