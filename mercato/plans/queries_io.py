@@ -1 +1,141 @@
-"""Registered queries (filled in below)."""
+"""Source / sink round trips.
+
+Each query writes data Spark derives from the given tables to a fresh folder
+under the shared checkpoint folder, reads it back with an explicit schema and
+returns the read-back table, which the oracle checks against SQL on the
+original tables.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+from pyspark import StorageLevel
+
+from mercato.operators import enrich, marts, report
+from mercato.plans.oracle import with_ctes
+from mercato.plans.queries_core import STG_OUT, ofull, out, src, stg
+from mercato.plans.registry import query
+from mercato.plans.session import scratch_path
+from mercato.sources import io, schemas
+
+
+@query("scan_csv", with_ctes("SELECT * FROM src_payments"))
+def q_scan_csv(spark, sf):
+    path = scratch_path(spark, "payments-csv")
+    io.write_csv(src(spark, sf).payments, path)
+    return io.read_csv(spark, path, schemas.PAYMENTS)
+
+
+@query("scan_csv_dates", with_ctes("SELECT * FROM src_orders"))
+def q_scan_csv_dates(spark, sf):
+    path = scratch_path(spark, "orders-csv")
+    io.write_csv(src(spark, sf).orders, path)
+    return io.read_csv(spark, path, schemas.ORDERS)
+
+
+@query("csv_to_parquet", with_ctes("SELECT * FROM src_orders"))
+def q_csv_to_parquet(spark, sf):
+    csv_path = scratch_path(spark, "orders-text")
+    io.write_csv(src(spark, sf).orders, csv_path)
+    return io.csv_to_parquet(spark, csv_path, scratch_path(spark, "orders-parquet"))
+
+
+@query("scan_weather_json", with_ctes('SELECT "date", temp_max, precipitation FROM src_weather'))
+def q_scan_weather_json(spark, sf):
+    path = scratch_path(spark, "weather-json")
+    io.write_weather_json(src(spark, sf).weather, path)
+    return io.read_weather_json(spark, path)
+
+
+@query("sink_csv", with_ctes('SELECT "date", temp_max, precipitation FROM src_weather'))
+def q_sink_csv(spark, sf):
+    path = scratch_path(spark, "weather-csv")
+    io.write_csv(enrich.clean_weather(src(spark, sf).weather), path)
+    return io.read_csv(spark, path, schemas.WEATHER)
+
+
+@query("scan_parquet", with_ctes("SELECT * FROM ofull_out"))
+def q_scan_parquet(spark, sf):
+    path = scratch_path(spark, "orders-full")
+    io.write_parquet(out(ofull(spark, sf)), path)
+    return io.read_parquet(spark, path + "/*.parquet")
+
+
+@query("sink_parquet", with_ctes("SELECT * FROM ofull_out"))
+def q_sink_parquet(spark, sf):
+    """orders_full partitioned by year/month, spread over up to 4 files each."""
+    path = scratch_path(spark, "orders-full-part")
+    io.write_parquet(out(ofull(spark, sf)), path, ["year", "month"], spread_key="order_id", files_per_partition=4)
+    return io.read_parquet(spark, path)
+
+
+LOADED = ("orders_full", "monthly_revenue", "revenue_by_state", "weather_impact")
+
+
+@query(
+    "sink_table",
+    with_ctes(
+        "SELECT 'orders_full' AS table_name, COUNT(*) AS n_rows FROM ofull UNION ALL "
+        "SELECT 'monthly_revenue', COUNT(*) FROM etl_monthly UNION ALL "
+        "SELECT 'revenue_by_state', COUNT(*) FROM etl_state UNION ALL "
+        "SELECT 'weather_impact', COUNT(*) FROM etl_weather"
+    ),
+)
+def q_sink_table(spark, sf):
+    """Load the four tables into a catalog database; report rows after load."""
+    db = f"mercato_load_{uuid.uuid4().hex[:8]}"
+    io.ensure_database(spark, db, scratch_path(spark, db))
+    full = ofull(spark, sf)
+    tables = {
+        "orders_full": out(full),
+        "monthly_revenue": marts.monthly_revenue(full),
+        "revenue_by_state": marts.revenue_by_state(full),
+        "weather_impact": marts.weather_impact(full),
+    }
+    counts = None
+    for name, df in tables.items():
+        io.save_table(df, f"{db}.{name}")
+        c = spark.table(f"{db}.{name}").agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table_name"), "n_rows"
+        )
+        counts = c if counts is None else counts.unionByName(c)
+    return counts
+
+
+@query("view_staging", with_ctes(f"SELECT {STG_OUT} FROM stg"))
+def q_view_staging(spark, sf):
+    return io.create_view(out(stg(spark, sf)), "stg_orders")
+
+
+@query("table_mart", with_ctes("SELECT * FROM mart_monthly"))
+def q_table_mart(spark, sf):
+    db = "marts"
+    io.ensure_database(spark, db, scratch_path(spark, "marts"))
+    name = f"{db}.monthly_revenue_{uuid.uuid4().hex[:8]}"
+    io.save_table(marts.monthly_revenue_mart(stg(spark, sf)), name)
+    return spark.table(name)
+
+
+@query("cache_frame", with_ctes("SELECT * FROM ofull_out"))
+def q_cache_frame(spark, sf):
+    """orders_full kept (memory, spilling to disk) for reuse by several marts;
+    lost blocks are recomputed from lineage."""
+    return out(ofull(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+REPORT_RUN_TIME = "1970-01-01T00:00:00"
+
+
+@query("sink_report_json")
+def q_sink_report_json(spark, sf):
+    """Nested JSON report written and read back (rows-only check; fields are
+    compared in tests/test_report.py)."""
+    full = ofull(spark, sf)
+    rep = report.build_report(
+        full, marts.revenue_by_state(full), marts.monthly_revenue(full), REPORT_RUN_TIME
+    )
+    path = scratch_path(spark, "report")
+    report.write_report_json(rep, path)
+    return spark.read.json(path)
