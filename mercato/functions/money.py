@@ -1,8 +1,11 @@
 """Exact money aggregates.
 
-Money is held as DECIMAL(18,2). Sums are exact (order-independent across any
-partitioning); averages divide the exact sum by the count once, in double,
-so results do not depend on how rows were split across tasks.
+Money columns are doubles holding exact-cent values. Aggregates convert each
+value to integer cents (``rint(x * 100)``, exact below 2**53 / 100), sum
+longs — exact and independent of how rows are split across tasks — and
+divide once at the end. Long arithmetic stays in generated code; DECIMAL
+sums above precision 18 fall back to per-row BigDecimal objects (about 4x
+slower in measurements here).
 """
 
 from __future__ import annotations
@@ -15,15 +18,25 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def cents(column) -> Column:
+    """Money (double) -> integer cents."""
+    return F.rint(_c(column) * F.lit(100.0)).cast("long")
+
+
+def from_cents(column) -> Column:
+    """Integer cents -> money double (the double nearest the exact value)."""
+    return _c(column).cast("double") / F.lit(100.0)
+
+
 def money_sum(column) -> Column:
     """Exact sum, returned as double. NULL when every value is NULL."""
-    return F.sum(_c(column)).cast("double")
+    return from_cents(F.sum(cents(column)))
 
 
 def money_avg(column) -> Column:
     """Exact sum / count of non-NULL values, as double."""
     c = _c(column)
-    return F.try_divide(F.sum(c).cast("double"), F.count(c))
+    return F.try_divide(money_sum(c), F.count(c))
 
 
 def avg_exact(column) -> Column:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions import rules
+from mercato.functions.money import money_sum
 from mercato.sources.schemas import MONEY
 
 
@@ -58,7 +59,7 @@ def project_customers(customers: DataFrame) -> DataFrame:
 def payments_agg(payments: DataFrame) -> DataFrame:
     """Per order: exact total_payment and payment_count (partial + final agg)."""
     return payments.groupBy("order_id").agg(
-        F.sum("payment_value").cast(MONEY).alias("total_payment"),
+        money_sum("payment_value").alias("total_payment"),
         F.count("payment_sequential").alias("payment_count"),
     )
 
@@ -67,8 +68,8 @@ def items_agg(order_items: DataFrame) -> DataFrame:
     """Per order: item_count, items_total, freight_total."""
     return order_items.groupBy("order_id").agg(
         F.count("order_item_id").alias("item_count"),
-        F.sum("price").cast(MONEY).alias("items_total"),
-        F.sum("freight_value").cast(MONEY).alias("freight_total"),
+        money_sum("price").alias("items_total"),
+        money_sum("freight_value").alias("freight_total"),
     )
 
 
@@ -138,7 +139,8 @@ MONEY_COLUMNS = ("total_payment", "items_total", "freight_total")
 
 
 def money_as_double(df: DataFrame, columns=MONEY_COLUMNS) -> DataFrame:
-    """Cast exact money columns to double for output."""
+    """Money columns as double (they already are; kept for callers that
+    pass frames with DECIMAL money)."""
     return df.withColumns({c: F.col(c).cast("double") for c in columns if c in df.columns})
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercato.functions import rules
+from mercato.functions.money import cents, from_cents, money_sum
 
 ORDER_SUBSET_COLUMNS = [
     "order_id", "purchase_date", "total_payment", "delivery_days", "was_late",
@@ -75,7 +76,7 @@ def state_revenue_share(state_table: DataFrame, top: int = 8, label_col: str = "
     top_rows = ranked.where(F.col("_rn") <= top).select("label", "total_revenue", F.col("_rn").alias("slot"))
     others = (
         ranked.where(F.col("_rn") > top)
-        .agg(F.sum(F.col("total_revenue").cast("decimal(38,2)")).cast("double").alias("total_revenue"))
+        .agg(money_sum("total_revenue").alias("total_revenue"))
         .select(
             F.lit(rules.OTHERS).alias("label"),
             F.coalesce("total_revenue", F.lit(0.0)).alias("total_revenue"),
@@ -83,9 +84,9 @@ def state_revenue_share(state_table: DataFrame, top: int = 8, label_col: str = "
         )
     )
     both = top_rows.unionByName(others)
-    total = F.sum(F.col("total_revenue").cast("decimal(38,2)")).over(Window.partitionBy(F.lit(1)))
+    total = from_cents(F.sum(cents("total_revenue")).over(Window.partitionBy(F.lit(1))))
     return both.withColumn(
-        "share_pct", F.round(F.try_divide(F.col("total_revenue") * F.lit(100.0), total.cast("double")), 2)
+        "share_pct", F.round(F.try_divide(F.col("total_revenue") * F.lit(100.0), total), 2)
     ).orderBy("slot")
 
 

@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions import rules
 from mercato.functions.median import exact_median
-from mercato.functions.money import avg_exact, money_avg, money_sum
-from mercato.sources.schemas import MONEY
+from mercato.functions.money import avg_exact, cents, money_avg, money_sum
 
 
 def _summary_aggs(days_scale: int = 1, with_late: bool = True):
@@ -75,7 +74,7 @@ def weather_impact(orders_full: DataFrame) -> DataFrame:
         .groupBy("rain_category")
         .agg(
             F.sum("total_orders").alias("total_orders"),
-            F.round(money_avg(F.col("avg_order_value").cast(MONEY)), 2).alias("avg_order_value"),
+            F.round(money_avg("avg_order_value"), 2).alias("avg_order_value"),
         )
     )
 
@@ -95,17 +94,13 @@ def weather_impact_weighted(orders_full: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------------ marts
 
 
-def _cents(col: str):
-    return (F.col(col) * 100).cast("long")
-
-
 def _median_by(stg: DataFrame, keys: Sequence[str], approx: bool) -> DataFrame:
     if approx:
         return stg.groupBy(*keys).agg(
-            (F.percentile_approx(_cents("total_payment"), 0.5, 10000) / 100.0).alias("_median")
+            (F.percentile_approx(cents("total_payment"), 0.5, 10000) / 100.0).alias("_median")
         )
-    cents = stg.select(*keys, _cents("total_payment").alias("_cents"))
-    return exact_median(cents, keys, "_cents", out="_median").withColumn(
+    values = stg.select(*keys, cents("total_payment").alias("_cents"))
+    return exact_median(values, keys, "_cents", out="_median").withColumn(
         "_median", F.col("_median") / 100.0
     )
 
@@ -156,9 +151,9 @@ def revenue_by_state_mart(stg: DataFrame, approx_median: bool = False) -> DataFr
     """State mart: + median, late rate, and RANK by the unrounded revenue."""
     keys = ["customer_state"]
     s = stg.where(F.col("customer_state").isNotNull())
-    agg = s.groupBy(*keys).agg(*_mart_aggs(), F.sum("total_payment").alias("_revenue_exact"))
+    agg = s.groupBy(*keys).agg(*_mart_aggs(), F.sum(cents("total_payment")).alias("_revenue_cents"))
     med = _median_by(s, keys, approx_median)
-    rank_w = Window.orderBy(F.desc("_revenue_exact"))  # one row per state: bounded
+    rank_w = Window.orderBy(F.desc("_revenue_cents"))  # one row per state: bounded
     return (
         _join_on_keys(agg, med, keys)
         .select(

@@ -21,7 +21,10 @@ from mercato.plans.session import scratch_path
 from mercato.sources import io, schemas
 
 
-@query("scan_csv", with_ctes("SELECT * FROM src_payments"))
+@query(
+    "scan_csv",
+    with_ctes("SELECT order_id, payment_sequential, CAST(payment_value AS DOUBLE) AS payment_value FROM src_payments"),
+)
 def q_scan_csv(spark, sf):
     path = scratch_path(spark, "payments-csv")
     io.write_csv(src(spark, sf).payments, path)

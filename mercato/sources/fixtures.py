@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.sources.schemas import MONEY
+from mercato.functions.money import cents, from_cents
 
 # Fixed values of the adapter (FIXTURES.md B).
 STATUS_BY_CODE = {"F": "delivered", "O": "shipped", "P": "processing"}
@@ -47,12 +47,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _money(c):
-    return c.cast(MONEY)
+def _price_cents():
+    return cents(F.col("l_extendedprice"))
 
 
-def _freight(li: DataFrame):
-    return (F.col("l_tax").cast("decimal(4,2)") * F.col("l_quantity").cast("decimal(6,0)")).cast(MONEY)
+def _freight_cents():
+    return cents(F.col("l_tax")) * F.col("l_quantity").cast("long")
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +96,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("payment_sequential"),
-        (_money(F.col("l_extendedprice")) + _freight(li)).cast(MONEY).alias("payment_value"),
+        from_cents(_price_cents() + _freight_cents()).alias("payment_value"),
     )
 
 
@@ -105,8 +105,8 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
-        _money(F.col("l_extendedprice")).alias("price"),
-        _freight(li).alias("freight_value"),
+        from_cents(_price_cents()).alias("price"),
+        from_cents(_freight_cents()).alias("freight_value"),
     )
 
 

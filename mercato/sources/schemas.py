@@ -2,7 +2,9 @@
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 2)
+# Money is a double holding an exact-cent value (x == cents / 100.0);
+# every sum, average and median goes through integer cents.
+MONEY = T.DoubleType()
 
 ORDERS = T.StructType([
     T.StructField("order_id", T.LongType()),
