@@ -1,16 +1,16 @@
 """Exact grouped median without sending a whole group to one task.
 
 ``percentile``/``median`` merge every distinct value of a group in one task;
-with one group holding a third of all rows that task holds a third of the
-distinct values. Here the work is split in two bounded steps:
+with one group holding a third of all rows, that task holds a third of the
+distinct values. Here the work is split into bounded steps:
 
-1. count rows per (group, value)          — partial aggregation, shuffled by
-                                             (group, value), so a hot group
-                                             spreads over many tasks;
-2. count per (group, value >> shift)       — coarse buckets; a running sum over
-                                             the buckets of a group (at most
-                                             range >> shift rows) finds the
-                                             bucket(s) holding the middle rank;
+1. count rows per (group, value)         — partial aggregation, shuffled by
+                                            (group, value), so a hot group
+                                            spreads over many tasks;
+2. count per (group, value >> shift)      — coarse buckets; a running sum over
+                                            the buckets of one group (at most
+                                            range >> shift rows) finds the
+                                            bucket(s) holding the middle ranks;
 3. running sum over the distinct values of only those buckets (at most
    2**shift rows per window partition) picks the middle value(s).
 
@@ -39,61 +39,47 @@ def exact_median(
     Group keys may be NULL (matched null-safely).
     """
     keys = list(keys)
-    v = F.col(value).cast("long")
     counts = (
         df.where(F.col(value).isNotNull())
-        .groupBy(*keys, v.alias("_v"))
+        .groupBy(*keys, F.col(value).cast("long").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
         .withColumn("_b", F.shiftright("_v", shift))
     )
 
-    by_group = Window.partitionBy(*keys)
+    # step 2: cumulative counts over the coarse buckets of each group
+    running = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*keys)
     coarse = (
         counts.groupBy(*keys, "_b")
         .agg(F.sum("_c").alias("_bc"))
-        .withColumn("_hi", F.sum("_bc").over(by_group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_n", F.sum("_bc").over(by_group))
-        .withColumn("_lo", F.col("_hi") - F.col("_bc"))
+        .withColumns({"_hi": F.sum("_bc").over(running), "_n": F.sum("_bc").over(whole)})
     )
-    # middle ranks: (n+1) div 2 and n div 2 + 1 (equal when n is odd)
+    # middle ranks (n+1) div 2 and n div 2 + 1 (equal when n is odd), as the
+    # rank inside the bucket that holds them
+    k = F.explode(F.array(F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1))
     targets = (
-        coarse.withColumn(
-            "_k",
-            F.explode(F.array(((F.col("_n") + 1) / 2).cast("long"), (F.col("_n") / 2).cast("long") + 1)),
-        )
-        .where((F.col("_lo") < F.col("_k")) & (F.col("_k") <= F.col("_hi")))
-        .select(*keys, "_b", (F.col("_k") - F.col("_lo")).alias("_kb"))
+        coarse.select(*keys, "_b", "_bc", "_hi", k.alias("_k"))
+        .where((F.col("_hi") - F.col("_bc") < F.col("_k")) & (F.col("_k") <= F.col("_hi")))
+        .select(*keys, "_b", (F.col("_k") - F.col("_hi") + F.col("_bc")).cast("long").alias("_kb"))
+        .distinct()  # odd counts: both middle ranks are the same row
     )
 
-    target_buckets = targets.select(*keys, "_b").distinct()
-    by_bucket = Window.partitionBy(*keys, "_b")
-    fine = (
-        _join_null_safe(counts, target_buckets, keys + ["_b"], "left_semi")
-        .withColumn("_hi2", F.sum("_c").over(by_bucket.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_lo2", F.col("_hi2") - F.col("_c"))
-    )
-    picked = _join_null_safe(
-        fine,
-        targets,
-        keys + ["_b"],
-        "inner",
-        extra=lambda l, r: (l["_lo2"] < r["_kb"]) & (r["_kb"] <= l["_hi2"]),
-    )
-    return picked.groupBy(*keys).agg(
-        (F.sum("_v").cast("double") / F.count(F.lit(1))).alias(out)
+    # step 3: only the target buckets' values, one window partition per
+    # (group, bucket, target rank)
+    fine_w = Window.partitionBy(*keys, "_b", "_kb").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    picked = (
+        _join_null_safe(counts, targets, keys + ["_b"])
+        .withColumn("_hi2", F.sum("_c").over(fine_w))
+        .where((F.col("_hi2") - F.col("_c") < F.col("_kb")) & (F.col("_kb") <= F.col("_hi2")))
     )
+    return picked.groupBy(*keys).agg((F.sum("_v").cast("double") / F.count(F.lit(1))).alias(out))
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys, how: str, extra=None) -> DataFrame:
-    """Equi-join on ``keys`` treating NULL = NULL, keeping left's key columns."""
+def _join_null_safe(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Inner equi-join on ``keys`` treating NULL = NULL, keeping left's keys."""
     r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
     cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[f"_r_{k}"])
+    for key in keys:
+        c = left[key].eqNullSafe(r[f"_r_{key}"])
         cond = c if cond is None else cond & c
-    if extra is not None:
-        cond = cond & extra(left, r)
-    joined = left.join(r, cond, how)
-    if how in ("left_semi", "left_anti"):
-        return joined
-    return joined.drop(*[f"_r_{k}" for k in keys])
+    return left.join(r, cond, "inner").drop(*[f"_r_{key}" for key in keys])

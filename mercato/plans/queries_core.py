@@ -10,12 +10,30 @@ from mercato.plans.registry import query
 from mercato.sources import fixtures
 
 
+# Source and orders_full plans per (session, data folder). DataFrames are
+# immutable lazy plans, so sharing them between queries only saves the
+# driver-side construction and analysis (about a second per query).
+_PLANS: dict = {}
+
+
+def _memo(kind, spark, sf, build):
+    key = (kind, id(spark._jsparkSession), sf)
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
+def refresh() -> None:
+    """Forget memoised plans (after the input files change)."""
+    _PLANS.clear()
+
+
 def src(spark, sf):
-    return fixtures.load_sources(spark, sf)
+    return _memo("src", spark, sf, lambda: fixtures.load_sources(spark, sf))
 
 
 def ofull(spark, sf):
-    return enrich.orders_full_from(src(spark, sf))
+    return _memo("ofull", spark, sf, lambda: enrich.orders_full_from(src(spark, sf)))
 
 
 def stg(spark, sf):

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercato.functions.money import cents, from_cents
 
@@ -43,8 +44,38 @@ class Sources:
     states: DataFrame
 
 
+def _schema(ddl: str) -> T.StructType:
+    return T._parse_datatype_string(ddl)
+
+
+# Schemas of the driver's tables. Reading with an explicit schema skips the
+# footer-reading job Spark otherwise runs for every parquet read.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(_schema(TABLE_SCHEMAS[name]))
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _price_cents():
@@ -55,9 +86,9 @@ def _freight_cents():
     return cents(F.col("l_tax")) * F.col("l_quantity").cast("long")
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders(spark: SparkSession, sf_dir: str, li: DataFrame | None = None) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
-    li = read_table(spark, sf_dir, "lineitem")
+    li = li if li is not None else read_table(spark, sf_dir, "lineitem")
     lead = li.groupBy("l_orderkey").agg(F.min("l_quantity").cast("int").alias("_lead_days"))
     status = (
         F.when(F.col("o_orderstatus") == "F", STATUS_BY_CODE["F"])
@@ -91,8 +122,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
+def payments(spark: SparkSession, sf_dir: str, li: DataFrame | None = None) -> DataFrame:
+    li = li if li is not None else read_table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("payment_sequential"),
@@ -100,8 +131,8 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
+def order_items(spark: SparkSession, sf_dir: str, li: DataFrame | None = None) -> DataFrame:
+    li = li if li is not None else read_table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
@@ -110,8 +141,8 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
+def weather(spark: SparkSession, sf_dir: str, li: DataFrame | None = None) -> DataFrame:
+    li = li if li is not None else read_table(spark, sf_dir, "lineitem")
     return (
         li.where(F.col("l_shipdate") >= F.lit(WEATHER_FROM).cast("timestamp_ntz"))
         .groupBy(F.to_date("l_shipdate").alias("date"))
@@ -133,11 +164,12 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_sources(spark: SparkSession, sf_dir: str) -> Sources:
+    li = read_table(spark, sf_dir, "lineitem")
     return Sources(
-        orders=orders(spark, sf_dir),
+        orders=orders(spark, sf_dir, li),
         customers=customers(spark, sf_dir),
-        payments=payments(spark, sf_dir),
-        order_items=order_items(spark, sf_dir),
-        weather=weather(spark, sf_dir),
+        payments=payments(spark, sf_dir, li),
+        order_items=order_items(spark, sf_dir, li),
+        weather=weather(spark, sf_dir, li),
         states=states(spark, sf_dir),
     )
