@@ -6,6 +6,7 @@ from mercato.operators import enrich, marts, profile, quality
 from mercato.plans.oracle import R, with_ctes
 from mercato.plans.queries_core import ofull, out, stg
 from mercato.plans.registry import query
+from mercato.plans.session import materialize
 from mercato.sources import fixtures
 
 # Expected output schema of the registered orders_full query (Spark type names).
@@ -58,7 +59,7 @@ def _dsum(col: str) -> str:
 
 
 def loaded_tables(spark, sf):
-    full = ofull(spark, sf)
+    full = materialize(ofull(spark, sf))
     return {
         "orders_full": out(full),
         "monthly_revenue": marts.monthly_revenue(full),
@@ -72,7 +73,7 @@ def raw_tables(spark, sf):
 
 
 def dq_tables(spark, sf):
-    full = ofull(spark, sf)
+    full = materialize(ofull(spark, sf))
     s = enrich.stg_orders(full)
     return {
         "orders_full": full,

@@ -17,7 +17,7 @@ from mercato.operators import enrich, marts, report
 from mercato.plans.oracle import with_ctes
 from mercato.plans.queries_core import STG_OUT, ofull, out, src, stg
 from mercato.plans.registry import query
-from mercato.plans.session import scratch_path
+from mercato.plans.session import materialize, scratch_path
 from mercato.sources import io, schemas
 
 
@@ -90,7 +90,7 @@ def q_sink_table(spark, sf):
     """Load the four tables into a catalog database; report rows after load."""
     db = f"mercato_load_{uuid.uuid4().hex[:8]}"
     io.ensure_database(spark, db, scratch_path(spark, db))
-    full = ofull(spark, sf)
+    full = materialize(ofull(spark, sf))
     tables = {
         "orders_full": out(full),
         "monthly_revenue": marts.monthly_revenue(full),

@@ -71,3 +71,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/mercato-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and return a frame that
+    reads it back (lineage cut: later failures do not recompute the inputs).
+    Use when several results are derived from one expensive frame."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
