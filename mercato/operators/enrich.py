@@ -2,19 +2,20 @@
 
 Join plan (all left outer, left row count preserved):
 
-    delivered orders ⟕ customers        on customer_id
-                     ⟕ payments_agg     on order_id   (pre-aggregated: 1 : ≤1)
+    delivered orders ⟕ payments_agg     on order_id   (pre-aggregated: 1 : ≤1)
                      ⟕ items_agg        on order_id   (pre-aggregated: 1 : ≤1)
+                     ⟕ customers        on customer_id
                      ⟕ weather          on purchase_date = date
 
-Payments and items are aggregated to order grain *before* the join so the
-join never fans out and the shuffle carries one row per order. Both
-aggregates come out hash-partitioned on order_id, so the two order_id joins
-reuse that partitioning (no extra exchange on their side). Weather is one row
-per day: the planner broadcasts it when its size statistic is under the
-broadcast threshold, and AQE converts the join at run time once the
-materialised side is measured; beyond the threshold it stays a shuffle join.
-Skewed customer_id keys are split by AQE's skew-join handling.
+Payments and items are aggregated to order grain *before* the join, so the
+join never fans out and each shuffle carries one row per order. Both
+aggregates come out hash-partitioned on order_id, and the two order_id joins
+run first, so they share one partitioning of the orders (no re-shuffle
+between them). Customers are joined next: broadcast when the planner's size
+statistic is under the threshold, otherwise a shuffle join whose skewed
+customer_id partitions AQE splits. Weather is one row per calendar day: it is
+materialised once, counted, and broadcast only under a row bound (see
+``plans.joins.bounded_broadcast``); beyond the bound it is a shuffle join.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions import rules
 from mercato.functions.money import money_sum
+from mercato.plans.joins import bounded_broadcast
 from mercato.sources.schemas import MONEY
 
 
@@ -93,9 +95,17 @@ def clean_weather(weather: DataFrame) -> DataFrame:
     )
 
 
-def join_weather(orders: DataFrame, weather: DataFrame) -> DataFrame:
-    """Left join on purchase_date = date; the weather key column is dropped."""
+WEATHER_MAX_BROADCAST_ROWS = 100_000  # ~270 years of days, a few MB
+
+
+def join_weather(orders: DataFrame, weather: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+    """Left join on purchase_date = date; the weather key column is dropped.
+
+    With ``max_broadcast_rows`` the weather table is materialised and counted
+    first, and broadcast only when within the bound."""
     w = clean_weather(weather)
+    if max_broadcast_rows is not None:
+        w, _ = bounded_broadcast(w, max_broadcast_rows)
     return orders.join(w, orders["purchase_date"] == w["date"], "left").drop(w["date"])
 
 
@@ -115,6 +125,7 @@ def orders_full(
     payments: DataFrame,
     order_items: DataFrame,
     weather: DataFrame,
+    weather_max_broadcast_rows: int | None = WEATHER_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """The enriched fact table: one row per delivered order.
 
@@ -122,10 +133,10 @@ def orders_full(
     the reference writes into this table).
     """
     df = clean_orders(orders)
-    df = join_customers(df, customers)
     df = join_payments(df, payments)
     df = join_items(df, order_items)
-    df = join_weather(df, weather)
+    df = join_customers(df, customers)
+    df = join_weather(df, weather, weather_max_broadcast_rows)
     df = df.withColumn("rain_category", rules.rain_category("precipitation", null_policy="no_rain"))
     return df.select(*ORDERS_FULL_COLUMNS)
 
