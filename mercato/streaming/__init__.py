@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference computes everything as bounded batches; its "daily" schedule
+exists only as prose, with no watermark, window, state or late-data logic.
+No streaming operators are defined here: the batch transforms in
+``mercato.operators`` are the complete surface.
+"""
