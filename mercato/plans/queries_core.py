@@ -17,7 +17,7 @@ _PLANS: dict = {}
 
 
 def _memo(kind, spark, sf, build):
-    key = (kind, id(spark._jsparkSession), sf)
+    key = (kind, id(getattr(spark, "_jsparkSession", None) or spark), sf)
     if key not in _PLANS:
         _PLANS[key] = build()
     return _PLANS[key]

@@ -48,10 +48,15 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
+    Read from the context's checkpoint dir or ``spark.checkpoint.dir``. Only
     when neither is set — a local test session — a folder is created here.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
+        sc = None
+    if sc is None:
+        return spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
     current = sc.getCheckpointDir()
     if current:
         return current
