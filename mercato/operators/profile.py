@@ -81,9 +81,18 @@ def _union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def union_table_totals(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, column_name, total): per-table numeric sums, unioned
+    (exact DECIMAL(38,6) totals; one partial aggregate per table)."""
+    return _union_all([
+        numeric_sums(df, exact=True).select(F.lit(name).alias("table_name"), "column_name", "total")
+        for name, df in tables.items()
+    ])
+
+
 def grand_numeric_totals(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(column_name, grand_total, n_tables): sums by column name across tables."""
-    per = _union_all([numeric_sums(df, exact=True).withColumn("table_name", F.lit(name)) for name, df in tables.items()])
+    per = union_table_totals(tables)
     return per.groupBy("column_name").agg(
         F.sum("total").cast("double").alias("grand_total"),
         F.count(F.lit(1)).alias("n_tables"),

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from mercato.operators import enrich, marts, profile, quality
 from mercato.plans.oracle import R, with_ctes
 from mercato.plans.queries_core import ofull, out, stg
 from mercato.plans.registry import query
-from mercato.plans.session import materialize
 from mercato.sources import fixtures
 
 # Expected output schema of the registered orders_full query (Spark type names).
@@ -59,7 +60,7 @@ def _dsum(col: str) -> str:
 
 
 def loaded_tables(spark, sf):
-    full = materialize(ofull(spark, sf))
+    full = ofull(spark, sf)
     return {
         "orders_full": out(full),
         "monthly_revenue": marts.monthly_revenue(full),
@@ -73,7 +74,7 @@ def raw_tables(spark, sf):
 
 
 def dq_tables(spark, sf):
-    full = materialize(ofull(spark, sf))
+    full = ofull(spark, sf)
     s = enrich.stg_orders(full)
     return {
         "orders_full": full,
@@ -139,6 +140,18 @@ def q_grand_numeric_totals(spark, sf):
     return profile.grand_numeric_totals(loaded_tables(spark, sf))
 
 
+@query(
+    "union_table_totals",
+    with_ctes(
+        "SELECT table_name, column_name, CAST(total AS DOUBLE) AS total FROM ("
+        + _per_table_sums(LOADED_NUMERIC, LOADED_CTE.get, "table_name")
+        + ") p"
+    ),
+)
+def q_union_table_totals(spark, sf):
+    return profile.union_table_totals(loaded_tables(spark, sf)).withColumn("total", F.col("total").cast("double"))
+
+
 _RAW_SUMS = _per_table_sums(RAW_NUMERIC, lambda t: t, "source")
 
 

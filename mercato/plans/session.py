@@ -25,6 +25,26 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run, sized from the input volume.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (at least 2 per core) and AQE coalesces small ones at run time;
+    scans read ~256 MB splits; skewed join partitions over 5x the median are
+    split. Broadcasts beyond these thresholds stay shuffle joins.
+    """
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **DEFAULT_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def build_session(
     master: str | None = None,
     shuffle_partitions: int = 8,

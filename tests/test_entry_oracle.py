@@ -32,6 +32,7 @@ def test_every_oracle_has_a_query():
     assert set(orc) <= set(qs)
     assert len(qs) >= 100
     assert set(qs) - set(orc) == {"sink_report_json"}
+    assert "union_table_totals" in orc
 
 
 @pytest.fixture(scope="module")

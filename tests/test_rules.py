@@ -187,3 +187,36 @@ def test_scatter_sample_is_reproducible(spark):
     b = feeds.scatter_sample(df.repartition(7), [2017], (0, 100), n=100)
     assert sorted(r.order_id for r in a.collect()) == sorted(r.order_id for r in b.collect())
     assert a.count() == 100
+
+
+def test_search_regex_mode(spark):
+    tbl = spark.createDataFrame([("SP", "Sao Paulo"), ("RJ", "Rio de Janeiro"), ("MG", None)],
+                                "customer_state string, state_name string")
+    got = {r.customer_state for r in feeds.search_states(tbl, "^(sp|rj)$", regex=True).collect()}
+    assert got == {"SP", "RJ"}
+    assert feeds.search_states(tbl, "s.o", regex=True).count() == 1  # 'Sao'; NULL name never matches
+
+
+def test_results_do_not_depend_on_session_timezone(spark):
+    from conftest import SF_SMALL
+    from mercato.sources import fixtures
+
+    def run():
+        full = enrich.orders_full_from(fixtures.load_sources(spark, SF_SMALL))
+        return sorted(tuple(r) for r in marts.monthly_revenue(full).collect())
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    utc = run()
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        assert run() == utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_cluster_conf_sizes_partitions():
+    from mercato.plans.session import cluster_conf
+
+    conf = cluster_conf(100 * 1024**4, cores=8000)  # 100 TiB on 8000 cores
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_conf(10 << 20, cores=8)["spark.sql.shuffle.partitions"] == "16"
