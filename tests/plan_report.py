@@ -16,10 +16,25 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 HEADLINE = [
     "orders_full", "monthly_revenue", "revenue_by_state_mart", "weather_impact", "kpi_summary_rate",
-    "state_revenue_share", "scatter_sample", "table_profile", "dq_unique", "sink_parquet",
+    "state_revenue_share", "scatter_sample", "table_profile", "dq_unique", "filter_year_in",
 ]
 
 
+def _scans(plan: str):
+    out = []
+    for line in plan.splitlines():
+        if "FileScan parquet" not in line:
+            continue
+        m = re.search(r"/([\w.-]+\.parquet)", line)
+        name = m.group(1) if m else ("orders_full (stored table)" if "mercato-" in line else "?")
+        part = re.search(r"PartitionFilters: (\[[^\]]*\])", line)
+        pushed = re.search(r"PushedFilters: (\[[^\]]*\])", line)
+        schema = re.search(r"ReadSchema: (\S+)", line)
+        out.append((name, part.group(1) if part else "[]", pushed.group(1) if pushed else "[]",
+                    schema.group(1) if schema else ""))
+    return out
+
+
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     import __spark_entry__ as E
@@ -37,13 +52,11 @@ def main(argv):
     print("check (`plans/joins.py`). On the cluster AQE additionally coalesces partitions, splits")
     print("skewed join partitions and converts joins whose measured side is small.\n")
     for name in HEADLINE:
-        if name == "sink_parquet":
-            continue
         df = qs[name](spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         exchanges = re.findall(r"Exchange (hashpartitioning\([^)]*\)|SinglePartition|rangepartitioning\([^)]*\))", plan)
         joins = re.findall(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)[^\n]*?(LeftOuter|Inner|LeftSemi|LeftAnti|FullOuter)?,", plan)
-        scans = re.findall(r"FileScan parquet \[[^\]]*\][^\n]*?Location: [^\[]*\[([^\]]*)\][^\n]*?PushedFilters: (\[[^\]]*\]), ReadSchema: ([^\n]*)", plan)
+        scans = _scans(plan)
         aggs = plan.count("HashAggregate(keys=")
         partial = len(re.findall(r"HashAggregate\(keys=\[[^\]]*\], functions=\[partial_", plan))
         print(f"## {name}\n")
@@ -51,8 +64,8 @@ def main(argv):
         print(f"- joins: " + (", ".join(j[0] for j in joins) or "none"))
         print(f"- hash aggregates: {aggs} ({partial} partial, map-side)")
         print("- scans:")
-        for loc, pushed, schema in scans:
-            print(f"  - `{loc.split('/')[-1]}` pushed {pushed} read `{schema.strip()[:140]}`")
+        for name_, part, pushed, schema in scans:
+            print(f"  - `{name_}` partition filters {part}, pushed {pushed}, reads `{schema[:150]}`")
         print()
     spark.stop()
 
