@@ -105,7 +105,11 @@ def _median_by(stg: DataFrame, keys: Sequence[str], approx: bool) -> DataFrame:
     )
 
 
-def _join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
+    """Left join of two per-group tables. With non-NULL keys a plain equi-join
+    lets Catalyst drop the right side when none of its columns is used."""
+    if not null_safe:
+        return left.join(right, list(keys), "left")
     cond = None
     r = right.select(*[F.col(c).alias("_r_" + c) if c in keys else F.col(c) for c in right.columns])
     for k in keys:
@@ -155,7 +159,7 @@ def revenue_by_state_mart(stg: DataFrame, approx_median: bool = False) -> DataFr
     med = _median_by(s, keys, approx_median)
     rank_w = Window.orderBy(F.desc("_revenue_cents"))  # one row per state: bounded
     return (
-        _join_on_keys(agg, med, keys)
+        _join_on_keys(agg, med, keys, null_safe=False)  # NULL states filtered above
         .select(
             "customer_state", "total_orders", "total_revenue", "avg_order_value",
             F.round("_median", 2).alias("median_order_value"),

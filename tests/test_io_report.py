@@ -56,7 +56,8 @@ def test_partitioned_write_spreads_and_round_trips(spark):
     src = fixtures.load_sources(spark, SF_SMALL)
     full = enrich.orders_full_from(src)
     path = scratch_path(spark, "of-part")
-    io.write_parquet(full, path, ["year", "month"], spread_key="order_id", files_per_partition=2)
+    written = io.write_parquet(full, path, ["year", "month"], spread_key="order_id", files_per_partition=2)
+    assert written == full.count()
     parts = glob.glob(f"{local(path)}/year=*/month=*")
     assert parts and all(len(glob.glob(f"{p}/*.parquet")) <= 2 for p in parts)
     back = io.read_parquet(spark, path)
@@ -99,3 +100,11 @@ def test_report_fields(spark):
     assert doc["top_states"] == top
     trend = [r.asDict() for r in monthly.select("year", "month", "total_orders", "total_revenue").limit(6).collect()]
     assert doc["monthly_trend"] == trend
+
+
+def test_missing_csv_path_is_an_error(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException):
+        io.read_csv(spark, "/nonexistent/mercato/orders.csv", schemas.ORDERS).count()
