@@ -122,4 +122,4 @@ def parse_date(column, fmt: str | None = None) -> Column:
 
 def to_number(column, to: str = "double") -> Column:
     """Like pandas to_numeric(errors='coerce'): bad text -> NULL."""
-    return F.try_cast(_c(column), to) if hasattr(F, "try_cast") else _c(column).try_cast(to)
+    return _c(column).try_cast(to)

@@ -33,8 +33,16 @@ def refresh() -> None:
     _PLANS.clear()
 
 
+def _landed_sources(spark, sf):
+    """Fixture sources; the daily weather (derived from lineitem) is landed
+    once as a file, as the extract stage lands the weather feed."""
+    s = fixtures.load_sources(spark, sf)
+    weather = fixtures.land(s.weather, scratch_path(spark, "weather-landed"))
+    return fixtures.Sources(s.orders, s.customers, s.payments, s.order_items, weather, s.states)
+
+
 def src(spark, sf):
-    return _memo("src", spark, sf, lambda: fixtures.load_sources(spark, sf))
+    return _memo("src", spark, sf, lambda: _landed_sources(spark, sf))
 
 
 def build_ofull(spark, sf):

@@ -163,6 +163,14 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def land(df: DataFrame, path: str) -> DataFrame:
+    """Write a derived input once (the extract stage's landed file) and
+    return a reader over it: later jobs read the small file instead of
+    re-deriving it, and the planner sees its real size."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def load_sources(spark: SparkSession, sf_dir: str) -> Sources:
     li = read_table(spark, sf_dir, "lineitem")
     return Sources(
