@@ -54,14 +54,13 @@ def exact_median(
         .agg(F.sum("_c").alias("_bc"))
         .withColumns({"_hi": F.sum("_bc").over(running), "_n": F.sum("_bc").over(whole)})
     )
-    # middle ranks (n+1) div 2 and n div 2 + 1 (equal when n is odd), as the
-    # rank inside the bucket that holds them
-    k = F.explode(F.array(F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1))
+    # middle ranks (n+1) div 2 and n div 2 + 1 (one rank when n is odd), as
+    # the rank inside the bucket that holds them
+    k = F.explode(F.array_distinct(F.array(F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1)))
     targets = (
         coarse.select(*keys, "_b", "_bc", "_hi", k.alias("_k"))
         .where((F.col("_hi") - F.col("_bc") < F.col("_k")) & (F.col("_k") <= F.col("_hi")))
         .select(*keys, "_b", (F.col("_k") - F.col("_hi") + F.col("_bc")).cast("long").alias("_kb"))
-        .distinct()  # odd counts: both middle ranks are the same row
     )
 
     # step 3: only the target buckets' values, one window partition per

@@ -146,19 +146,19 @@ def orders_full_from(src) -> DataFrame:
     return orders_full(src.orders, src.customers, src.payments, src.order_items, src.weather)
 
 
-def write_orders_full(full: DataFrame, path: str, files_per_month: int = 4) -> DataFrame:
+def write_orders_full(full: DataFrame, path: str) -> DataFrame:
     """Store ``orders_full`` as parquet partitioned by year/month and return
     the stored table.
 
     This is the transform stage's output: marts, checks, feeds and reports
     read it instead of re-running the joins. Readers get column pruning (a
-    mart reads ~6 of 23 columns) and partition pruning (year filters). Each
-    month is written by at most ``files_per_month`` tasks (salted on
-    order_id), so a hot month is spread and file counts stay bounded.
+    mart reads ~6 of 23 columns) and partition pruning (year filters). The
+    write is rebalanced on (year, month): AQE splits a month that outgrows
+    the advisory partition size into several files written in parallel.
     """
     from mercato.sources import io  # local import: sources depend on operators' schemas only
 
-    io.write_parquet(full, path, ["year", "month"], spread_key="order_id", files_per_partition=files_per_month)
+    io.write_parquet(full, path, ["year", "month"])
     return full.sparkSession.read.schema(full.schema).parquet(path).select(*full.columns)
 
 

@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 
 from mercato.operators import enrich, marts, report
 from mercato.plans.oracle import with_ctes
-from mercato.plans.queries_core import STG_OUT, ofull, out, src, stg
+from mercato.plans.queries_core import STG_OUT, build_ofull, ofull, out, src, stg
 from mercato.plans.registry import query
 from mercato.plans.session import scratch_path
 from mercato.sources import io, schemas
@@ -68,9 +68,10 @@ def q_scan_parquet(spark, sf):
 
 @query("sink_parquet", with_ctes("SELECT * FROM ofull_out"))
 def q_sink_parquet(spark, sf):
-    """orders_full partitioned by year/month, spread over up to 4 files each."""
+    """orders_full from the raw tables, written partitioned by year/month
+    (rebalanced: hot months split into several files by AQE)."""
     path = scratch_path(spark, "orders-full-part")
-    io.write_parquet(out(ofull(spark, sf)), path, ["year", "month"], spread_key="order_id", files_per_partition=4)
+    io.write_parquet(out(build_ofull(spark, sf)), path, ["year", "month"])
     return io.read_parquet(spark, path)
 
 

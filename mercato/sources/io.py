@@ -125,11 +125,16 @@ def write_parquet(
 ) -> int:
     """Parquet write, optionally partitioned (``partitionBy``).
 
-    With ``spread_key`` the rows are first hash-partitioned on the partition
-    columns plus ``hash(spread_key) % files_per_partition``: each output
-    partition is written by at most ``files_per_partition`` tasks (few files,
-    no small-file explosion), and a hot partition (one month holding a third
-    of the orders) is spread over that many tasks instead of one.
+    Partitioned writes are balanced with the ``REBALANCE`` hint on the
+    partition columns: rows of one output partition go to one task, and AQE
+    splits a task that grows beyond the advisory partition size (a month
+    holding a third of all orders becomes many files written in parallel)
+    and coalesces small ones — file sizes stay bounded at any scale without
+    a fixed file count or a sampling pass.
+
+    ``spread_key`` + ``files_per_partition`` instead salt the hash on
+    ``hash(spread_key) % files_per_partition`` for an explicit upper bound
+    of files per partition (for sessions without AQE).
 
     Returns the number of rows written, observed inside the write job
     (``DataFrame.observe``) instead of a second pass over the data.
@@ -139,6 +144,8 @@ def write_parquet(
     if partition_by and spread_key:
         salt = F.pmod(F.xxhash64(F.col(spread_key)), F.lit(max(1, files_per_partition)))
         df = df.repartition(*[F.col(c) for c in partition_by], salt)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

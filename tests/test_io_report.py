@@ -108,3 +108,29 @@ def test_missing_csv_path_is_an_error(spark):
 
     with pytest.raises(AnalysisException):
         io.read_csv(spark, "/nonexistent/mercato/orders.csv", schemas.ORDERS).count()
+
+
+def test_partitioned_write_splits_a_hot_month(spark):
+    """One month holds a third of all rows: the rebalanced write spreads it
+    over several files (tasks) instead of one."""
+    from pyspark.sql import functions as F
+
+    df = (
+        spark.range(0, 240_000, numPartitions=16)
+        .select(
+            F.lit(2017).alias("year"),
+            F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise((F.col("id") % 11 + 2).cast("int")).alias("month"),
+            F.col("id").alias("order_id"),
+            (F.col("id") * 7 % 1000).cast("double").alias("v"),
+        )
+    )
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        path = scratch_path(spark, "hot-month")
+        assert io.write_parquet(df, path, ["year", "month"]) == 240_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    hot = glob.glob(f"{local(path)}/year=2017/month=1/*.parquet")
+    assert len(hot) >= 4  # written by several tasks, not one
+    assert io.read_parquet(spark, path).count() == 240_000
