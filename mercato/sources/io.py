@@ -26,13 +26,17 @@ def read_csv(
     path: str,
     schema: T.StructType,
     header: bool = True,
-    multi_line: bool = True,
+    multi_line: bool = False,
     timestamp_format: str = TS_FORMAT,
     date_format: str = DATE_FORMAT,
 ) -> DataFrame:
-    """Typed CSV scan. ``multiLine`` + ``escape='"'`` keep quoted fields with
-    commas and newlines in one row; malformed values fail the read (FAILFAST)
-    instead of silently turning into NULLs."""
+    """Typed CSV scan; malformed values fail the read (FAILFAST) instead of
+    silently turning into NULLs.
+
+    Quoted fields with commas are always handled. ``multi_line=True`` also
+    keeps quoted newlines in one row (free-text tables such as reviews) —
+    but a multi-line CSV file cannot be split, so each file is read by one
+    task; leave it off for large tables without embedded newlines."""
     return (
         spark.read.schema(schema)
         .option("header", header)

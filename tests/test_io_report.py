@@ -22,7 +22,7 @@ def test_csv_quoted_newline_and_comma(spark):
     os.makedirs(local(path), exist_ok=True)
     with open(f"{local(path)}/part.csv", "w") as fh:
         fh.write('customer_id,customer_state,customer_city\n1,SP,"Sao Paulo, centro\nzona 2"\n2,RJ,Rio\n')
-    df = io.read_csv(spark, path, schemas.CUSTOMERS)
+    df = io.read_csv(spark, path, schemas.CUSTOMERS, multi_line=True)
     rows = {r.customer_id: r.customer_city for r in df.collect()}
     assert rows == {1: "Sao Paulo, centro\nzona 2", 2: "Rio"}
 
