@@ -18,12 +18,16 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
-    "spark.driver.host": "127.0.0.1",
-    "spark.driver.bindAddress": "127.0.0.1",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Single-machine sessions only (tests, bench): keep the driver on loopback.
+LOCAL_CONF = {
+    "spark.driver.host": "127.0.0.1",
+    "spark.driver.bindAddress": "127.0.0.1",
+}
+
 
 def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a cluster run, sized from the input volume.
@@ -53,7 +57,7 @@ def build_session(
 ) -> SparkSession:
     """Local session with the settings the queries are written for."""
     builder = SparkSession.builder.master(master or "local[*]").appName(app_name)
-    conf = dict(DEFAULT_CONF)
+    conf = {**DEFAULT_CONF, **LOCAL_CONF}
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", os.environ.get("MERCATO_DRIVER_MEMORY", "8g"))
     conf.update(extra or {})

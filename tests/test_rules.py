@@ -244,3 +244,11 @@ def test_approx_median_option(spark):
     exact = marts.monthly_revenue_mart(stg).collect()[0].median_order_value
     approx = marts.monthly_revenue_mart(stg, approx_median=True).collect()[0].median_order_value
     assert exact == 501.0 and abs(approx - exact) <= 1.0
+
+
+def test_cluster_conf_has_no_local_driver_settings():
+    from mercato.plans.session import cluster_conf
+
+    conf = cluster_conf(1 << 40, cores=1000)
+    assert "spark.driver.host" not in conf and "spark.driver.bindAddress" not in conf
+    assert conf["spark.sql.adaptive.enabled"] == "true"
