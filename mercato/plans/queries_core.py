@@ -8,7 +8,7 @@ from mercato.operators import enrich, marts
 from mercato.plans.oracle import MAVG, MSUM, OFULL_OUT, R, RAIN, TEMP, with_ctes
 from mercato.plans.registry import query
 from mercato.plans.session import scratch_path
-from mercato.sources import fixtures
+from mercato.sources import fixtures, io
 
 
 # Source plans per (session, data folder), and the stored orders_full.
@@ -398,3 +398,15 @@ def q_state_revenue_rank(spark, sf):
 def q_distinct_weather(spark, sf):
     return enrich.stg_weather(ofull(spark, sf))
 
+
+@query(
+    "stg_weather",
+    with_ctes(
+        "SELECT DISTINCT purchase_date AS weather_date, temp_max, precipitation, rain_category, "
+        f"{TEMP('temp_max')} AS temp_category FROM ofull WHERE purchase_date IS NOT NULL"
+    ),
+)
+def q_stg_weather(spark, sf):
+    """The staging view of distinct daily weather (same operator as distinct_weather)."""
+    return io.create_view(enrich.stg_weather(ofull(spark, sf)), "stg_weather")
+

@@ -108,6 +108,26 @@ def q_sink_table(spark, sf):
     return counts
 
 
+@query("table_catalog")
+def q_table_catalog(spark, sf):
+    """Load the four tables into a fresh catalog database plus a staging view,
+    then list (schema, table_name, table_type). Catalog metadata of the
+    session: rows-only check."""
+    db = f"mercato_catalog_{uuid.uuid4().hex[:8]}"
+    io.ensure_database(spark, db, scratch_path(spark, db))
+    full = ofull(spark, sf)
+    for name, df in {
+        "orders_full": out(full),
+        "monthly_revenue": marts.monthly_revenue(full),
+        "revenue_by_state": marts.revenue_by_state(full),
+        "weather_impact": marts.weather_impact(full),
+    }.items():
+        io.save_table(df, f"{db}.{name}")
+    io.create_view(enrich.stg_orders(full), "stg_orders")
+    listing = io.list_tables(spark, [db])
+    return listing.where((F.col("schema") == db) | (F.col("table_name") == "stg_orders"))
+
+
 @query("view_staging", with_ctes(f"SELECT {STG_OUT} FROM stg"))
 def q_view_staging(spark, sf):
     return io.create_view(out(stg(spark, sf)), "stg_orders")

@@ -181,11 +181,16 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
 
 def list_tables(spark: SparkSession, databases: Sequence[str] | None = None) -> DataFrame:
     """(schema, table_name, table_type) for catalog tables and views, sorted.
+    Session-scoped temporary views belong to no database: schema is NULL.
     Metadata only; system schemas excluded."""
     dbs = list(databases) if databases else [d.name for d in spark.catalog.listDatabases()]
-    rows = []
+    rows = set()
     for db in dbs:
         for t in spark.catalog.listTables(db):
-            kind = "VIEW" if (t.isTemporary or (t.tableType or "").upper() == "VIEW") else "BASE TABLE"
-            rows.append((t.namespace[0] if t.namespace else db, t.name, kind))
-    return spark.createDataFrame(sorted(set(rows)), "schema string, table_name string, table_type string")
+            if t.isTemporary:
+                rows.add((None, t.name, "VIEW"))
+            else:
+                kind = "VIEW" if (t.tableType or "").upper() == "VIEW" else "BASE TABLE"
+                rows.add((t.namespace[0] if t.namespace else db, t.name, kind))
+    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or "", r[1]))
+    return spark.createDataFrame(ordered, "schema string, table_name string, table_type string")

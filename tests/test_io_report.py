@@ -73,6 +73,7 @@ def test_catalog_tables_and_views(spark):
     io.create_view(df, "mercato_test_view")
     cat = {(r.schema, r.table_name, r.table_type) for r in io.list_tables(spark, ["mercato_test_db"]).collect()}
     assert ("mercato_test_db", "t1", "BASE TABLE") in cat
+    assert (None, "mercato_test_view", "VIEW") in cat
     assert spark.table("mercato_test_db.t1").count() == 3
 
 
