@@ -131,20 +131,25 @@ def _mart_aggs():
     ]
 
 
-def monthly_revenue_mart(stg: DataFrame, approx_median: bool = False) -> DataFrame:
-    """Monthly mart over staged orders: + period, median, late rate, items."""
+def monthly_revenue_mart(stg: DataFrame, approx_median: bool = False, with_median: bool = True) -> DataFrame:
+    """Monthly mart over staged orders: + period, median, late rate, items.
+
+    ``with_median=False`` leaves out ``median_order_value`` for consumers that
+    do not read it (checks on the other columns): the median's join keys may
+    be NULL, so the optimizer cannot drop that branch by itself."""
     keys = ["year", "month"]
     agg = stg.groupBy(*keys).agg(
         *_mart_aggs(), F.round(avg_exact("item_count"), 1).alias("avg_items_per_order")
     )
-    med = _median_by(stg, keys, approx_median)
+    if with_median:
+        med = _median_by(stg, keys, approx_median)
+        agg = _join_on_keys(agg, med, keys)
     return (
-        _join_on_keys(agg, med, keys)
-        .select(
+        agg.select(
             "year", "month",
             rules.period("year", "month").alias("period"),
             "total_orders", "total_revenue", "avg_order_value",
-            F.round("_median", 2).alias("median_order_value"),
+            *([F.round("_median", 2).alias("median_order_value")] if with_median else []),
             "avg_delivery_days", "late_deliveries", "late_rate_pct", "avg_items_per_order",
         )
         .orderBy("year", "month")
