@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercato.plans.joins import join_on_keys
+
 
 def exact_median(
     df: DataFrame,
@@ -67,18 +69,8 @@ def exact_median(
     # (group, bucket, target rank)
     fine_w = Window.partitionBy(*keys, "_b", "_kb").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     picked = (
-        _join_null_safe(counts, targets, keys + ["_b"])
+        join_on_keys(counts, targets, keys + ["_b"], how="inner")
         .withColumn("_hi2", F.sum("_c").over(fine_w))
         .where((F.col("_hi2") - F.col("_c") < F.col("_kb")) & (F.col("_kb") <= F.col("_hi2")))
     )
     return picked.groupBy(*keys).agg((F.sum("_v").cast("double") / F.count(F.lit(1))).alias(out))
-
-
-def _join_null_safe(left: DataFrame, right: DataFrame, keys) -> DataFrame:
-    """Inner equi-join on ``keys`` treating NULL = NULL, keeping left's keys."""
-    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
-    cond = None
-    for key in keys:
-        c = left[key].eqNullSafe(r[f"_r_{key}"])
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, "inner").drop(*[f"_r_{key}" for key in keys])

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from mercato.functions import rules
 from mercato.functions.median import exact_median
 from mercato.functions.money import avg_exact, cents, money_avg, money_sum
+from mercato.plans.joins import join_on_keys
 
 
 def _summary_aggs(days_scale: int = 1, with_late: bool = True):
@@ -105,19 +106,6 @@ def _median_by(stg: DataFrame, keys: Sequence[str], approx: bool) -> DataFrame:
     )
 
 
-def _join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
-    """Left join of two per-group tables. With non-NULL keys a plain equi-join
-    lets Catalyst drop the right side when none of its columns is used."""
-    if not null_safe:
-        return left.join(right, list(keys), "left")
-    cond = None
-    r = right.select(*[F.col(c).alias("_r_" + c) if c in keys else F.col(c) for c in right.columns])
-    for k in keys:
-        c = left[k].eqNullSafe(r["_r_" + k])
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, "left").drop(*["_r_" + k for k in keys])
-
-
 def _mart_aggs():
     return [
         F.count("order_id").alias("total_orders"),
@@ -143,7 +131,7 @@ def monthly_revenue_mart(stg: DataFrame, approx_median: bool = False, with_media
     )
     if with_median:
         med = _median_by(stg, keys, approx_median)
-        agg = _join_on_keys(agg, med, keys)
+        agg = join_on_keys(agg, med, keys)
     return (
         agg.select(
             "year", "month",
@@ -164,7 +152,7 @@ def revenue_by_state_mart(stg: DataFrame, approx_median: bool = False) -> DataFr
     med = _median_by(s, keys, approx_median)
     rank_w = Window.orderBy(F.desc("_revenue_cents"))  # one row per state: bounded
     return (
-        _join_on_keys(agg, med, keys, null_safe=False)  # NULL states filtered above
+        join_on_keys(agg, med, keys, null_safe=False)  # NULL states filtered above
         .select(
             "customer_state", "total_orders", "total_revenue", "avg_order_value",
             F.round("_median", 2).alias("median_order_value"),
