@@ -98,14 +98,17 @@ def clean_weather(weather: DataFrame) -> DataFrame:
 WEATHER_MAX_BROADCAST_ROWS = 100_000  # ~270 years of days, a few MB
 
 
-def join_weather(orders: DataFrame, weather: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def join_weather(
+    orders: DataFrame, weather: DataFrame, max_broadcast_rows: int | None = None, weather_is_stored: bool = False
+) -> DataFrame:
     """Left join on purchase_date = date; the weather key column is dropped.
 
-    With ``max_broadcast_rows`` the weather table is materialised and counted
-    first, and broadcast only when within the bound."""
+    With ``max_broadcast_rows`` the weather table is counted first (and
+    materialised first unless it already reads a stored table), and
+    broadcast only when within the bound."""
     w = clean_weather(weather)
     if max_broadcast_rows is not None:
-        w, _ = bounded_broadcast(w, max_broadcast_rows)
+        w, _ = bounded_broadcast(w, max_broadcast_rows, materialize_first=not weather_is_stored)
     return orders.join(w, orders["purchase_date"] == w["date"], "left").drop(w["date"])
 
 
@@ -126,6 +129,7 @@ def orders_full(
     order_items: DataFrame,
     weather: DataFrame,
     weather_max_broadcast_rows: int | None = WEATHER_MAX_BROADCAST_ROWS,
+    weather_is_stored: bool = False,
 ) -> DataFrame:
     """The enriched fact table: one row per delivered order.
 
@@ -136,14 +140,14 @@ def orders_full(
     df = join_payments(df, payments)
     df = join_items(df, order_items)
     df = join_customers(df, customers)
-    df = join_weather(df, weather, weather_max_broadcast_rows)
+    df = join_weather(df, weather, weather_max_broadcast_rows, weather_is_stored)
     df = df.withColumn("rain_category", rules.rain_category("precipitation", null_policy="no_rain"))
     return df.select(*ORDERS_FULL_COLUMNS)
 
 
-def orders_full_from(src) -> DataFrame:
+def orders_full_from(src, **options) -> DataFrame:
     """``orders_full`` from a :class:`mercato.sources.fixtures.Sources`."""
-    return orders_full(src.orders, src.customers, src.payments, src.order_items, src.weather)
+    return orders_full(src.orders, src.customers, src.payments, src.order_items, src.weather, **options)
 
 
 def write_orders_full(full: DataFrame, path: str) -> DataFrame:

@@ -46,8 +46,9 @@ def src(spark, sf):
 
 
 def build_ofull(spark, sf):
-    """orders_full computed from the raw tables (no stored copy)."""
-    return enrich.orders_full_from(src(spark, sf))
+    """orders_full computed from the raw tables (no stored copy); the landed
+    weather file is counted before it is broadcast."""
+    return enrich.orders_full_from(src(spark, sf), weather_is_stored=True)
 
 
 def ofull(spark, sf):
