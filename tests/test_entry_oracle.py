@@ -44,3 +44,18 @@ def con():
 def test_against_oracle(spark, con, name):
     r = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF_CHECK)
     assert r["ok"], r.get("note")
+
+
+def test_output_columns_are_named(spark):
+    """Every output column is aliased (no generated names like sum(x)) and
+    unique, so Spark and SQL results line up by name."""
+    from conftest import SF_SMALL
+
+    skip = {"sink_table", "table_mart", "table_catalog", "scan_csv", "scan_csv_dates", "csv_to_parquet",
+            "sink_csv", "scan_parquet", "sink_parquet", "scan_weather_json", "sink_report_json"}
+    for name, fn in E.queries().items():
+        if name in skip:
+            continue
+        cols = fn(spark, SF_SMALL).columns
+        assert len(cols) == len(set(cols)), name
+        assert not any("(" in c or " " in c for c in cols), (name, cols)

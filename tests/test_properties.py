@@ -59,3 +59,23 @@ def test_bucket_rules_match_plain_python(spark, vals):
         rules.temp_category("v").alias("t"),
     ).collect()
     assert [(r.h, r.n, r.t) for r in got] == [(rain_py(v, "heavy"), rain_py(v, "no_rain"), temp_py(v)) for v in vals]
+
+
+groups = st.dictionaries(
+    st.sampled_from(["a", "b", "c", "d"]),
+    st.lists(st.integers(min_value=-10**6, max_value=10**6), min_size=1, max_size=80),
+    min_size=1, max_size=4,
+)
+
+
+@settings(max_examples=10, deadline=None)
+@given(groups, st.integers(min_value=0, max_value=20), st.integers(min_value=1, max_value=5))
+def test_exact_median_property(spark, data, shift, parts):
+    import statistics
+
+    from mercato.functions.median import exact_median
+
+    rows = [(k, v) for k, vs in data.items() for v in vs]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(parts)
+    got = {r.k: r.median for r in exact_median(df, ["k"], "v", shift=shift).collect()}
+    assert got == {k: float(statistics.median(vs)) for k, vs in data.items()}
