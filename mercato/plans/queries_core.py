@@ -30,7 +30,10 @@ def _memo(kind, spark, sf, build):
 
 def refresh() -> None:
     """Forget memoised plans (after the input files change)."""
+    from mercato.plans.registry import clear_built
+
     _PLANS.clear()
+    clear_built()
 
 
 def _landed_sources(spark, sf):
@@ -227,7 +230,7 @@ def q_drop_column(spark, sf):
     return c.join(w, c["purchase_date"] == w["date"], "left").drop(w["date"])
 
 
-@query("orders_full", with_ctes(f"SELECT {OFULL_OUT} FROM ofull"))
+@query("orders_full", with_ctes(f"SELECT {OFULL_OUT} FROM ofull"), build_once=False)
 def q_orders_full(spark, sf):
     """The whole transform: joins computed from the raw tables every run."""
     return out(build_ofull(spark, sf))
