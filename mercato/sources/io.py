@@ -194,3 +194,37 @@ def list_tables(spark: SparkSession, databases: Sequence[str] | None = None) ->
                 rows.add((t.namespace[0] if t.namespace else db, t.name, kind))
     ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or "", r[1]))
     return spark.createDataFrame(ordered, "schema string, table_name string, table_type string")
+
+
+# ------------------------------------------------------------------ raw folders
+
+RAW_TABLES = ("orders", "customers", "payments", "order_items", "weather")
+
+
+def write_raw_tables(src, folder: str) -> None:
+    """Land raw tables as CSV, one sub-folder per table (orders' timestamps
+    as text in ``TS_FORMAT``), the layout ``read_raw_tables`` reads."""
+    folder = folder.rstrip("/")
+    for name in RAW_TABLES:
+        write_csv(getattr(src, name), f"{folder}/{name}")
+
+
+def read_raw_tables(spark: SparkSession, folder: str, states: DataFrame | None = None):
+    """Read a folder of raw CSV tables with explicit schemas into
+    :class:`mercato.sources.fixtures.Sources`. ``states`` defaults to the
+    fixed Brazilian state dimension."""
+    from mercato.sources.fixtures import Sources
+
+    folder = folder.rstrip("/")
+    if states is None:
+        from mercato.operators.feeds import state_dimension
+
+        states = state_dimension(spark)
+    return Sources(
+        orders=read_csv(spark, f"{folder}/orders", schemas.ORDERS),
+        customers=read_csv(spark, f"{folder}/customers", schemas.CUSTOMERS),
+        payments=read_csv(spark, f"{folder}/payments", schemas.PAYMENTS),
+        order_items=read_csv(spark, f"{folder}/order_items", schemas.ORDER_ITEMS),
+        weather=read_csv(spark, f"{folder}/weather", schemas.WEATHER),
+        states=states,
+    )
