@@ -25,6 +25,7 @@ def main(argv=None) -> int:
     ap.add_argument("--database", default="analytics")
     ap.add_argument("--top-state", default=None, help="state that must rank first by revenue")
     ap.add_argument("--no-raise", action="store_true", help="report failed checks without failing")
+    ap.add_argument("--weather-format", choices=("csv", "json", "json_document"), default="csv")
     args = ap.parse_args(argv)
 
     from mercato.operators.quality import DataQualityError
@@ -40,7 +41,7 @@ def main(argv=None) -> int:
     run_time = args.run_time or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(timespec="seconds")
     try:
         res = run_batch(
-            spark, read_raw_tables(spark, args.raw), args.out, run_time,
+            spark, read_raw_tables(spark, args.raw, weather_format=args.weather_format), args.out, run_time,
             database=args.database, top_state=args.top_state, raise_on_failure=not args.no_raise,
         )
     except DataQualityError as e:

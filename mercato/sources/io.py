@@ -209,10 +209,17 @@ def write_raw_tables(src, folder: str) -> None:
         write_csv(getattr(src, name), f"{folder}/{name}")
 
 
-def read_raw_tables(spark: SparkSession, folder: str, states: DataFrame | None = None):
+def read_raw_tables(
+    spark: SparkSession, folder: str, states: DataFrame | None = None, weather_format: str = "csv"
+):
     """Read a folder of raw CSV tables with explicit schemas into
-    :class:`mercato.sources.fixtures.Sources`. ``states`` defaults to the
-    fixed Brazilian state dimension."""
+    :class:`mercato.sources.fixtures.Sources`. The weather sub-folder holds
+    CSV, column-oriented JSON documents one per line (``"json"``, as
+    ``write_weather_json`` writes them), or one pretty-printed document per
+    file (``"json_document"``). ``states`` defaults to the fixed Brazilian
+    state dimension."""
+    if weather_format not in ("csv", "json", "json_document"):
+        raise ValueError("weather_format must be 'csv', 'json' or 'json_document'")
     from mercato.sources.fixtures import Sources
 
     folder = folder.rstrip("/")
@@ -225,6 +232,10 @@ def read_raw_tables(spark: SparkSession, folder: str, states: DataFrame | None =
         customers=read_csv(spark, f"{folder}/customers", schemas.CUSTOMERS),
         payments=read_csv(spark, f"{folder}/payments", schemas.PAYMENTS),
         order_items=read_csv(spark, f"{folder}/order_items", schemas.ORDER_ITEMS),
-        weather=read_csv(spark, f"{folder}/weather", schemas.WEATHER),
+        weather=(
+            read_csv(spark, f"{folder}/weather", schemas.WEATHER)
+            if weather_format == "csv"
+            else read_weather_json(spark, f"{folder}/weather", multi_line=weather_format == "json_document")
+        ),
         states=states,
     )

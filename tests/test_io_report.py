@@ -135,3 +135,14 @@ def test_partitioned_write_splits_a_hot_month(spark):
     hot = glob.glob(f"{local(path)}/year=2017/month=1/*.parquet")
     assert len(hot) >= 4  # written by several tasks, not one
     assert io.read_parquet(spark, path).count() == 240_000
+
+
+def test_raw_folder_with_json_weather(spark):
+    src = fixtures.load_sources(spark, SF_SMALL)
+    raw = scratch_path(spark, "raw-json")
+    io.write_raw_tables(src, raw)
+    io.write_weather_json(src.weather, f"{raw}/weather")  # replace the CSV with JSON documents
+    back = io.read_raw_tables(spark, raw, states=src.states, weather_format="json")
+    expected = enrich.clean_weather(src.weather)
+    assert back.weather.count() == expected.count()
+    assert back.weather.exceptAll(expected).count() == 0
