@@ -51,6 +51,10 @@ def main(argv):
     print("broadcast left is the weather dimension, which is broadcast after an explicit row-count")
     print("check (`plans/joins.py`). On the cluster AQE additionally coalesces partitions, splits")
     print("skewed join partitions and converts joins whose measured side is small.\n")
+    print("\"shuffles\" counts every exchange, including those of pre-aggregated sides. In")
+    print("`orders_full`, for example, the large orders side is shuffled twice (by order key, which")
+    print("the payments/items joins then reuse, and by customer_id); the other exchanges carry")
+    print("per-order aggregates of lineitem and the customers table.\n")
     for name in HEADLINE:
         df = qs[name](spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
