@@ -5,8 +5,9 @@ Layers:
   functions  column expressions (business rules, exact money, exact median)
   operators  DataFrame -> DataFrame transforms (clean, enrich, marts, feeds,
              profiling, data-quality checks, report)
-  plans      session defaults, scratch folders, join helpers
-  streaming  incremental (availableNow) runs of the batch transforms
+  plans      session defaults, scratch folders, join helpers, the
+             registered queries with their SQL twins, the batch runner
+  streaming  intentionally empty: the reference has no streaming
 """
 
 __version__ = "0.1.0"
