@@ -141,7 +141,8 @@ def scatter_sample(
 ) -> DataFrame:
     """At most ``n`` orders in the selection with weather present: bottom-n by
     md5(order_id || '-' || seed). Columns: order_id, temp_max, total_payment,
-    and the colour column."""
+    and the colour column. The payment range excludes orders without a
+    payment, as the dashboard's order subset does."""
     if colour not in SCATTER_COLOURS:
         raise ValueError(f"colour must be one of {SCATTER_COLOURS}")
     lo, hi = pay_range
@@ -206,7 +207,8 @@ def delivery_histogram(
 
 def on_time_gauge(orders: DataFrame, years: Sequence[int], target: float = 90.0) -> DataFrame:
     """total / on-time / late counts, on-time % (0 when empty), delta vs the
-    target and the gauge band (0-70, 70-90, 90-100)."""
+    target and the gauge band (0-70, 70-90, 90-100). ``orders`` is the
+    dashboard's order subset (:func:`order_subset`: orders with a payment)."""
     df = filter_years(orders, years)
     g = df.agg(
         F.count(F.lit(1)).alias("total"),

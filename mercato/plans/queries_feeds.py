@@ -186,11 +186,13 @@ _GAUGE_PCT = f"COALESCE({R('CAST(on_time AS DOUBLE) * 100.0 / NULLIF(total, 0)',
         "CASE WHEN pct < 70 THEN '0-70' WHEN pct < 90 THEN '70-90' ELSE '90-100' END AS band "
         f"FROM (SELECT total, on_time, late, {_GAUGE_PCT} AS pct FROM ("
         "SELECT COUNT(*) AS total, CAST(COUNT_IF(was_late = 0) AS BIGINT) AS on_time, "
-        f"CAST(COUNT_IF(was_late = 1) AS BIGINT) AS late FROM ofull WHERE year IN ({_in(GAUGE_YEARS)})) g) h"
+        f"CAST(COUNT_IF(was_late = 1) AS BIGINT) AS late FROM ofull WHERE total_payment IS NOT NULL "
+        f"AND year IN ({_in(GAUGE_YEARS)})) g) h"
     ),
 )
 def q_on_time_gauge(spark, sf):
-    return feeds.on_time_gauge(ofull(spark, sf), GAUGE_YEARS, 90.0)
+    """Over the dashboard's order subset (orders with a payment)."""
+    return feeds.on_time_gauge(feeds.order_subset(ofull(spark, sf)), GAUGE_YEARS, 90.0)
 
 
 @query("distinct_years", with_ctes("SELECT DISTINCT year FROM etl_monthly WHERE year IS NOT NULL"))
