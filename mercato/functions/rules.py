@@ -66,10 +66,13 @@ def rain_category(precipitation, null_policy: str = "heavy") -> Column:
     )
 
 
-def rain_order(category, unknown: int = 4) -> Column:
+def rain_order(category, unknown: int = 4, first: int = 1) -> Column:
+    """Rank of a rain label: No / Light / Heavy = first, first+1, first+2;
+    any other label ``unknown``."""
     c = _c(category)
     return (
-        F.when(c == NO_RAIN, 1).when(c == LIGHT_RAIN, 2).when(c == HEAVY_RAIN, 3).otherwise(unknown)
+        F.when(c == NO_RAIN, first).when(c == LIGHT_RAIN, first + 1).when(c == HEAVY_RAIN, first + 2)
+        .otherwise(unknown)
     )
 
 

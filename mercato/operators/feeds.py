@@ -273,9 +273,10 @@ def feed_state_top10(state_table: DataFrame) -> DataFrame:
 
 
 def feed_weather(weather_table: DataFrame) -> DataFrame:
-    """3 rows in rain order (unknown labels first, as the dashboard maps them)."""
+    """3 rows in rain order with the dashboard's key: No / Light / Heavy rain =
+    0 / 1 / 2, unknown labels 0."""
     return weather_table.select(
-        rules.rain_order("rain_category", unknown=0).alias("sort_key"),
+        rules.rain_order("rain_category", unknown=0, first=0).alias("sort_key"),
         "rain_category", "total_orders", "avg_order_value",
     ).orderBy("sort_key", "rain_category")
 

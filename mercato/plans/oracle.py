@@ -43,9 +43,10 @@ def PERIOD(y: str = "year", m: str = "month") -> str:
     return f"(CAST({y} AS VARCHAR) || '-' || LPAD(CAST({m} AS VARCHAR), 2, '0'))"
 
 
-def RAIN_ORDER(c: str, unknown: int = 4) -> str:
+def RAIN_ORDER(c: str, unknown: int = 4, first: int = 1) -> str:
     return (
-        f"CASE {c} WHEN 'No Rain' THEN 1 WHEN 'Light Rain' THEN 2 WHEN 'Heavy Rain' THEN 3 ELSE {unknown} END"
+        f"CASE {c} WHEN 'No Rain' THEN {first} WHEN 'Light Rain' THEN {first + 1} "
+        f"WHEN 'Heavy Rain' THEN {first + 2} ELSE {unknown} END"
     )
 
 

@@ -273,7 +273,7 @@ def q_feed_state_top10(spark, sf):
 @query(
     "feed_weather",
     with_ctes(
-        f"SELECT {RAIN_ORDER('rain_category', 0)} AS sort_key, rain_category, total_orders, avg_order_value "
+        f"SELECT {RAIN_ORDER('rain_category', 0, first=0)} AS sort_key, rain_category, total_orders, avg_order_value "
         "FROM etl_weather"
     ),
 )
