@@ -16,6 +16,7 @@ columns other than the id and the text are not read.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from unicodedata import is_normalized
 
@@ -126,21 +127,36 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
     if tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16:
         raise ValueError("ids beyond 16 bits")
     words, parts = _KNOWN.setdefault(path, ({}, {}))
+    # The printable byte signs of byte-level vocabularies: bytes that are not
+    # printable in Latin-1 stand for the characters from 256 on, in order.
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    byte_signs = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in shown)}
     specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
-    def plain(word: str) -> bool:
-        """Whether lower-casing and cutting the word first can't change its ids."""
-        if "'" in word or "\u03a3" in word or any(x in word for x in specials):
+    def plain(text: str) -> bool:
+        """Whether lower-casing and cutting first can't change the ids."""
+        if "'" in text or "\u03a3" in text or any(x in text for x in specials):
             return False
-        return word.isascii() or (is_normalized("NFC", word) and is_normalized("NFC", word.lower()))
-
-    def learn(missing: list[str]) -> None:
-        cut = {w: _PARTS.findall(w.lower()) if plain(w) else [w] for w in missing}
-        new = list({p for c in cut.values() for p in c if p not in parts})
-        for p, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            parts[p] = np.asarray(e.ids, dtype="<u2").tobytes()
-        for w, c in cut.items():
-            words[w] = b"".join([parts[p] for p in c])
+        return text.isascii() or (is_normalized("NFC", text) and is_normalized("NFC", text.lower()))
+
+    def ids_of(part: str) -> bytes:
+        if part.isalpha():  # one run of letters: the merges alone decide
+            coded = part if part.isascii() else part.encode().decode("latin-1").translate(byte_signs)
+            return array("H", [t.id for t in tokenizer.model.tokenize(coded)]).tobytes()
+        return array("H", tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+
+    def learn(missing: list[str], cut: bool) -> None:
+        for w in missing:
+            if cut or plain(w):
+                out = b""
+                for p in _PARTS.findall(w.lower()):
+                    known = parts.get(p)
+                    if known is None:
+                        parts[p] = known = ids_of(p)
+                    out += known
+                words[w] = out
+            else:
+                words[w] = array("H", tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
 
     def encode(text: str) -> bytes:
         row = _SPACES.sub(" ", text).split(" ")
@@ -151,7 +167,7 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
         for known in (words, parts):
             if len(known) > CACHE_WORDS:
                 known.clear()
-        learn([w for w in set(row) if w not in words])
+        learn([w for w in set(row) if w not in words], plain(text))
         return b"".join([words[w] for w in row])
 
     return encode
