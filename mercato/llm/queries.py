@@ -43,3 +43,18 @@ def packed(docs: DataFrame) -> DataFrame:
 @query("op1_pack")
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
+
+
+@query("op4_suffix_decontamination")
+def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.decontam import decontaminate
+
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        "contaminated",
+    )

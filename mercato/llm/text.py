@@ -42,10 +42,11 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
-def text_chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_chunks(column: pa.Array, most: int = CHUNK_BYTES, most_rows: int = 1 << 30) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of successive runs of rows.
 
-    A run has at most ``most`` bytes, or a single row that is longer.
+    A run has at most ``most`` bytes and ``most_rows`` rows, or a single row
+    that is longer.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -59,7 +60,7 @@ def text_chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int
     lo = 0
     while lo < n:
         hi = int(np.searchsorted(offs, offs[lo] + most, side="right")) - 1
-        hi = min(max(hi, lo + 1), n)
+        hi = min(max(hi, lo + 1), n, lo + most_rows)
         yield lo, hi, buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
         lo = hi
 
