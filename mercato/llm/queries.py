@@ -58,3 +58,36 @@ def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query("op5_language_family")
+def op5_language_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(langid.fold("doc_id", 5) != 0))
+    held_out = (langid.fold("doc_id", 5) == 0).alias("held_out")
+    return langid.predict(docs, model).select("doc_id", held_out, "lang_pred", "score")
+
+
+def quality_model(docs: DataFrame, labels: DataFrame):
+    """The discriminant fitted on the labelled documents outside fold 2 of 4."""
+    from mercato.llm import langid, qda
+
+    rows = labels.filter(langid.fold("doc_id", 4) != 2)
+    return qda.fit(qda.labelled(qda.with_statistics(docs.filter(langid.fold("doc_id", 4) != 2)), rows))
+
+
+@query("op6_quadratic_quality")
+def op6_quadratic_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm import langid, qda
+
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    scored = qda.score(qda.with_statistics(docs), model)
+    return scored.select(
+        "doc_id",
+        (langid.fold("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
