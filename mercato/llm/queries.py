@@ -91,3 +91,22 @@ def op6_quadratic_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query("op7_license_index")
+def op7_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm import licenses
+
+    docs = table(spark, sf_dir, "documents")
+    found = licenses.scan(docs, licenses.word_weights(docs))
+    names = "array_join(array_sort(array_distinct({})), ',')"
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.expr("array_min(transform(base, b -> b.start))").alias("first_word"),
+        F.expr("array_max(transform(base, b -> b.start))").alias("last_word"),
+        F.expr(names.format("transform(base, b -> b.label)")).alias("base_labels"),
+        F.expr(names.format("concat(transform(base, b -> b.label), transform(found, f -> f.label))")).alias("labels"),
+        "score",
+    )
