@@ -110,3 +110,50 @@ def op7_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(names.format("concat(transform(base, b -> b.label), transform(found, f -> f.label))")).alias("labels"),
         "score",
     )
+
+
+OP9_SQL = """
+with t as (select conv_id::bigint conv_id, turn::bigint turn, role, text from conversations
+           where conv_id is not null and turn is not null),
+last as (select conv_id, turn last_turn, text from (
+           select conv_id, turn, coalesce(text, '') as text,
+                  row_number() over (partition by conv_id order by turn desc, coalesce(text, '') desc) k
+           from t where role = 'assistant') where k = 1),
+sides as (
+  select conv_id pair_id, 'chosen' side, turn, role, text from t
+  union all
+  select t.conv_id, 'rejected', t.turn, t.role, t.text from t left join last on t.conv_id = last.conv_id
+  where last.last_turn is null or not (t.turn = last.last_turn and t.role is not distinct from 'assistant')
+  union all
+  select a.conv_id, 'rejected', a.last_turn, 'assistant', b.text from last a join last b on b.conv_id = a.conv_id + 1),
+clean as (select distinct pair_id, side, turn, coalesce(role, 'unknown') as role, coalesce(text, '') as text from sides),
+placed as (select *, row_number() over (partition by pair_id, side, turn order by role, text) - 1 as place from clean),
+c as (select * from placed where side = 'chosen'),
+r as (select * from placed where side = 'rejected'),
+both_sides as (
+  select coalesce(c.pair_id, r.pair_id) pair_id, coalesce(c.turn, r.turn) turn, coalesce(c.place, r.place) place,
+         c.role c_role, c.text c_text, r.role r_role, r.text r_text
+  from c full join r on c.pair_id = r.pair_id and c.turn = r.turn and c.place = r.place),
+split as (select pair_id, turn s_turn, place s_place from (
+            select pair_id, turn, place, row_number() over (partition by pair_id order by turn, place) k from both_sides
+            where c_role is distinct from r_role or c_text is distinct from r_text) where k = 1),
+marked as (select b.*, s_turn is null or b.turn < s_turn or (b.turn = s_turn and b.place < s_place) as in_prompt
+           from both_sides b left join split on b.pair_id = split.pair_id),
+out as (
+  select pair_id, case when in_prompt then 'prompt' else 'chosen' end as segment, turn, place, c_role as role, c_text as text
+  from marked where c_role is not null
+  union all
+  select pair_id, 'rejected', turn, place, r_role, r_text from marked where r_role is not null and not in_prompt)
+select pair_id, segment, turn, place::bigint as place, role,
+       concat('<|', role, '|>', chr(10), text, chr(10)) as content,
+       role = 'assistant' and segment <> 'prompt' as trained
+from out
+"""
+
+
+@query("op9_preference_format", OP9_SQL)
+def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.chat import preference_turns, with_borrowed_replies
+
+    both = with_borrowed_replies(table(spark, sf_dir, "conversations"))
+    return preference_turns(both, F.col("conv_id"), F.col("chosen"))
