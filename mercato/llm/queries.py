@@ -157,3 +157,12 @@ def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     both = with_borrowed_replies(table(spark, sf_dir, "conversations"))
     return preference_turns(both, F.col("conv_id"), F.col("chosen"))
+
+
+@query("op3_likelihood_ratio_rules")
+def op3_likelihood_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm import quality_rules as rules
+
+    docs = table(spark, sf_dir, "documents")
+    ratios = rules.log_ratios(rules.bucket_counts(docs, table(spark, sf_dir, "labels")))
+    return rules.score(docs, ratios)
