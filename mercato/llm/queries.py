@@ -166,3 +166,11 @@ def op3_likelihood_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     ratios = rules.log_ratios(rules.bucket_counts(docs, table(spark, sf_dir, "labels")))
     return rules.score(docs, ratios)
+
+
+@query("op2_mincut_text")
+def op2_mincut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.html import extract
+
+    text = extract(table(spark, sf_dir, "pages"))
+    return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_blocks", "n_kept")
