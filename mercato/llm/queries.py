@@ -174,3 +174,10 @@ def op2_mincut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     text = extract(table(spark, sf_dir, "pages"))
     return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_blocks", "n_kept")
+
+
+@query("op8_minmax_near_duplicates")
+def op8_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.minmax import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))

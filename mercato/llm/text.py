@@ -152,3 +152,39 @@ def row_sums(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Sum of ``values`` over each row's [offs[i], offs[i+1])."""
     total = np.concatenate([[0], np.cumsum(values, dtype=np.float64 if values.dtype.kind == "f" else np.int64)])
     return total[offs[1:]] - total[offs[:-1]]
+
+
+#: Rows whose sets are made at once; their numbers share a 64-bit key with 55 bits of hash.
+SET_ROWS = 512
+
+
+def shingle_sets(buf: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(items, first): the distinct word shingles of each of at most SET_ROWS
+    rows as sorted 55-bit hashes, and the index of each row's first item."""
+    starts, ends, first = split_words(buf, offs, SPACED)
+    hashes, owner = row_windows(span_hashes(buf, starts, ends), first, size)
+    return distinct_by_row(hashes, owner, len(offs) - 1)
+
+
+def distinct_by_row(hashes: np.ndarray, owner: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    both = np.sort((owner.astype(np.uint64) << np.uint64(55)) | (hashes >> np.uint64(9)))
+    fresh = np.ones(len(both), bool)
+    fresh[1:] = both[1:] != both[:-1]
+    both = both[fresh]
+    first = np.searchsorted(both, np.arange(rows + 1, dtype=np.uint64) << np.uint64(55)) if rows < SET_ROWS else np.r_[
+        np.searchsorted(both, np.arange(rows, dtype=np.uint64) << np.uint64(55)), len(both)
+    ]
+    return both & np.uint64((1 << 55) - 1), first
+
+
+def set_ids(items: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each row's set (0 for an empty one), as signed integers."""
+    n = np.diff(first).astype(np.uint64)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(items.copy()), dtype=np.uint64)])
+    out = mix(total[first[1:]] - total[first[:-1]] + n * np.uint64(_BASE))
+    return np.where(n > 0, out, np.uint64(0)).view(np.int64)
+
+
+def list_array(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    """Arrow lists of signed integers, cut at ``first``."""
+    return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values.astype(np.uint64).view(np.int64)))
