@@ -181,3 +181,10 @@ def op8_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mercato.llm.minmax import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op10_paragraph_minhash")
+def op10_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.paragraphs import dedup_paragraphs
+
+    return dedup_paragraphs(table(spark, sf_dir, "documents"))

@@ -118,6 +118,16 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((total[ends] - total[starts]) * inverse[starts])
 
 
+def word_span_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of words, from the words' hashes."""
+    if len(starts) == 0:
+        return np.zeros(0, np.uint64)
+    power, inverse = _powers(len(words) + 1)
+    total = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * power[: len(words)], out=total[1:])
+    return mix((total[ends] - total[starts]) * inverse[starts])
+
+
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of every run of ``size`` consecutive word hashes."""
     n = len(words) - size + 1
