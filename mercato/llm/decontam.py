@@ -91,15 +91,15 @@ class Shard:
             self.deepen()
         return self.keys[k]
 
-    def interval(self, symbols: np.ndarray, level: int, found: int) -> tuple[int, int]:
+    def interval(self, symbols: np.ndarray, level: int, found: np.uint64) -> tuple[int, int]:
         """Range of the suffix order whose suffixes start with ``symbols``; the
         first 2**level of them are known to have rank ``found``."""
         ranked = self.sorted_rank(level)
+        found = np.uint64(found)  # of the ranks' own type, or the whole array is converted
         lo, hi = int(np.searchsorted(ranked, found, "left")), int(np.searchsorted(ranked, found, "right"))
-        first = self.sorted_first
         for d in range(1 << level, len(symbols)):
             at = np.minimum(self.order[lo:hi] + d, self.n - 1)
-            here = self.ranks[0][at] if hi - lo < self.n else first
+            here = self.ranks[0][at]
             lo, hi = (
                 lo + int(np.searchsorted(here, symbols[d], "left")),
                 lo + int(np.searchsorted(here, symbols[d], "right")),
@@ -110,7 +110,7 @@ class Shard:
 
     def sorted_rank(self, level: int) -> np.ndarray:
         if not hasattr(self, "_sorted"):
-            self._sorted, self.sorted_first = {}, self.ranks[0][self.order]
+            self._sorted: dict[int, np.ndarray] = {}
         if level not in self._sorted:
             self._sorted[level] = self.ranks[level][self.order]
         return self._sorted[level]
@@ -178,7 +178,7 @@ def search(shard: Shard, bench: Benchmark, small: bool) -> Iterator[tuple[int, i
         symbols = first_rank[flat : flat + bench.need[item]]
         if (symbols == 0).any():
             continue
-        lo, hi = shard.interval(symbols, level, int(by_level[level][flat]))
+        lo, hi = shard.interval(symbols, level, by_level[level][flat])
         for p in shard.order[lo:hi]:
             yield item, start, int(p)
 
