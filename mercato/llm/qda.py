@@ -198,3 +198,14 @@ def score(stats: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(x), pa.float64())], names=["doc_id", "score"])
 
     return stats.select("doc_id", "x").mapInArrow(run, "doc_id long, score double")
+
+
+def keep_good(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, that score at least ``least``."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(model.score(statistics(batch.column(at))) >= least))
+
+    return docs.mapInArrow(run, docs.schema)
