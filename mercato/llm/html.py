@@ -110,7 +110,7 @@ def blocks_of(html: str) -> list[Block]:
             share = min(1.0, linked / len(text))
             words = text.count(" ") + 1
             heading = any(t in _HEADINGS for t, _, _ in stack)
-            odds = stack[-1][2] - 3.0 * share + (0.0 if heading else min(1.5, 0.5 * math.log(words / 6.0)))
+            odds = stack[-1][2] - 3.0 * share + (0.0 if heading else max(-0.4, min(1.5, 0.5 * math.log(words / 6.0))))
             odds += 0.5 if text[-1] in ".!?:;\"')" else 0.0
             blocks.append(Block(text, tuple(n for _, n, _ in stack), odds))
         parts.clear()
