@@ -4,18 +4,17 @@
 with one group holding a third of all rows, that task holds a third of the
 distinct values. Here the work is split into bounded steps:
 
-1. count rows per (group, value)         — partial aggregation, shuffled by
-                                            (group, value), so a hot group
-                                            spreads over many tasks;
-2. count per (group, value >> shift)      — coarse buckets; a running sum over
-                                            the buckets of one group (at most
-                                            range >> shift rows) finds the
-                                            bucket(s) holding the middle ranks;
-3. running sum over the distinct values of only those buckets (at most
-   2**shift rows per window partition) picks the middle value(s).
+1. count rows per (group, bucket of ``width`` units) straight from the rows —
+   partial aggregation leaves one row per bucket and task;
+2. a running sum over the buckets of one group finds the bucket(s) that hold the
+   middle ranks;
+3. a second pass over the one value column keeps only rows of those buckets,
+   counts their distinct values (shuffled by value too, so a hot group spreads)
+   and a running sum picks the middle value(s).
 
-Values must be integers (money in cents). The result interpolates like
-``MEDIAN``: the mean of the two middle values for an even count.
+Values are compared as given, without rounding; NULL and NaN are skipped. The
+result interpolates like ``MEDIAN``: the mean of the two middle values for an
+even count.
 """
 
 from __future__ import annotations
@@ -25,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercato.functions.money import money_avg, present
 from mercato.plans.joins import join_on_keys
 
 
@@ -34,26 +34,25 @@ def exact_median(
     value: str,
     out: str = "median",
     shift: int = 16,
+    width: float | None = None,
 ) -> DataFrame:
-    """Per-group exact median of the integer column ``value``.
+    """Per-group exact median of the numeric column ``value``.
 
-    Returns ``keys + [out]`` (double), one row per group with a non-NULL value.
-    Group keys may be NULL (matched null-safely).
+    Buckets are ``width`` wide (default ``2**shift``). Returns ``keys + [out]``
+    (double), one row per group with a value. Group keys may be NULL (matched
+    null-safely).
     """
     keys = list(keys)
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("long").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_b", F.shiftright("_v", shift))
-    )
+    v = present(value)
+    bucket = F.floor(v / F.lit(float(2**shift if width is None else width))).cast("long")
+    rows = df.where(v.isNotNull()).select(*keys, bucket.alias("_b"), v.alias("_v"))
 
-    # step 2: cumulative counts over the coarse buckets of each group
+    # steps 1 and 2: cumulative counts over the buckets of each group
     running = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)
     coarse = (
-        counts.groupBy(*keys, "_b")
-        .agg(F.sum("_c").alias("_bc"))
+        rows.groupBy(*keys, "_b")
+        .agg(F.count(F.lit(1)).alias("_bc"))
         .withColumns({"_hi": F.sum("_bc").over(running), "_n": F.sum("_bc").over(whole)})
     )
     # middle ranks (n+1) div 2 and n div 2 + 1 (one rank when n is odd), as
@@ -69,8 +68,10 @@ def exact_median(
     # (group, bucket, target rank)
     fine_w = Window.partitionBy(*keys, "_b", "_kb").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     picked = (
-        join_on_keys(counts, targets, keys + ["_b"], how="inner")
+        join_on_keys(rows, targets, keys + ["_b"], how="inner")
+        .groupBy(*keys, "_b", "_kb", "_v")
+        .agg(F.count(F.lit(1)).alias("_c"))
         .withColumn("_hi2", F.sum("_c").over(fine_w))
         .where((F.col("_hi2") - F.col("_c") < F.col("_kb")) & (F.col("_kb") <= F.col("_hi2")))
     )
-    return picked.groupBy(*keys).agg((F.sum("_v").cast("double") / F.count(F.lit(1))).alias(out))
+    return picked.groupBy(*keys).agg(money_avg("_v").alias(out))

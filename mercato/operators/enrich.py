@@ -13,9 +13,9 @@ aggregates come out hash-partitioned on order_id, and the two order_id joins
 run first, so they share one partitioning of the orders (no re-shuffle
 between them). Customers are joined next: broadcast when the planner's size
 statistic is under the threshold, otherwise a shuffle join whose skewed
-customer_id partitions AQE splits. Weather is one row per calendar day: it is
-materialised once, counted, and broadcast only under a row bound (see
-``plans.joins.bounded_broadcast``); beyond the bound it is a shuffle join.
+customer_id partitions AQE splits. Weather is one row per calendar day: its
+stored table is broadcast when its file size is under the planner's threshold
+and shuffle-joined otherwise. Building the plan runs no job.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from mercato.functions import rules
 from mercato.functions.money import money_sum
-from mercato.plans.joins import bounded_broadcast
 from mercato.sources.schemas import MONEY
 
 
@@ -95,20 +94,10 @@ def clean_weather(weather: DataFrame) -> DataFrame:
     )
 
 
-WEATHER_MAX_BROADCAST_ROWS = 100_000  # ~270 years of days, a few MB
-
-
-def join_weather(
-    orders: DataFrame, weather: DataFrame, max_broadcast_rows: int | None = None, weather_is_stored: bool = False
-) -> DataFrame:
+def join_weather(orders: DataFrame, weather: DataFrame) -> DataFrame:
     """Left join on purchase_date = date; the weather key column is dropped.
-
-    With ``max_broadcast_rows`` the weather table is counted first (and
-    materialised first unless it already reads a stored table), and
-    broadcast only when within the bound."""
+    The planner broadcasts a stored weather table by its file size."""
     w = clean_weather(weather)
-    if max_broadcast_rows is not None:
-        w, _ = bounded_broadcast(w, max_broadcast_rows, materialize_first=not weather_is_stored)
     return orders.join(w, orders["purchase_date"] == w["date"], "left").drop(w["date"])
 
 
@@ -128,8 +117,6 @@ def orders_full(
     payments: DataFrame,
     order_items: DataFrame,
     weather: DataFrame,
-    weather_max_broadcast_rows: int | None = WEATHER_MAX_BROADCAST_ROWS,
-    weather_is_stored: bool = False,
 ) -> DataFrame:
     """The enriched fact table: one row per delivered order.
 
@@ -140,14 +127,14 @@ def orders_full(
     df = join_payments(df, payments)
     df = join_items(df, order_items)
     df = join_customers(df, customers)
-    df = join_weather(df, weather, weather_max_broadcast_rows, weather_is_stored)
+    df = join_weather(df, weather)
     df = df.withColumn("rain_category", rules.rain_category("precipitation", null_policy="no_rain"))
     return df.select(*ORDERS_FULL_COLUMNS)
 
 
-def orders_full_from(src, **options) -> DataFrame:
+def orders_full_from(src) -> DataFrame:
     """``orders_full`` from a :class:`mercato.sources.fixtures.Sources`."""
-    return orders_full(src.orders, src.customers, src.payments, src.order_items, src.weather, **options)
+    return orders_full(src.orders, src.customers, src.payments, src.order_items, src.weather)
 
 
 def write_orders_full(full: DataFrame, path: str) -> DataFrame:

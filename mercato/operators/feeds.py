@@ -27,8 +27,10 @@ def order_subset(orders_full: DataFrame) -> DataFrame:
     return orders_full.where(F.col("total_payment").isNotNull()).select(*ORDER_SUBSET_COLUMNS)
 
 
-def filter_years(df: DataFrame, years: Sequence[int]) -> DataFrame:
-    """year IN (...); an empty selection gives no rows."""
+def filter_years(df: DataFrame, years: Sequence[int] | None) -> DataFrame:
+    """year IN (...); None selects every year, an empty selection no rows."""
+    if years is None:
+        return df
     years = list(years)
     if not years:
         return df.where(F.lit(False))
@@ -68,26 +70,28 @@ def state_revenue_share(state_table: DataFrame, top: int = 8, label_col: str = "
     """Top ``top`` states by revenue plus one 'Others' row (always present,
     0 when there are no more states), with each row's % of the total.
 
-    Runs on the per-state table (one row per state)."""
+    One pass over the per-state table (one row per state): states beyond the
+    top share one slot, and a literal row stands for an absent 'Others'."""
     w = Window.orderBy(F.desc("total_revenue"), F.col("customer_state"))  # bounded: one row per state
-    ranked = state_table.select(
-        F.col(label_col).alias("label"), "total_revenue", F.row_number().over(w).alias("_rn")
+    rn = F.row_number().over(w)
+    ranked = state_table.select(F.col(label_col).alias("label"), "total_revenue", rn.alias("_rn"))
+    slots = ranked.select(
+        F.when(F.col("_rn") <= top, F.col("label")).otherwise(rules.OTHERS).alias("label"),
+        "total_revenue",
+        F.least("_rn", F.lit(top + 1)).alias("slot"),
     )
-    top_rows = ranked.where(F.col("_rn") <= top).select("label", "total_revenue", F.col("_rn").alias("slot"))
-    others = (
-        ranked.where(F.col("_rn") > top)
-        .agg(money_sum("total_revenue").alias("total_revenue"))
+    none = slots.sparkSession.range(1).select(
+        F.lit(rules.OTHERS).alias("label"), F.lit(0.0).alias("total_revenue"), F.lit(top + 1).alias("slot")
+    )
+    both = slots.unionByName(none).groupBy("label", "slot").agg(money_sum("total_revenue").alias("total_revenue"))
+    return (
+        both.withColumn("_total", from_cents(F.sum(cents("total_revenue")).over(Window.partitionBy())))
         .select(
-            F.lit(rules.OTHERS).alias("label"),
-            F.coalesce("total_revenue", F.lit(0.0)).alias("total_revenue"),
-            F.lit(top + 1).alias("slot"),
+            "label", "total_revenue", "slot",
+            F.round(F.try_divide(F.col("total_revenue") * F.lit(100.0), F.col("_total")), 2).alias("share_pct"),
         )
+        .orderBy("slot")
     )
-    both = top_rows.unionByName(others)
-    total = from_cents(F.sum(cents("total_revenue")).over(Window.partitionBy(F.lit(1))))
-    return both.withColumn(
-        "share_pct", F.round(F.try_divide(F.col("total_revenue") * F.lit(100.0), total), 2)
-    ).orderBy("slot")
 
 
 # ------------------------------------------------------------------ ordering
@@ -128,13 +132,19 @@ def head_sample(df: DataFrame, n: int = 5, key: str | Sequence[str] = "order_id"
     return df.orderBy(*keys).limit(n)
 
 
+def _paid(pay_range: tuple[float, float] | None):
+    """Orders with a payment, within the range where one is chosen."""
+    paid = F.col("total_payment").isNotNull()
+    return paid if pay_range is None else paid & F.col("total_payment").between(*pay_range)
+
+
 SCATTER_COLOURS = ("rain_category", "was_late_str", "customer_state")
 
 
 def scatter_sample(
     orders: DataFrame,
-    years: Sequence[int],
-    pay_range: tuple[float, float],
+    years: Sequence[int] | None = None,
+    pay_range: tuple[float, float] | None = None,
     colour: str = "rain_category",
     n: int = 2500,
     seed: int = 42,
@@ -145,9 +155,8 @@ def scatter_sample(
     payment, as the dashboard's order subset does."""
     if colour not in SCATTER_COLOURS:
         raise ValueError(f"colour must be one of {SCATTER_COLOURS}")
-    lo, hi = pay_range
     df = filter_years(orders, years).where(
-        F.col("total_payment").between(lo, hi) & F.col("temp_max").isNotNull() & F.col("precipitation").isNotNull()
+        _paid(pay_range) & F.col("temp_max").isNotNull() & F.col("precipitation").isNotNull()
     )
     colour_expr = {
         "rain_category": rules.rain_category("precipitation", null_policy="no_rain"),
@@ -166,34 +175,36 @@ def scatter_sample(
 # ------------------------------------------------------------------ charts
 
 
-def orders_heatmap(monthly: DataFrame, years: Sequence[int]) -> DataFrame:
-    """month x year pivot of total_orders (missing = 0) with month names.
-    The year list is explicit: no extra job to find the values, fixed schema."""
-    years = [int(y) for y in years]
-    piv = (
-        filter_years(monthly, years)
-        .groupBy("month")
-        .pivot("year", years)
-        .agg(F.sum("total_orders"))
-        .na.fill(0, subset=[str(y) for y in years])
+def orders_heatmap(monthly: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
+    """Cells (month, month_name, year, orders) of the month x year grid, 0
+    where a month has no row: every month of the table by every year of it (or
+    the chosen years), found from the data. Runs on the monthly table."""
+    rows = filter_years(monthly, years).where(F.col("year").isNotNull() & F.col("month").isNotNull())
+    one = F.lit(1).alias("_one")
+    all_years = rows.agg(F.collect_set("year").alias("_years")).select(one, "_years")
+    grid = (
+        rows.select("month", one).distinct().join(all_years, "_one")
+        .select("month", F.explode("_years").alias("year"))
     )
-    return piv.select("month", rules.month_name("month").alias("month_name"), *[str(y) for y in years]).orderBy(
-        "month"
+    cells = rows.groupBy("month", "year").agg(F.sum("total_orders").alias("orders"))
+    return (
+        grid.join(cells, ["month", "year"], "left")
+        .select("month", rules.month_name("month").alias("month_name"), "year", F.coalesce("orders", F.lit(0)).alias("orders"))
+        .orderBy("month", "year")
     )
 
 
 def delivery_histogram(
     orders: DataFrame,
-    years: Sequence[int],
-    pay_range: tuple[float, float],
+    years: Sequence[int] | None = None,
+    pay_range: tuple[float, float] | None = None,
     bin_width: int = 2,
     max_days: int = 60,
 ) -> DataFrame:
     """Orders per delivery-days bin (0..max_days, width ``bin_width``)."""
-    lo, hi = pay_range
     d = F.col("delivery_days")
     df = filter_years(orders, years).where(
-        F.col("total_payment").between(lo, hi) & d.isNotNull() & d.between(0, max_days)
+        _paid(pay_range) & d.isNotNull() & d.between(0, max_days)
     )
     b = (F.floor(d / bin_width) * bin_width).cast("int")
     return (
@@ -205,7 +216,7 @@ def delivery_histogram(
     )
 
 
-def on_time_gauge(orders: DataFrame, years: Sequence[int], target: float = 90.0) -> DataFrame:
+def on_time_gauge(orders: DataFrame, years: Sequence[int] | None = None, target: float = 90.0) -> DataFrame:
     """total / on-time / late counts, on-time % (0 when empty), delta vs the
     target and the gauge band (0-70, 70-90, 90-100). ``orders`` is the
     dashboard's order subset (:func:`order_subset`: orders with a payment)."""
@@ -236,8 +247,8 @@ def max_payment_bound(orders: DataFrame) -> DataFrame:
 TREND_METRICS = ("total_revenue", "total_orders", "avg_order_value")
 
 
-def feed_trend(monthly: DataFrame, years: Sequence[int], metric: str | None = None) -> DataFrame:
-    """(period, metric, value) for the selected years; all three metrics
+def feed_trend(monthly: DataFrame, years: Sequence[int] | None = None, metric: str | None = None) -> DataFrame:
+    """(period, metric, value) for the selected (default: all) years; all three metrics
     unless one is chosen."""
     metrics = [metric] if metric else list(TREND_METRICS)
     for m in metrics:

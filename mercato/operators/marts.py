@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions import rules
 from mercato.functions.median import exact_median
-from mercato.functions.money import avg_exact, cents, money_avg, money_sum
+from mercato.functions.money import avg_exact, money_avg, money_sum, present
 from mercato.plans.joins import join_on_keys
 
 
@@ -98,12 +98,9 @@ def weather_impact_weighted(orders_full: DataFrame) -> DataFrame:
 def _median_by(stg: DataFrame, keys: Sequence[str], approx: bool) -> DataFrame:
     if approx:
         return stg.groupBy(*keys).agg(
-            (F.percentile_approx(cents("total_payment"), 0.5, 10000) / 100.0).alias("_median")
+            F.percentile_approx(present("total_payment"), 0.5, 10000).alias("_median")
         )
-    values = stg.select(*keys, cents("total_payment").alias("_cents"))
-    return exact_median(values, keys, "_cents", out="_median").withColumn(
-        "_median", F.col("_median") / 100.0
-    )
+    return exact_median(stg, keys, "total_payment", out="_median", width=655.36)
 
 
 def _mart_aggs():
@@ -144,18 +141,19 @@ def monthly_revenue_mart(stg: DataFrame, approx_median: bool = False, with_media
     )
 
 
-def revenue_by_state_mart(stg: DataFrame, approx_median: bool = False) -> DataFrame:
-    """State mart: + median, late rate, and RANK by the unrounded revenue."""
+def revenue_by_state_mart(stg: DataFrame, approx_median: bool = False, with_median: bool = True) -> DataFrame:
+    """State mart: + median, late rate, and RANK by the unrounded revenue;
+    ``with_median=False`` leaves the median out for consumers of the rest."""
     keys = ["customer_state"]
     s = stg.where(F.col("customer_state").isNotNull())
-    agg = s.groupBy(*keys).agg(*_mart_aggs(), F.sum(cents("total_payment")).alias("_revenue_cents"))
-    med = _median_by(s, keys, approx_median)
-    rank_w = Window.orderBy(F.desc("_revenue_cents"))  # one row per state: bounded
+    agg = s.groupBy(*keys).agg(*_mart_aggs(), money_sum("total_payment").alias("_revenue"))
+    if with_median:
+        agg = join_on_keys(agg, _median_by(s, keys, approx_median), keys, null_safe=False)  # NULL states filtered above
+    rank_w = Window.orderBy(F.desc("_revenue"))  # one row per state: bounded
     return (
-        join_on_keys(agg, med, keys, null_safe=False)  # NULL states filtered above
-        .select(
+        agg.select(
             "customer_state", "total_orders", "total_revenue", "avg_order_value",
-            F.round("_median", 2).alias("median_order_value"),
+            *([F.round("_median", 2).alias("median_order_value")] if with_median else []),
             "avg_delivery_days", "late_deliveries", "late_rate_pct",
             F.rank().over(rank_w).alias("revenue_rank"),
         )
@@ -171,8 +169,8 @@ def weather_impact_mart(stg: DataFrame) -> DataFrame:
             F.count("order_id").alias("total_orders"),
             F.round(money_avg("total_payment"), 2).alias("avg_order_value"),
             F.round(money_sum("total_payment"), 2).alias("total_revenue"),
-            F.round(avg_exact("precipitation"), 2).alias("avg_precipitation_mm"),
-            F.round(avg_exact("temp_max"), 1).alias("avg_temp_max_c"),
+            F.round(money_avg("precipitation"), 2).alias("avg_precipitation_mm"),
+            F.round(money_avg("temp_max"), 1).alias("avg_temp_max_c"),
         )
         .orderBy(rules.rain_order("rain_category"))
     )

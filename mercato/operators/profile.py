@@ -2,9 +2,10 @@
 
 Where the reference pulled whole tables into one process to loop over
 columns, each profile here is a single distributed aggregate (partial per
-task) whose one-row result is unpivoted with ``inline``. Numeric sums
-accumulate in DECIMAL(38,6), so totals do not depend on row order; every
-input here has at most 2 decimals, so the conversion is exact.
+task) whose one-row result is unpivoted with ``inline``. A numeric sum has two
+parts: DECIMAL(38,6), exact whatever the row order, and the digits beyond the
+sixth as double (exactly 0 where there are none), so small values are not lost.
+NaN counts as missing.
 """
 
 from __future__ import annotations
@@ -59,19 +60,36 @@ def table_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def numeric_sums(df: DataFrame, exact: bool = False) -> DataFrame:
-    """(column_name, total): SUM of every numeric column; an empty or all-NULL
-    column sums to 0. ``exact=True`` keeps DECIMAL(38,6) totals."""
+def _sum_parts(df: DataFrame) -> DataFrame:
+    """(column_name, total, rest) of every numeric column."""
     cols = numeric_columns(df)
     if not cols:
-        return df.sparkSession.createDataFrame([], f"column_name string, total {'decimal(38,6)' if exact else 'double'}")
-    one = df.agg(*[
-        F.coalesce(F.sum(_q(c).cast(SUM_TYPE)), F.lit(0).cast(SUM_TYPE)).alias(f"_s{i}") for i, c in enumerate(cols)
-    ])
-    rows = one.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"_s{i}").alias("total")) for i, c in enumerate(cols)
+        return df.sparkSession.createDataFrame([], "column_name string, total decimal(38,6), rest double")
+    aggs = []
+    for i, c in enumerate(cols):
+        v, rest = _q(c), F.lit(0.0)
+        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+            v = F.nanvl(v.cast("double"), F.lit(None).cast("double"))
+            # beyond 1e31 a double does not fit the decimal; such a value is all rest
+            head = F.when(F.abs(v) < 1e31, v).cast(SUM_TYPE)
+            rest = F.coalesce(F.sum(v - F.coalesce(head.cast("double"), F.lit(0.0))), F.lit(0.0))
+            v = head
+        aggs += [F.coalesce(F.sum(v.cast(SUM_TYPE)), F.lit(0).cast(SUM_TYPE)).alias(f"_s{i}"), rest.alias(f"_r{i}")]
+    return df.agg(*aggs).select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"_s{i}").alias("total"), F.col(f"_r{i}").alias("rest"))
+        for i, c in enumerate(cols)
     ])))
-    return rows if exact else rows.withColumn("total", F.col("total").cast("double"))
+
+
+def _total():
+    """The two parts, summed, as double."""
+    return F.sum("total").cast("double") + F.sum("rest")
+
+
+def numeric_sums(df: DataFrame) -> DataFrame:
+    """(column_name, total): SUM of every numeric column; an empty or all-NULL
+    column sums to 0."""
+    return _sum_parts(df).select("column_name", (F.col("total").cast("double") + F.col("rest")).alias("total"))
 
 
 def _union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -82,19 +100,18 @@ def _union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def union_table_totals(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(table_name, column_name, total): per-table numeric sums, unioned
-    (exact DECIMAL(38,6) totals; one partial aggregate per table)."""
+    """(table_name, column_name, total): per-table numeric sums, unioned (one
+    partial aggregate per table)."""
     return _union_all([
-        numeric_sums(df, exact=True).select(F.lit(name).alias("table_name"), "column_name", "total")
-        for name, df in tables.items()
+        numeric_sums(df).select(F.lit(name).alias("table_name"), "column_name", "total") for name, df in tables.items()
     ])
 
 
 def grand_numeric_totals(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(column_name, grand_total, n_tables): sums by column name across tables."""
-    per = union_table_totals(tables)
+    per = _union_all([_sum_parts(df) for df in tables.values()])
     return per.groupBy("column_name").agg(
-        F.sum("total").cast("double").alias("grand_total"),
+        _total().alias("grand_total"),
         F.count(F.lit(1)).alias("n_tables"),
     )
 
@@ -102,10 +119,10 @@ def grand_numeric_totals(tables: Mapping[str, DataFrame]) -> DataFrame:
 def cross_file_totals(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(column_name, source, total): per column, one row per source plus an
     overall row (source NULL), via ROLLUP."""
-    per = _union_all([numeric_sums(df, exact=True).withColumn("source", F.lit(name)) for name, df in tables.items()])
+    per = _union_all([_sum_parts(df).withColumn("source", F.lit(name)) for name, df in tables.items()])
     return (
         per.rollup("column_name", "source")
-        .agg(F.sum("total").cast("double").alias("total"))
+        .agg(_total().alias("total"))
         .where(F.col("column_name").isNotNull())
     )
 
@@ -119,11 +136,17 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return per.rollup("table_name").agg(F.sum("n_rows").cast("long").alias("n_rows"))
 
 
-def describe_schema(df: DataFrame) -> DataFrame:
-    """(position, column_name, data_type, nullable) from the schema (metadata only)."""
-    rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(
-        rows, "position int, column_name string, data_type string, nullable boolean"
+def describe_schema(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, position, column_name, data_type, nullable) of every table,
+    from the schemas the files carry (metadata only)."""
+    rows = [
+        (name, i + 1, f.name, f.dataType.simpleString(), f.nullable)
+        for name, df in tables.items()
+        for i, f in enumerate(df.schema.fields)
+    ]
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(
+        rows, "table_name string, position int, column_name string, data_type string, nullable boolean"
     )
 
 

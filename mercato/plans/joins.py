@@ -1,5 +1,4 @@
-"""Join helpers: key joins that keep NULL-key groups, and a size check
-before broadcasting."""
+"""Key joins that keep NULL-key groups."""
 
 from __future__ import annotations
 
@@ -8,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.plans.session import materialize
-
 
 def join_on_keys(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", null_safe: bool = True
@@ -30,21 +27,3 @@ def join_on_keys(
         c = left[k].eqNullSafe(r[f"_r_{k}"])
         cond = c if cond is None else cond & c
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int, materialize_first: bool = True) -> tuple[DataFrame, bool]:
-    """Materialise a small dimension once and decide how to join it.
-
-    The frame is written to the shared checkpoint folder (so its lineage —
-    possibly an aggregate over a large fact table — runs once and is not
-    recomputed after an executor loss), then counted. It is marked for
-    broadcast only when the count is within ``max_rows``; otherwise the
-    caller's join stays a shuffle join. A frame that already reads a stored
-    table (``materialize_first=False``) is only counted. Returns
-    (frame, broadcast?).
-    """
-    m = materialize(df) if materialize_first else df
-    n = m.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(m), True
-    return m, False

@@ -82,7 +82,7 @@ def dq_tables(spark, sf):
         "stg_weather": enrich.stg_weather(full),
         # the checks read period / totals only: no median branch
         "monthly_revenue": marts.monthly_revenue_mart(s, with_median=False),
-        "revenue_by_state": marts.revenue_by_state_mart(s),
+        "revenue_by_state": marts.revenue_by_state_mart(s, with_median=False),
         "weather_impact": marts.weather_impact_mart(s),
     }
 
@@ -150,7 +150,7 @@ def q_grand_numeric_totals(spark, sf):
     ),
 )
 def q_union_table_totals(spark, sf):
-    return profile.union_table_totals(loaded_tables(spark, sf)).withColumn("total", F.col("total").cast("double"))
+    return profile.union_table_totals(loaded_tables(spark, sf))
 
 
 _RAW_SUMS = _per_table_sums(RAW_NUMERIC, lambda t: t, "source")
@@ -179,14 +179,15 @@ def q_row_counts(spark, sf):
 
 @query(
     "describe_schema",
-    "SELECT CAST(ordinal_position AS INTEGER) AS position, column_name, "
+    "SELECT table_name, CAST(ordinal_position AS INTEGER) AS position, column_name, "
     "CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
     "WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date' "
-    "WHEN 'FLOAT' THEN 'float' ELSE lower(data_type) END AS data_type, is_nullable = 'YES' AS nullable "
-    "FROM information_schema.columns WHERE table_name = 'lineitem'",
+    "WHEN 'FLOAT' THEN 'float' WHEN 'FLOAT[]' THEN 'array<float>' ELSE lower(data_type) END AS data_type, is_nullable = 'YES' AS nullable "
+    "FROM information_schema.columns WHERE table_name IN ("
+    + ", ".join(f"'{t}'" for t in RAW_TABLES) + ")",
 )
 def q_describe_schema(spark, sf):
-    return profile.describe_schema(fixtures.read_table(spark, sf, "lineitem"))
+    return profile.describe_schema({t: spark.read.parquet(f"{sf}/{t}.parquet") for t in RAW_TABLES})
 
 
 @query("sample_rows", "SELECT * FROM customer ORDER BY c_custkey LIMIT 3")

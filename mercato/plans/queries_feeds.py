@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from mercato.functions import rules
@@ -28,35 +29,35 @@ NAMED_STATES_SQL = (
     "LEFT JOIN src_states s ON e.customer_state = s.state_code"
 )
 
-# Dashboard selections used by the registered feeds (parameters, not caps).
-ALL_YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
-SCATTER_YEARS = [1996, 1997, 1998, 1999, 2000, 2001]
-PAY_RANGE = (1000, 400000)
-GAUGE_YEARS = [1997, 1998, 1999]
-TREND_YEARS = [1998, 1999]
 
+# ------------------------------------------------------------------ §2.6 ordering
 
-def _in(vals):
-    return ", ".join(str(v) for v in vals)
-
+def _placed(df, *order):
+    """``df`` with its position in the order (bounded: one row per month, state or bucket)."""
+    return df.withColumn("position", F.row_number().over(Window.orderBy(*order)))
 
-# ------------------------------------------------------------------ §2.6 ordering
 
-@query("sort_monthly", with_ctes("SELECT * FROM etl_monthly"))
+@query("sort_monthly", with_ctes("SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY year, month) AS INTEGER) AS position FROM etl_monthly"))
 def q_sort_monthly(spark, sf):
-    return feeds.sort_monthly(monthly(spark, sf))
+    return _placed(feeds.sort_monthly(monthly(spark, sf)), F.monotonically_increasing_id())
 
 
-@query("sort_states", with_ctes("SELECT * FROM etl_state"))
+@query(
+    "sort_states",
+    with_ctes("SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY total_revenue DESC, customer_state) AS INTEGER) AS position FROM etl_state"),
+)
 def q_sort_states(spark, sf):
-    return feeds.sort_states(states_tbl(spark, sf))
+    return _placed(feeds.sort_states(states_tbl(spark, sf)), F.monotonically_increasing_id())
 
 
-@query("sort_rain", with_ctes("SELECT * FROM mart_weather"))
+@query(
+    "sort_rain",
+    with_ctes(f"SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY {RAIN_ORDER('rain_category')}, rain_category) AS INTEGER) AS position FROM mart_weather"),
+)
 def q_sort_rain(spark, sf):
     from mercato.plans.queries_core import stg
 
-    return feeds.sort_rain(marts.weather_impact_mart(stg(spark, sf)))
+    return _placed(feeds.sort_rain(marts.weather_impact_mart(stg(spark, sf))), F.monotonically_increasing_id())
 
 
 @query(
@@ -99,13 +100,12 @@ def q_head_sample(spark, sf):
     with_ctes(
         "SELECT order_id, temp_max, CAST(total_payment AS DOUBLE) AS total_payment, "
         f"{RAIN('precipitation', 'no_rain')} AS rain_category FROM ofull "
-        f"WHERE year IN ({_in(SCATTER_YEARS)}) AND total_payment BETWEEN {PAY_RANGE[0]} AND {PAY_RANGE[1]} "
-        "AND temp_max IS NOT NULL AND precipitation IS NOT NULL "
+        "WHERE total_payment IS NOT NULL AND temp_max IS NOT NULL AND precipitation IS NOT NULL "
         "ORDER BY md5(CAST(order_id AS VARCHAR) || '-42') LIMIT 2500"
     ),
 )
 def q_scatter_sample(spark, sf):
-    return out(feeds.scatter_sample(ofull(spark, sf), SCATTER_YEARS, PAY_RANGE, "rain_category", 2500, 42))
+    return out(feeds.scatter_sample(ofull(spark, sf), colour="rain_category", n=2500, seed=42))
 
 
 # ------------------------------------------------------------------ §2.5 / §2.7 shares
@@ -150,16 +150,14 @@ _MONTHS = "['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','D
 @query(
     "orders_heatmap",
     with_ctes(
-        f"SELECT month, {_MONTHS}[month] AS month_name, "
-        + ", ".join(
-            f'CAST(COALESCE(SUM(CASE WHEN year = {y} THEN total_orders END), 0) AS BIGINT) AS "{y}"'
-            for y in ALL_YEARS
-        )
-        + f" FROM etl_monthly WHERE year IN ({_in(ALL_YEARS)}) GROUP BY month"
+        f"SELECT m.month, {_MONTHS}[m.month] AS month_name, y.year, "
+        "CAST(COALESCE((SELECT SUM(e.total_orders) FROM etl_monthly e WHERE e.month = m.month AND e.year = y.year), 0) "
+        "AS BIGINT) AS orders FROM (SELECT DISTINCT month FROM etl_monthly WHERE month IS NOT NULL AND year IS NOT NULL) m, "
+        "(SELECT DISTINCT year FROM etl_monthly WHERE year IS NOT NULL AND month IS NOT NULL) y"
     ),
 )
 def q_orders_heatmap(spark, sf):
-    return feeds.orders_heatmap(monthly(spark, sf), ALL_YEARS)
+    return feeds.orders_heatmap(monthly(spark, sf))
 
 
 @query(
@@ -167,13 +165,12 @@ def q_orders_heatmap(spark, sf):
     with_ctes(
         "SELECT CAST(FLOOR(delivery_days / 2) * 2 AS INTEGER) AS bin_start, "
         "CAST(FLOOR(delivery_days / 2) * 2 AS INTEGER) + 2 AS bin_end, COUNT(*) AS orders FROM ofull "
-        f"WHERE year IN ({_in(ALL_YEARS)}) AND total_payment BETWEEN {PAY_RANGE[0]} AND {PAY_RANGE[1]} "
-        "AND delivery_days IS NOT NULL AND delivery_days BETWEEN 0 AND 60 "
+        "WHERE total_payment IS NOT NULL AND delivery_days IS NOT NULL AND delivery_days BETWEEN 0 AND 60 "
         "GROUP BY CAST(FLOOR(delivery_days / 2) * 2 AS INTEGER)"
     ),
 )
 def q_delivery_histogram(spark, sf):
-    return feeds.delivery_histogram(ofull(spark, sf), ALL_YEARS, PAY_RANGE, 2, 60)
+    return feeds.delivery_histogram(ofull(spark, sf), bin_width=2, max_days=60)
 
 
 _GAUGE_PCT = f"COALESCE({R('CAST(on_time AS DOUBLE) * 100.0 / NULLIF(total, 0)', 1)}, 0.0)"
@@ -186,13 +183,12 @@ _GAUGE_PCT = f"COALESCE({R('CAST(on_time AS DOUBLE) * 100.0 / NULLIF(total, 0)',
         "CASE WHEN pct < 70 THEN '0-70' WHEN pct < 90 THEN '70-90' ELSE '90-100' END AS band "
         f"FROM (SELECT total, on_time, late, {_GAUGE_PCT} AS pct FROM ("
         "SELECT COUNT(*) AS total, CAST(COUNT_IF(was_late = 0) AS BIGINT) AS on_time, "
-        f"CAST(COUNT_IF(was_late = 1) AS BIGINT) AS late FROM ofull WHERE total_payment IS NOT NULL "
-        f"AND year IN ({_in(GAUGE_YEARS)})) g) h"
+        "CAST(COUNT_IF(was_late = 1) AS BIGINT) AS late FROM ofull WHERE total_payment IS NOT NULL) g) h"
     ),
 )
 def q_on_time_gauge(spark, sf):
     """Over the dashboard's order subset (orders with a payment)."""
-    return feeds.on_time_gauge(feeds.order_subset(ofull(spark, sf)), GAUGE_YEARS, 90.0)
+    return feeds.on_time_gauge(feeds.order_subset(ofull(spark, sf)), target=90.0)
 
 
 @query("distinct_years", with_ctes("SELECT DISTINCT year FROM etl_monthly WHERE year IS NOT NULL"))
@@ -233,13 +229,12 @@ def q_search_states(spark, sf):
     with_ctes(
         " UNION ALL ".join(
             f"SELECT {PERIOD()} AS period, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM etl_monthly "
-            f"WHERE year IN ({_in(TREND_YEARS)})"
             for m in ("total_revenue", "total_orders", "avg_order_value")
         )
     ),
 )
 def q_feed_trend(spark, sf):
-    return feeds.feed_trend(monthly(spark, sf), TREND_YEARS)
+    return feeds.feed_trend(monthly(spark, sf))
 
 
 @query("feed_monthly_orders", with_ctes(f"SELECT {PERIOD()} AS period, total_orders FROM etl_monthly"))

@@ -23,51 +23,49 @@ from mercato.sources import io, schemas
 
 @query(
     "scan_csv",
-    with_ctes("SELECT order_id, payment_sequential, CAST(payment_value AS DOUBLE) AS payment_value FROM src_payments"),
-    build_once=False,
-)
+    with_ctes("SELECT order_id, payment_sequential, CAST(payment_value AS DOUBLE) AS payment_value FROM src_payments"))
 def q_scan_csv(spark, sf):
     path = scratch_path(spark, "payments-csv")
     io.write_csv(src(spark, sf).payments, path)
     return io.read_csv(spark, path, schemas.PAYMENTS)
 
 
-@query("scan_csv_dates", with_ctes("SELECT * FROM src_orders"), build_once=False)
+@query("scan_csv_dates", with_ctes("SELECT * FROM src_orders"))
 def q_scan_csv_dates(spark, sf):
     path = scratch_path(spark, "orders-csv")
     io.write_csv(src(spark, sf).orders, path)
     return io.read_csv(spark, path, schemas.ORDERS)
 
 
-@query("csv_to_parquet", with_ctes("SELECT * FROM src_orders"), build_once=False)
+@query("csv_to_parquet", with_ctes("SELECT * FROM src_orders"))
 def q_csv_to_parquet(spark, sf):
     csv_path = scratch_path(spark, "orders-text")
     io.write_csv(src(spark, sf).orders, csv_path)
     return io.csv_to_parquet(spark, csv_path, scratch_path(spark, "orders-parquet"))
 
 
-@query("scan_weather_json", with_ctes('SELECT "date", temp_max, precipitation FROM src_weather'), build_once=False)
+@query("scan_weather_json", with_ctes('SELECT "date", temp_max, precipitation FROM src_weather'))
 def q_scan_weather_json(spark, sf):
     path = scratch_path(spark, "weather-json")
     io.write_weather_json(src(spark, sf).weather, path)
     return io.read_weather_json(spark, path)
 
 
-@query("sink_csv", with_ctes('SELECT "date", temp_max, precipitation FROM src_weather'), build_once=False)
+@query("sink_csv", with_ctes('SELECT "date", temp_max, precipitation FROM src_weather'))
 def q_sink_csv(spark, sf):
     path = scratch_path(spark, "weather-csv")
     io.write_csv(enrich.clean_weather(src(spark, sf).weather), path)
     return io.read_csv(spark, path, schemas.WEATHER)
 
 
-@query("scan_parquet", with_ctes("SELECT * FROM ofull_out"), build_once=False)
+@query("scan_parquet", with_ctes("SELECT * FROM ofull_out"))
 def q_scan_parquet(spark, sf):
     path = scratch_path(spark, "orders-full")
     io.write_parquet(out(ofull(spark, sf)), path)
     return io.read_parquet(spark, path + "/*.parquet")
 
 
-@query("sink_parquet", with_ctes("SELECT * FROM ofull_out"), build_once=False)
+@query("sink_parquet", with_ctes("SELECT * FROM ofull_out"))
 def q_sink_parquet(spark, sf):
     """orders_full from the raw tables, written partitioned by year/month
     (rebalanced: hot months split into several files by AQE)."""
@@ -86,9 +84,7 @@ LOADED = ("orders_full", "monthly_revenue", "revenue_by_state", "weather_impact"
         "SELECT 'monthly_revenue', COUNT(*) FROM etl_monthly UNION ALL "
         "SELECT 'revenue_by_state', COUNT(*) FROM etl_state UNION ALL "
         "SELECT 'weather_impact', COUNT(*) FROM etl_weather"
-    ),
-    build_once=False,
-)
+    ))
 def q_sink_table(spark, sf):
     """Load the four tables into a catalog database; report rows after load."""
     db = f"mercato_load_{uuid.uuid4().hex[:8]}"
@@ -110,7 +106,7 @@ def q_sink_table(spark, sf):
     return counts
 
 
-@query("table_catalog", build_once=False)
+@query("table_catalog")
 def q_table_catalog(spark, sf):
     """Load the four tables into a fresh catalog database plus a staging view,
     then list (schema, table_name, table_type). Catalog metadata of the
@@ -135,7 +131,7 @@ def q_view_staging(spark, sf):
     return io.create_view(out(stg(spark, sf)), "stg_orders")
 
 
-@query("table_mart", with_ctes("SELECT * FROM mart_monthly"), build_once=False)
+@query("table_mart", with_ctes("SELECT * FROM mart_monthly"))
 def q_table_mart(spark, sf):
     db = "marts"
     io.ensure_database(spark, db, scratch_path(spark, "marts"))
@@ -154,7 +150,7 @@ def q_cache_frame(spark, sf):
 REPORT_RUN_TIME = "1970-01-01T00:00:00"
 
 
-@query("sink_report_json", build_once=False)
+@query("sink_report_json")
 def q_sink_report_json(spark, sf):
     """Nested JSON report written and read back (rows-only check; fields are
     compared in tests/test_report.py)."""

@@ -14,36 +14,15 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
-_BUILT: dict = {}
 
-
-def clear_built() -> None:
-    """Forget the per-session plans of read-only queries."""
-    _BUILT.clear()
-
-
-def query(name: str, sql: str | None = None, build_once: bool = True):
-    """Register a query builder and (optionally) its DuckDB oracle SQL.
-
-    Read-only queries (``build_once``) construct their DataFrame once per
-    (session, data folder): a plan is immutable and lazy, so later calls get
-    the same plan — every action still re-plans and re-executes it in full —
-    and skip only the driver-side construction and analysis. Queries that
-    write data while being built register with ``build_once=False``.
-    """
+def query(name: str, sql: str | None = None):
+    """Register a query builder and (optionally) its DuckDB oracle SQL. The
+    plan is built on every call."""
 
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-
-        def built(spark: SparkSession, sf_dir: str) -> DataFrame:
-            key = (name, id(getattr(spark, "_jsparkSession", None) or spark), sf_dir)
-            if key not in _BUILT:
-                _BUILT[key] = fn(spark, sf_dir)
-            return _BUILT[key]
-
-        built.__name__, built.__doc__ = fn.__name__, fn.__doc__
-        QUERIES[name] = built if build_once else fn
+        QUERIES[name] = fn
         if sql is not None:
             ORACLE[name] = sql
         return fn

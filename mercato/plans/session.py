@@ -6,6 +6,7 @@ are for tests, the bench and command-line use.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -72,30 +73,36 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Read from the context's checkpoint dir or ``spark.checkpoint.dir``. Only
-    when neither is set — a local test session — a folder is created here.
+    Read from the context's checkpoint dir or ``spark.checkpoint.dir``. Where
+    neither is set, a folder is created for a local master only; on a cluster
+    executors would each write to their own disk, so that is an error.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
-        sc = None
-    if sc is None:
-        return spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key
-            configured = None
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="mercato-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def input_version(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and modification times of the files in a folder (and one
+    level down), as the session's own file system lists them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = top.getFileSystem(conf)
+    seen = []
+    for entry in fs.listStatus(top):
+        for f in fs.listStatus(entry.getPath()) if entry.isDirectory() else [entry]:
+            seen.append(f"{f.getPath().toString()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from mercato.sources import schemas
 
-TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TS_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 DATE_FORMAT = "yyyy-MM-dd"
 
 

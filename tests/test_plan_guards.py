@@ -8,8 +8,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from mercato.plans.registry import QUERIES, load_all
 
 FORBIDDEN = (
     "CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -23,7 +23,8 @@ def _plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    qs = E.queries()
+    load_all()
+    qs = QUERIES
     return {name: _plan(fn(spark, SF_SMALL)) for name, fn in sorted(qs.items())}
 
 

@@ -222,19 +222,6 @@ def test_cluster_conf_sizes_partitions():
     assert cluster_conf(10 << 20, cores=8)["spark.sql.shuffle.partitions"] == "16"
 
 
-def test_bounded_broadcast_falls_back_beyond_the_bound(spark):
-    from mercato.plans.joins import bounded_broadcast
-
-    dim = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    small, is_b = bounded_broadcast(dim, 1000)
-    big, is_b2 = bounded_broadcast(dim, 10)
-    assert is_b and not is_b2
-    fact = spark.range(1000).select((F.col("id") % 120).alias("k"))
-    a = fact.join(small, "k", "left").groupBy().agg(F.sum("v")).collect()[0][0]
-    b = fact.join(big, "k", "left").groupBy().agg(F.sum("v")).collect()[0][0]
-    assert a == b
-
-
 def test_approx_median_option(spark):
     stg = spark.range(1, 1002).select(
         F.col("id").alias("order_id"), F.lit(2017).alias("year"), F.lit(1).alias("month"),
