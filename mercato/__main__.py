@@ -1,10 +1,11 @@
 """Run the whole batch on a folder of raw CSV tables.
 
     python -m mercato --raw <folder> --out <shared folder> [--run-time ISO]
-                      [--database NAME] [--top-state CODE] [--no-raise]
+                      [--database NAME] [--top-state CODE] [--no-raise] [--ids text|whole]
 
 <folder> holds one CSV sub-folder per table: orders, customers, payments,
-order_items, weather (header row; timestamps as yyyy-MM-dd HH:mm:ss).
+order_items, weather (header row, columns in any order; timestamps as
+yyyy-MM-dd HH:mm:ss, with or without a fraction).
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ def main(argv=None) -> int:
     ap.add_argument("--top-state", default=None, help="state that must rank first by revenue")
     ap.add_argument("--no-raise", action="store_true", help="report failed checks without failing")
     ap.add_argument("--weather-format", choices=("csv", "json", "json_document"), default="csv")
+    ap.add_argument("--ids", choices=("text", "whole"), default="text", help="kind of the id columns")
     args = ap.parse_args(argv)
 
     from mercato.operators.quality import DataQualityError
@@ -41,7 +43,9 @@ def main(argv=None) -> int:
     run_time = args.run_time or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(timespec="seconds")
     try:
         res = run_batch(
-            spark, read_raw_tables(spark, args.raw, weather_format=args.weather_format), args.out, run_time,
+            spark,
+            read_raw_tables(spark, args.raw, weather_format=args.weather_format, text_ids=args.ids == "text"),
+            args.out, run_time,
             database=args.database, top_state=args.top_state, raise_on_failure=not args.no_raise,
         )
     except DataQualityError as e:

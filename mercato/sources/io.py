@@ -33,12 +33,28 @@ def read_csv(
     """Typed CSV scan; malformed values fail the read (FAILFAST) instead of
     silently turning into NULLs.
 
+    With a header, columns are matched by name: the file may hold them in any
+    order and have others besides (those are not returned). A declared column
+    that the header lacks is an error, and so is a file of the folder whose
+    header differs from the first one's.
+
     Quoted fields with commas are always handled. ``multi_line=True`` also
     keeps quoted newlines in one row (free-text tables such as reviews) —
     but a multi-line CSV file cannot be split, so each file is read by one
     task; leave it off for large tables without embedded newlines."""
+    found, check = schema, header
+    if header:
+        names = (
+            spark.read.option("header", True).option("multiLine", multi_line).option("quote", '"').option("escape", '"')
+            .csv(path).columns  # reads the first line only
+        )
+        missing = [c for c in schema.names if c not in names]
+        if missing:
+            raise ValueError(f"{path}: no column {', '.join(missing)} in the header {', '.join(names)}")
+        found = T.StructType([schema[c] if c in schema.names else T.StructField(c, T.StringType()) for c in names])
     return (
-        spark.read.schema(schema)
+        spark.read.schema(found)
+        .option("enforceSchema", not check)
         .option("header", header)
         .option("multiLine", multi_line)
         .option("quote", '"')
@@ -48,6 +64,7 @@ def read_csv(
         .option("timestampFormat", timestamp_format)
         .option("dateFormat", date_format)
         .csv(path)
+        .select(*schema.names)
     )
 
 
@@ -209,29 +226,52 @@ def write_raw_tables(src, folder: str) -> None:
         write_csv(getattr(src, name), f"{folder}/{name}")
 
 
+def read_extra_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The raw tables beside the transform's (reviews, products, sellers,
+    geolocation, category names) that the folder holds. Reviews are free text
+    with quoted line breaks, so each of their files is read by one task."""
+    folder = folder.rstrip("/")
+    return {
+        name: read_csv(spark, f"{folder}/{name}", schema, multi_line=name == "reviews")
+        for name, schema in schemas.EXTRA_SCHEMAS.items()
+        if _exists(spark, f"{folder}/{name}")
+    }
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_raw_tables(
-    spark: SparkSession, folder: str, states: DataFrame | None = None, weather_format: str = "csv"
+    spark: SparkSession,
+    folder: str,
+    states: DataFrame | None = None,
+    weather_format: str = "csv",
+    text_ids: bool = False,
 ):
     """Read a folder of raw CSV tables with explicit schemas into
     :class:`mercato.sources.fixtures.Sources`. The weather sub-folder holds
     CSV, column-oriented JSON documents one per line (``"json"``, as
     ``write_weather_json`` writes them), or one pretty-printed document per
-    file (``"json_document"``). ``states`` defaults to the fixed Brazilian
+    file (``"json_document"``). ``text_ids`` reads every id as text, as the
+    public files hold them. ``states`` defaults to the fixed Brazilian
     state dimension."""
     if weather_format not in ("csv", "json", "json_document"):
         raise ValueError("weather_format must be 'csv', 'json' or 'json_document'")
     from mercato.sources.fixtures import Sources
 
     folder = folder.rstrip("/")
+    ids = schemas.text_ids if text_ids else lambda schema: schema
     if states is None:
         from mercato.operators.feeds import state_dimension
 
         states = state_dimension(spark)
     return Sources(
-        orders=read_csv(spark, f"{folder}/orders", schemas.ORDERS),
-        customers=read_csv(spark, f"{folder}/customers", schemas.CUSTOMERS),
-        payments=read_csv(spark, f"{folder}/payments", schemas.PAYMENTS),
-        order_items=read_csv(spark, f"{folder}/order_items", schemas.ORDER_ITEMS),
+        orders=read_csv(spark, f"{folder}/orders", ids(schemas.ORDERS)),
+        customers=read_csv(spark, f"{folder}/customers", ids(schemas.CUSTOMERS)),
+        payments=read_csv(spark, f"{folder}/payments", ids(schemas.PAYMENTS)),
+        order_items=read_csv(spark, f"{folder}/order_items", ids(schemas.ORDER_ITEMS)),
         weather=(
             read_csv(spark, f"{folder}/weather", schemas.WEATHER)
             if weather_format == "csv"

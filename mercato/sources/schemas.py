@@ -2,8 +2,7 @@
 
 from pyspark.sql import types as T
 
-# Money is a double holding an exact-cent value (x == cents / 100.0);
-# every sum, average and median goes through integer cents.
+# Money is a double; sums are exact for amounts in cents (functions/money.py).
 MONEY = T.DoubleType()
 
 ORDERS = T.StructType([
@@ -67,3 +66,42 @@ RAW_SCHEMAS = {
     "order_items": ORDER_ITEMS,
     "weather": WEATHER,
 }
+
+
+def _fields(kind: T.DataType, names: str) -> list[T.StructField]:
+    return [T.StructField(n, kind) for n in names.split()]
+
+
+# The raw tables the transform does not read. Ids are text. names
+# as in the public files.
+EXTRA_SCHEMAS = {
+    "reviews": T.StructType(
+        _fields(T.StringType(), "review_id order_id")
+        + _fields(T.IntegerType(), "review_score")
+        + _fields(T.StringType(), "review_comment_title review_comment_message")
+        + _fields(T.TimestampNTZType(), "review_creation_date review_answer_timestamp")
+    ),
+    "products": T.StructType(
+        _fields(T.StringType(), "product_id product_category_name")
+        + _fields(
+            T.DoubleType(),
+            "product_name_lenght product_description_lenght product_photos_qty product_weight_g "
+            "product_length_cm product_height_cm product_width_cm",
+        )
+    ),
+    "category_names": T.StructType(_fields(T.StringType(), "product_category_name product_category_name_english")),
+    "sellers": T.StructType(_fields(T.StringType(), "seller_id seller_zip_code_prefix seller_city seller_state")),
+    "geolocation": T.StructType(
+        _fields(T.StringType(), "geolocation_zip_code_prefix")
+        + _fields(T.DoubleType(), "geolocation_lat geolocation_lng")
+        + _fields(T.StringType(), "geolocation_city geolocation_state")
+    ),
+}
+
+
+def text_ids(schema: T.StructType) -> T.StructType:
+    """The schema with every whole-number id as text."""
+    return T.StructType([
+        T.StructField(f.name, T.StringType()) if f.name.endswith("_id") and isinstance(f.dataType, T.LongType) else f
+        for f in schema.fields
+    ])
