@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from mercato.operators import enrich, marts
@@ -401,5 +403,8 @@ def q_distinct_weather(spark, sf):
 )
 def q_stg_weather(spark, sf):
     """The staging view of distinct daily weather (same operator as distinct_weather)."""
-    return io.create_view(enrich.stg_weather(ofull(spark, sf)), "stg_weather")
+    view = f"stg_weather_{uuid.uuid4().hex[:8]}"
+    df = io.create_view(enrich.stg_weather(ofull(spark, sf)), view)
+    spark.catalog.dropTempView(view)
+    return df
 

@@ -9,15 +9,17 @@ original tables.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark import StorageLevel
 
 from mercato.operators import enrich, marts, report
 from mercato.plans.oracle import with_ctes
 from mercato.plans.queries_core import STG_OUT, build_ofull, ofull, out, src, stg
 from mercato.plans.registry import query
-from mercato.plans.session import scratch_path
+from mercato.plans.session import materialize, scratch_path
 from mercato.sources import io, schemas
 
 
@@ -87,8 +89,28 @@ LOADED = ("orders_full", "monthly_revenue", "revenue_by_state", "weather_impact"
     ))
 def q_sink_table(spark, sf):
     """Load the four tables into a catalog database; report rows after load."""
-    db = f"mercato_load_{uuid.uuid4().hex[:8]}"
+    with _loaded(spark, sf, "mercato_load") as (db, names):
+        counts = [
+            spark.table(f"{db}.{name}").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+            for name in names
+        ]
+        return materialize(reduce(DataFrame.unionByName, counts))
+
+
+@contextmanager
+def _database(spark, prefix):
+    """A catalog database of its own, dropped with its tables at the end."""
+    db = f"{prefix}_{uuid.uuid4().hex[:8]}"
     io.ensure_database(spark, db, scratch_path(spark, db))
+    try:
+        yield db
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS `{db}` CASCADE")
+
+
+@contextmanager
+def _loaded(spark, sf, prefix):
+    """The four tables in a database of their own: (database, table names)."""
     full = ofull(spark, sf)
     tables = {
         "orders_full": out(full),
@@ -96,14 +118,10 @@ def q_sink_table(spark, sf):
         "revenue_by_state": marts.revenue_by_state(full),
         "weather_impact": marts.weather_impact(full),
     }
-    counts = None
-    for name, df in tables.items():
-        io.save_table(df, f"{db}.{name}")
-        c = spark.table(f"{db}.{name}").agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"), "n_rows"
-        )
-        counts = c if counts is None else counts.unionByName(c)
-    return counts
+    with _database(spark, prefix) as db:
+        for name, df in tables.items():
+            io.save_table(df, f"{db}.{name}")
+        yield db, list(tables)
 
 
 @query("table_catalog")
@@ -111,40 +129,47 @@ def q_table_catalog(spark, sf):
     """Load the four tables into a fresh catalog database plus a staging view,
     then list (schema, table_name, table_type). Catalog metadata of the
     session: rows-only check."""
-    db = f"mercato_catalog_{uuid.uuid4().hex[:8]}"
-    io.ensure_database(spark, db, scratch_path(spark, db))
-    full = ofull(spark, sf)
-    for name, df in {
-        "orders_full": out(full),
-        "monthly_revenue": marts.monthly_revenue(full),
-        "revenue_by_state": marts.revenue_by_state(full),
-        "weather_impact": marts.weather_impact(full),
-    }.items():
-        io.save_table(df, f"{db}.{name}")
-    io.create_view(enrich.stg_orders(full), "stg_orders")
-    listing = io.list_tables(spark, [db])
-    return listing.where((F.col("schema") == db) | (F.col("table_name") == "stg_orders"))
+    view = f"stg_orders_{uuid.uuid4().hex[:8]}"
+    with _loaded(spark, sf, "mercato_catalog") as (db, _):
+        io.create_view(enrich.stg_orders(ofull(spark, sf)), view)
+        listing = io.list_tables(spark, [db])
+        spark.catalog.dropTempView(view)
+        return listing.where((F.col("schema") == db) | (F.col("table_name") == view))
 
 
 @query("view_staging", with_ctes(f"SELECT {STG_OUT} FROM stg"))
 def q_view_staging(spark, sf):
-    return io.create_view(out(stg(spark, sf)), "stg_orders")
+    view = f"stg_orders_{uuid.uuid4().hex[:8]}"
+    df = io.create_view(out(stg(spark, sf)), view)  # the plan stays resolved without the name
+    spark.catalog.dropTempView(view)
+    return df
 
 
 @query("table_mart", with_ctes("SELECT * FROM mart_monthly"))
 def q_table_mart(spark, sf):
-    db = "marts"
-    io.ensure_database(spark, db, scratch_path(spark, "marts"))
-    name = f"{db}.monthly_revenue_{uuid.uuid4().hex[:8]}"
-    io.save_table(marts.monthly_revenue_mart(stg(spark, sf)), name)
-    return spark.table(name)
+    with _database(spark, "marts") as db:
+        io.save_table(marts.monthly_revenue_mart(stg(spark, sf)), f"{db}.monthly_revenue")
+        return materialize(spark.table(f"{db}.monthly_revenue"))
 
 
-@query("cache_frame", with_ctes("SELECT * FROM ofull_out"))
+@query(
+    "cache_frame",
+    with_ctes(
+        "SELECT 'monthly_revenue' AS table_name, COUNT(*) AS n_rows, CAST(SUM(total_orders) AS BIGINT) AS total_orders FROM etl_monthly "
+        "UNION ALL SELECT 'revenue_by_state', COUNT(*), CAST(SUM(total_orders) AS BIGINT) FROM etl_state"
+    ),
+)
 def q_cache_frame(spark, sf):
-    """orders_full kept (memory, spilling to disk) for reuse by several marts;
-    lost blocks are recomputed from lineage."""
-    return out(ofull(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK)
+    """Two summaries from one cached orders_full, which is released afterwards."""
+    with io.cached(ofull(spark, sf)) as full:
+        parts = {"monthly_revenue": marts.monthly_revenue(full), "revenue_by_state": marts.revenue_by_state(full)}
+        rows = [
+            df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("total_orders").alias("total_orders")).select(
+                F.lit(name).alias("table_name"), "n_rows", "total_orders"
+            )
+            for name, df in parts.items()
+        ]
+        return materialize(reduce(DataFrame.unionByName, rows))
 
 
 REPORT_RUN_TIME = "1970-01-01T00:00:00"

@@ -7,8 +7,10 @@ the cluster's shared checkpoint folder (see ``plans.session.scratch_path``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -174,6 +176,17 @@ def write_parquet(
     return int(obs.get["rows"])
 
 
+@contextmanager
+def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """``df`` kept in memory, spilling to disk, while the block runs; lost blocks
+    are computed again."""
+    kept = df.persist(level)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 # ------------------------------------------------------------------ catalog
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
