@@ -117,12 +117,6 @@ def pct(numerator, denominator, scale: int = 1) -> Column:
     return F.round(F.try_divide(_c(numerator).cast("double") * F.lit(100.0), _c(denominator)), scale)
 
 
-def parse_date(column, fmt: str | None = None) -> Column:
-    """Timestamp or text -> date; malformed text -> NULL (ANSI-safe)."""
-    c = _c(column)
-    return F.try_to_date(c.cast("string"), F.lit(fmt)) if fmt else F.to_date(c)
-
-
 def to_number(column, to: str = "double") -> Column:
     """Like pandas to_numeric(errors='coerce'): bad text -> NULL."""
     return _c(column).try_cast(to)

@@ -149,27 +149,43 @@ class DataQualityError(ValueError):
         self.failures = failures
 
 
-def run_checks(checks: Mapping[str, DataFrame], raise_on_failure: bool = True, parallel: int = 4) -> dict[str, int]:
+class CheckCounts(dict):
+    """Violating rows by check, -1 for a check whose query failed; ``errors``
+    has those queries' messages."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.errors: dict[str, str] = {}
+
+    @property
+    def failures(self) -> list[str]:
+        return [
+            f"{n}: query error: {self.errors.get(n, '')}" if c < 0 else f"{n}: {c} violating rows"
+            for n, c in self.items()
+            if c
+        ]
+
+
+def run_checks(checks: Mapping[str, DataFrame], raise_on_failure: bool = True, parallel: int = 4) -> CheckCounts:
     """Count violating rows per check (one small aggregate each); a check
-    whose query fails counts as failed, not as a crash. Up to ``parallel``
+    whose query fails counts as failed, not as a crash, and keeps its message. Up to ``parallel``
     checks are submitted at once from driver threads, so the scheduler can
     overlap their jobs. Raises :class:`DataQualityError` listing every
     failure."""
     from concurrent.futures import ThreadPoolExecutor
 
-    def count(df: DataFrame) -> int:
+    results = CheckCounts()
+
+    def count(name: str) -> int:
         try:
-            return df.count()
-        except Exception:  # noqa: BLE001 - a failing query is a failed check
+            return checks[name].count()
+        except Exception as exc:  # noqa: BLE001 - a failing query is a failed check
+            results.errors[name] = str(exc).split("\n")[0][:300]
             return -1
 
     names = list(checks)
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        counts = list(pool.map(count, [checks[n] for n in names]))
-    results = dict(zip(names, counts))
-    failures = [
-        f"{n}: query error" if c < 0 else f"{n}: {c} violating rows" for n, c in results.items() if c
-    ]
-    if failures and raise_on_failure:
-        raise DataQualityError(failures)
+        results.update(zip(names, pool.map(count, names)))
+    if results.failures and raise_on_failure:
+        raise DataQualityError(results.failures)
     return results

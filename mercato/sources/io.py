@@ -98,7 +98,7 @@ def csv_to_parquet(
     raw = read_csv(spark, csv_path, schema)
     typed = raw.withColumns({c: F.to_timestamp_ntz(F.col(c), F.lit(fmt)) for c in timestamp_columns})
     typed.write.mode("overwrite").parquet(out_path)
-    return spark.read.parquet(out_path)
+    return read_parquet(spark, out_path, typed.schema)
 
 
 # ------------------------------------------------------------------ weather JSON
@@ -134,8 +134,9 @@ def write_weather_json(weather: DataFrame, path: str) -> None:
 
 # ------------------------------------------------------------------ parquet
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Parquet scan; a known schema saves the pass over a footer."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def write_parquet(

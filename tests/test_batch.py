@@ -69,3 +69,27 @@ def test_cli_runs_the_batch(spark, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert code == 2 and out["status"] == "failed"  # fixtures carry NULL payments
     assert any("null_counts" in f for f in out["failures"])
+
+
+def test_catalog_after_a_run(spark, tmp_path):
+    """orders_full and both staging views are in the database, with the rows of
+    their DataFrame functions."""
+    from conftest import SF_SMALL
+    from mercato.operators import enrich, quality
+    from mercato.plans.batch import run_batch
+    from mercato.sources import fixtures
+
+    src = fixtures.load_sources(spark, SF_SMALL)
+    run_batch(spark, src, str(tmp_path), "2024-01-01T00:00:00", database="catalog_test", raise_on_failure=False)
+    try:
+        assert {t.name for t in spark.catalog.listTables("catalog_test")} >= {"orders_full", "stg_orders", "stg_weather", "monthly_revenue"}
+        full = spark.table("catalog_test.orders_full")
+        for name, want in (("stg_orders", enrich.stg_orders(full)), ("stg_weather", enrich.stg_weather(full))):
+            got = spark.table(f"catalog_test.{name}")
+            assert got.columns == want.columns and got.count() > 0
+            assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    finally:
+        spark.sql("DROP DATABASE catalog_test CASCADE")
+    bad = spark.sql("SELECT raise_error('broken check') AS x FROM range(1)").filter("x IS NULL")
+    counts = quality.run_checks({"ok": spark.range(0), "bad": bad}, raise_on_failure=False)
+    assert counts["ok"] == 0 and (counts["bad"] == 1 or "broken check" in counts.failures[0])
