@@ -180,12 +180,8 @@ def orders_heatmap(monthly: DataFrame, years: Sequence[int] | None = None) -> Da
     where a month has no row: every month of the table by every year of it (or
     the chosen years), found from the data. Runs on the monthly table."""
     rows = filter_years(monthly, years).where(F.col("year").isNotNull() & F.col("month").isNotNull())
-    one = F.lit(1).alias("_one")
-    all_years = rows.agg(F.collect_set("year").alias("_years")).select(one, "_years")
-    grid = (
-        rows.select("month", one).distinct().join(all_years, "_one")
-        .select("month", F.explode("_years").alias("year"))
-    )
+    every = F.collect_set("year").over(Window.partitionBy())  # bounded: one row per month
+    grid = rows.withColumn("_years", every).select("month", F.explode("_years").alias("year")).distinct()
     cells = rows.groupBy("month", "year").agg(F.sum("total_orders").alias("orders"))
     return (
         grid.join(cells, ["month", "year"], "left")
