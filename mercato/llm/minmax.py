@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.near import KeyFilter, near_components
+from mercato.llm.near import KeyFilter, merged_join, near_components, permutations
 from mercato.llm.text import LOWER, SET_ROWS, list_array, mix, set_ids, shingle_sets, text_chunks
 from mercato.plans.session import materialize
 
@@ -35,13 +35,6 @@ SHINGLE, LEAST = 5, 75
 PERMUTATIONS, BANDS = 64, 32
 
 
-def permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Odd factors and offsets of ``n`` hash functions."""
-    at = np.arange(1, 2 * n + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
-    values = mix(at)
-    return values[:n] | np.uint64(1), values[n:]
-
-
 def band_keys(items: np.ndarray, first: np.ndarray, n: int = PERMUTATIONS, bands: int = BANDS) -> np.ndarray:
     """Bucket keys (rows x bands) of non-empty sets."""
     rows, per_band = len(first) - 1, n // bands
@@ -105,17 +98,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = materialize(signatures(docs))
     named = rows.filter("size > 0 and doc_id is not null")
     nodes = materialize(named.groupBy("node").agg(F.min("doc_id").alias("smallest"), F.min("size").alias("size")))
-    bands = named.select("node", "size", "keys").dropDuplicates(["node"]).select(F.explode("keys").alias("key"), "node", "size")
+    distinct = materialize(named.select("node", "size", "keys").dropDuplicates(["node"]))
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        return sets_of_documents(docs, wanted.join(nodes, "node").select("smallest")).dropDuplicates(["node"])
+        return sets_of_documents(docs, merged_join(wanted, nodes, "node").select("smallest")).dropDuplicates(["node"])
 
-    roots = near_components(bands, sets_of, least)
-    rooted = nodes.join(roots, "node", "left").select("node", "smallest", F.coalesce("root", "node").alias("root"))
+    roots = near_components(distinct, sets_of, least)
+    rooted = merged_join(nodes, roots, "node", "left").select("node", "smallest", F.coalesce("root", "node").alias("root"))
     least_id = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    component = rooted.join(least_id, "root").select("node", "component_id")
+    component = merged_join(rooted, least_id, "root").select("node", "component_id")
     # rows of empty sets or without an id stand alone and stay out of the join
-    joined = named.join(component, "node").select("doc_id", "size", "component_id")
+    joined = merged_join(named, component, "node").select("doc_id", "size", "component_id")
     alone = rows.filter("not (size > 0 and doc_id is not null)").select("doc_id", "size", F.col("doc_id").alias("component_id"))
     return joined.unionByName(alone).select(
         "doc_id",

@@ -5,13 +5,20 @@ the components of all pairs that share a band key and have a Jaccard similarity
 of at least ``least`` percent, confirmed on the full sets.
 
 It never lists all pairs of a bucket. In every round each open bucket names a
-few pivots; a pivot is compared with the members of its buckets that are not yet
-in its component. A node that was a pivot has met all its neighbours and is
-done; a bucket is open while members that are not done lie in two components.
-Pivots are the members with the most links so far, and their number per bucket
-doubles every round, so a bucket closes after about log2(size) rounds whatever
-its members look like: all links that matter for the components are found, no
-bucket is capped, and a group of copies costs about one comparison a member.
+few pivots, and a pivot is compared with the members of the bucket that are not
+yet in its component; then it leaves the bucket, having met all of it. A bucket
+is open while its members lie in two components. Pivots are the members with the
+most links so far, and their number per bucket grows fourfold every round, so a
+bucket closes after about log4(size) rounds whatever its members look like: no bucket
+is capped. The first round uses FIRST_BANDS bands only. It joins most of a group
+of copies, so the further bands find little left to compare, and such a group
+costs a few comparisons a member.
+
+Two bounds spare comparisons without losing a link. Items that no other open
+member has can't be shared, so a member whose other items are too few for the
+limit leaves its bucket (variants of one text that went too far from it). And a
+pair goes to the full sets only if 128 sketch values agree well enough: SLACK is
+five standard deviations under the limit.
 
 Everything is joins and aggregates; hot buckets are aggregated partially and
 their joins can be split by AQE. Links, components and sets stay distributed.
@@ -21,18 +28,20 @@ Tables used several times are cut off with a checkpoint in the shared folder.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.text import mix
 from mercato.plans.session import materialize
 
 #: Bits of the filter that tasks use to skip what can't be asked for; its size
-#: is fixed, so that it can be sent to every task (8 MB).
-FILTER_BITS = 1 << 26
+#: is fixed, so that it can be sent to every task (4 MB).
+FILTER_BITS = 1 << 25
 
 
 def _slots(keys: np.ndarray) -> list[np.ndarray]:
@@ -40,6 +49,25 @@ def _slots(keys: np.ndarray) -> list[np.ndarray]:
     return [(mix(k ^ np.uint64(seed)) & np.uint64(FILTER_BITS - 1)).astype(np.int64) for seed in (0x51ED27, 0xA24BAED, 0x9E6C63)]
 
 
+@contextmanager
+def plain_plans(spark: SparkSession) -> Iterator[None]:
+    """Plans without inferred constraints. Checkpointed tables hand theirs on, so
+    in a loop they would double every round, and planning time with them."""
+    name = "spark.sql.constraintPropagation.enabled"
+    before = spark.conf.get(name, "true")
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def merged_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A sort-merge join at every size. These tables grow with the input, and a
+    broadcast of each small one would pass through the driver in every round."""
+    return left.join(right.hint("merge"), on, how)
+
+
 class KeyFilter:
     """A Bloom filter of fixed size over a column of long keys; null never passes."""
 
@@ -54,8 +82,8 @@ class KeyFilter:
 
         parts = keys.toDF("key").mapInArrow(run, "word long, bits long")
         table = np.zeros(FILTER_BITS >> 6, np.uint64)
-        for r in parts.groupBy("word").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
-            table[r.word] = np.int64(r.bits).view(np.uint64)
+        merged = parts.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most FILTER_BITS / 64 rows
+        table[merged["word"].to_numpy()] = merged["bits"].to_numpy().view(np.uint64)
         self.table = keys.sparkSession.sparkContext.broadcast(table)
 
     def passes(self, keys: pa.Array) -> np.ndarray:
@@ -67,84 +95,201 @@ class KeyFilter:
         return ok
 
 
+def counted(df: DataFrame, condition: str = "true") -> tuple[DataFrame, int]:
+    """``df`` cut off by a checkpoint, and how many of its rows fulfil the
+    condition, counted in the same job."""
+    seen = Observation()
+    out = materialize(df.observe(seen, F.count_if(F.expr(condition)).alias("n")))
+    return out, int(seen.get["n"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of the undirected links (a, b); the root is the
-    smallest node of the component. Labels spread to neighbours and jump to the
-    label of their label, so the rounds grow with the logarithm of the distance."""
-    both = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = materialize(both.groupBy("a").agg(F.least("a", F.min("b")).alias("root")).withColumnRenamed("a", "node"))
-    while True:
-        near = (
-            both.join(label.withColumnRenamed("node", "b"), "b")
-            .groupBy("a")
-            .agg(F.min("root").alias("near"))
-            .withColumnRenamed("a", "node")
-        )
-        step = label.join(near, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("to"))
-        jump = label.select(F.col("node").alias("to"), F.col("root").alias("next"))
-        step = materialize(step.join(jump, "to").select("node", "old", F.least("to", "next").alias("root")))
-        changed = step.filter("root <> old").limit(1).count()
-        label = step.select("node", "root")
-        if not changed:
-            return label
+    smallest node of the component.
+
+    Every round each root that still has a link hooks onto its smallest
+    neighbour and the links are contracted to roots, so at least half of these
+    roots vanish: a component of n nodes takes at most log2(n) rounds.
+    """
+    with plain_plans(links.sparkSession):
+        return _components(links)
+
+
+def _components(links: DataFrame) -> DataFrame:
+    links, label, n = links.select("a", "b").filter("a <> b").distinct(), None, 1
+    while n:
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        parent = both.groupBy("a").agg(F.least("a", F.min("b")).alias("p"))
+        for _ in range(2):  # follow the hooks
+            upper = parent.select(F.col("a").alias("p"), F.col("p").alias("upper"))
+            parent = merged_join(parent, upper, "p").select("a", F.least("p", "upper").alias("p"))
+        parent = materialize(parent)
+        if label is None:
+            label = parent.select(F.col("a").alias("node"), F.col("p").alias("root"))
+        else:
+            label = relabelled(label, parent.select(F.col("a").alias("node"), F.col("p").alias("root")))
+        ends = merged_join(links, parent, "a").select(F.col("p").alias("x"), F.col("b").alias("a"))
+        ends = merged_join(ends, parent, "a")
+        links = ends.select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b")).filter("a <> b").distinct()
+        links, n = counted(links)
+    return materialize(label)
+
+
+def relabelled(rows: DataFrame, merged: DataFrame) -> DataFrame:
+    """``rows`` with every ``root`` that ``merged`` knows as a node replaced by
+    that node's root."""
+    new = merged.select(F.col("node").alias("root"), F.col("root").alias("_new"))
+    return merged_join(rows, new, "root", "left").withColumn("root", F.coalesce("_new", "root")).drop("_new").select(*rows.columns)
+
+
+def permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Odd factors and offsets of ``n`` hash functions."""
+    values = mix(np.arange(1, 2 * n + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+    return values[:n] | np.uint64(1), values[n:]
+
+
+#: Bands that the first round compares by.
+FIRST_BANDS = 4
+
+#: Functions of a sketch (a minimum and a maximum each), and how far under the
+#: limit its estimate may be.
+SKETCH, SLACK = 64, 0.2
+
+
+def with_sketch(sets: DataFrame) -> DataFrame:
+    """node, items and the top 16 bits of SKETCH minima and maxima."""
+    factors, offsets = permutations(SKETCH)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                flat = part.column(1).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                first = np.cumsum(np.r_[0, part.column(1).value_lengths().to_numpy(zero_copy_only=False)])[:-1]
+                out = np.zeros((part.num_rows, 2 * SKETCH), np.uint16)
+                for k in range(SKETCH):
+                    y = (flat + offsets[k]) * factors[k]
+                    out[:, 2 * k] = np.minimum.reduceat(y, first) >> np.uint64(16)  # low bits: the top ones are all alike
+                    out[:, 2 * k + 1] = np.maximum.reduceat(y, first) >> np.uint64(16)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array([r.tobytes() for r in out], pa.binary())], names=["node", "items", "sketch"]
+                )
+
+    return sets.select("node", "items").filter(F.size("items") > 0).mapInArrow(run, "node long, items array<long>, sketch binary")
 
 
 def similar_pairs(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """The pairs (a, b) whose sets have 100 * intersection >= least * union."""
+    """The pairs (a, b, and the roots of both) whose sets have
+    100 * intersection >= least * union."""
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, 2 * SKETCH) for i in ("a_sketch", "b_sketch"))
+                ok = (one == two).mean(axis=1) >= least / 100 - SLACK
+                yield batch.select(["a", "b", "a_root", "b_root"]).filter(pa.array(ok))
+
+    one = sets.select(F.col("node").alias("a"), F.col("sketch").alias("a_sketch"))
+    two = sets.select(F.col("node").alias("b"), F.col("sketch").alias("b_sketch"))
+    sketched = merged_join(merged_join(pairs, one, "a"), two, "b").select("a", "b", "a_root", "b_root", "a_sketch", "b_sketch")
+    close = sketched.mapInArrow(likely, "a long, b long, a_root long, b_root long")
     one = sets.select(F.col("node").alias("a"), F.col("items").alias("a_items"))
     two = sets.select(F.col("node").alias("b"), F.col("items").alias("b_items"))
     shared = F.size(F.array_intersect("a_items", "b_items"))
     union = F.size("a_items") + F.size("b_items") - shared
-    return pairs.join(one, "a").join(two, "b").filter(100 * shared >= least * union).select("a", "b")
+    return merged_join(merged_join(close, one, "a"), two, "b").filter(100 * shared >= least * union).select("a", "b", "a_root", "b_root")
+
+
+def _open(rows: DataFrame, least: int) -> DataFrame:
+    """Members of buckets with two components, but for those that have too few
+    items in common with others to link even with the smallest member."""
+    buckets = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("size").alias("smallest"))
+    members = merged_join(rows, buckets.filter("lo < hi").select("key", "smallest"), "key")
+    return members.filter(f"{100 + least} * common >= {least} * (size + smallest)").drop("smallest")
+
+
+def _pair(a: str, a_root: str, b: str, b_root: str):
+    return F.struct(F.col(a).alias("a"), F.col(b).alias("b"), F.col(a_root).alias("a_root"), F.col(b_root).alias("b_root"))
+
+
+def _lonely_items(live: DataFrame, sets: DataFrame) -> DataFrame:
+    """node and the number of its items that no other open node has."""
+    items = merged_join(live.select("node").distinct(), sets, "node").select("node", F.explode("items").alias("item"))
+    once = items.groupBy("item").agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1")
+    return once.groupBy("node").agg(F.count("*").cast("int").alias("lonely"))
 
 
 def near_components(
-    bands: DataFrame, sets_of: Callable[[DataFrame], DataFrame], least: int = 75
+    nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], least: int = 75
 ) -> DataFrame:
-    """(node, root) of all nodes that have a link.
+    """(node, root) of all nodes that share a bucket; the root is the smallest
+    node of the component.
 
-    ``bands``: key (long), node (long), size (of the node's set), one row per
-    band and distinct node. ``sets_of`` gets the nodes in question (a column
+    ``nodes``: node (long), size (of its set), keys (array of long, one a band),
+    one row per distinct node. ``sets_of`` gets the nodes in question (a column
     ``node``) and returns node and items (array of long, distinct) for at least
     those.
     """
-    shared = bands.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key")
-    members = materialize(bands.join(shared, "key").select("key", "node", "size"))
-    sets = materialize(sets_of(members.select("node").distinct()).select("node", "items"))
-    linked, links, done, roots = False, None, None, None
-    rows = members.select("*", F.col("node").alias("root"), F.lit(0).alias("links"))
-    pivots_each = 2
+    with plain_plans(nodes.sparkSession):
+        return _near_components(nodes, sets_of, least)
+
+
+def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], least: int) -> DataFrame:
+    shared = nodes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = materialize(shared.select("key"))
+    known = KeyFilter(shared)
+
+    def of_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = pc.list_parent_indices(batch.column(2))
+            band = np.arange(len(row)) - np.searchsorted(row.to_numpy(), row.to_numpy())
+            flat = pa.RecordBatch.from_arrays(
+                [batch.column(2).flatten(), batch.column(0).take(row), batch.column(1).take(row), pa.array(band.astype(np.int32))],
+                names=["key", "node", "size", "band"],
+            )
+            yield flat.filter(pa.array(known.passes(flat.column(0))))
+
+    maybe = nodes.select("node", F.col("size").cast("int"), "keys").mapInArrow(of_shared, "key long, node long, size int, band int")
+    members = materialize(merged_join(maybe, shared, "key"))
+    sets = materialize(with_sketch(sets_of(members.select("node").distinct())))
+    label = sets.select("node", F.col("node").alias("root"))
+    links, lonely = None, None
+    members = members.withColumn("common", F.col("size"))
+    rows = members.filter(F.col("band") < FIRST_BANDS).withColumn("root", F.col("node")).withColumn("links", F.lit(0))
+    rows = rows.select("key", "node", "size", "common", "root", "links")
+    pivots_each, last_bands = 1, False
     while True:
-        # ``rows`` are members that are not done; open buckets have two components
-        still = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
-        live = materialize(rows.join(still, "key"))
-        if live.limit(1).count() == 0:
-            return roots if linked else bands.select("node", F.col("node").alias("root")).limit(0)
+        # ``rows`` are members that were no pivots of their bucket yet
+        live, n = counted(_open(rows, least) if lonely is None else _open(_open(rows, least), least))
+        if not n and last_bands:
+            return label
+        if last_bands and lonely is None:
+            lonely = materialize(_lonely_items(live, sets))
+            rows = merged_join(live, lonely, "node", "left").withColumn("common", F.col("size") - F.coalesce("lonely", F.lit(0))).drop("lonely")
+            continue
         by_links = Window.partitionBy("key").orderBy(F.desc("links"), F.xxhash64("node"), "node")
-        chosen = (
-            live.select("key", "node", "links", F.row_number().over(by_links).alias("k"))
-            .filter(F.col("k") <= pivots_each)
-            .select("node")
-            .distinct()
-        )
-        chosen = materialize(chosen)
-        # a chosen node is a pivot of all its open buckets
-        pivots = live.join(chosen, "node").select(
-            "key", F.col("node").alias("p"), F.col("root").alias("p_root"), F.col("size").alias("p_size")
+        pivots = live.withColumn("k", F.row_number().over(by_links)).filter(F.col("k") <= pivots_each)
+        pivots = pivots.select(
+            "key", F.col("node").alias("p"), F.col("root").alias("p_root"), F.col("size").alias("p_size"), F.col("common").alias("p_common")
         )
-        met = live.join(pivots, "key").filter(
-            f"node <> p and root <> p_root and 100 * least(size, p_size) >= {least} * greatest(size, p_size)"
+        met = merged_join(live, pivots, "key").filter(
+            f"root <> p_root and 100 * least(size, p_size) >= {least} * greatest(size, p_size) "
+            f"and {100 + least} * least(common, p_common) >= {least} * (size + p_size)"
         )
-        pairs = met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-        found = materialize(similar_pairs(pairs, sets, least))
-        links = found if links is None else links.unionByName(found)
-        done = chosen if done is None else done.unionByName(chosen)
-        if found.limit(1).count():
-            linked, roots = True, components(links)
-        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").cast("int").alias("links"))
-        rows = members.join(done, "node", "left_anti").join(degree, "node", "left").withColumn("links", F.coalesce("links", F.lit(0)))
-        if linked:
-            rows = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        ours, theirs = ("node", "root"), ("p", "p_root")
+        pair = F.when(F.col("node") < F.col("p"), _pair(*ours, *theirs)).otherwise(_pair(*theirs, *ours))
+        pairs = met.select(pair.alias("x")).select("x.*")
+        found, n = counted(similar_pairs(pairs.distinct(), sets, least))
+        ends = found.select(F.explode(F.array("a", "b")).alias("node"))
+        links = ends if links is None else links.unionByName(ends)
+        if n:
+            merged = components(found.select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b")))
+            label = materialize(relabelled(label, merged))
+        if last_bands:
+            rows = merged_join(live.drop("root", "links"), pivots.select("key", F.col("p").alias("node")), ["key", "node"], "left_anti")
+            pivots_each *= 4
         else:
-            rows = rows.withColumn("root", F.col("node"))
-        pivots_each *= 2
+            rows, last_bands = members.select("key", "node", "size", "common"), True
+        degree = links.groupBy("node").agg(F.count("*").cast("int").alias("links"))
+        rows = merged_join(merged_join(rows, label, "node"), degree, "node", "left").withColumn("links", F.coalesce("links", F.lit(0)))
+        rows = rows.select("key", "node", "size", "common", "root", "links")

@@ -37,8 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.minmax import permutations
-from mercato.llm.near import KeyFilter, near_components
+from mercato.llm.near import KeyFilter, merged_join, near_components, permutations
 from mercato.llm.text import (
     LOWER,
     SET_ROWS,
@@ -195,7 +194,7 @@ def _with_first(rows: DataFrame, by: str) -> DataFrame:
     ``first_doc``, the document of the first."""
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "doc_key", "start")
     first = rows.groupBy(by).agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last")
-    later = rows.join(first, by).filter(place != F.col("first"))
+    later = merged_join(rows, first, by).filter(place != F.col("first"))
     return later.select("doc_key", "start", "end", F.col("first.doc_id").alias("first_doc"))
 
 
@@ -215,7 +214,7 @@ def repeated_pieces(parts: DataFrame) -> DataFrame:
 
     rows = parts.select("doc_id", "doc_key", "p_hash", "p_start", "p_end")
     rows = rows.mapInArrow(run, "doc_id long, doc_key long, hash long, start long, end long")
-    return _with_first(rows.join(twice, "hash"), "hash")
+    return _with_first(merged_join(rows, twice, "hash"), "hash")
 
 
 def repeated_lines(parts: DataFrame, docs: DataFrame, least: int = LEAST) -> DataFrame:
@@ -227,14 +226,14 @@ def repeated_lines(parts: DataFrame, docs: DataFrame, least: int = LEAST) -> Dat
         "doc_id", "doc_key", "l.*", F.slice("l_keys", F.col("k") * BANDS + 1, BANDS).alias("keys")
     )
     nodes = lines.groupBy("node").agg(F.min("doc_key").alias("doc_key"))
-    bands = lines.select("node", "size", "keys").dropDuplicates(["node"]).select(F.explode("keys").alias("key"), "node", "size")
+    distinct = materialize(lines.select("node", "size", "keys").dropDuplicates(["node"]))
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        of = materialize(wanted.join(nodes, "node").select("node", "doc_key"))
+        of = materialize(merged_join(wanted, nodes, "node").select("node", "doc_key"))
         return line_sets_of(docs, of.select("doc_key"), of.select("node")).dropDuplicates(["node"])
 
-    roots = near_components(bands, sets_of, least)
-    placed = lines.select("doc_id", "doc_key", "node", "start", "end").join(roots, "node", "left")
+    roots = near_components(distinct, sets_of, least)
+    placed = merged_join(lines.select("doc_id", "doc_key", "node", "start", "end"), roots, "node", "left")
     return _with_first(placed.withColumn("root", F.coalesce("root", "node")), "root")
 
 
@@ -317,7 +316,7 @@ def dedup_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 names=["doc_id", "text", "n_words", "n_removed", "removed", "first_docs", *(["row"] if keep else [])],
             )
 
-    return whole.join(by_doc, "doc_key", "left").mapInArrow(
+    return merged_join(whole, by_doc, "doc_key", "left").mapInArrow(
         run,
         "doc_id long, text string, n_words long, n_removed long, removed array<struct<start:long,end:long>>, "
         f"first_docs array<long>{extra}",
