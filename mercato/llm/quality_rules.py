@@ -106,7 +106,8 @@ def bucket_counts(
         "text is not null"
     )
     # rows without an id have no label; they stay out of the join and can't crowd one task
-    marked = rows.filter("doc_id is not null").join(trusted, "doc_id", "left").select("text", "trusted")
+    # a merge join at every size: labels grow with the documents and are never broadcast
+    marked = rows.filter("doc_id is not null").join(trusted.hint("merge"), "doc_id", "left").select("text", "trusted")
     marked = marked.unionByName(rows.filter("doc_id is null").select("text", F.lit(None).cast("int").alias("trusted")))
     grams = with_hashes(marked).select(F.explode(_grams(buckets)).alias("bucket"), "trusted")
     return grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("target"))
