@@ -6,7 +6,7 @@ family; within a family, one-versus-one machines separate its languages, and
 the language with the most confidence over its duels wins.
 
 The machines are fitted on a bounded sample of the labelled rows
-(``sample_rows``, the rows with the smallest hash of their id); prediction reads
+(``sample_rows``, those with the smallest hash of their id); prediction reads
 every whole text.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
@@ -136,7 +136,6 @@ def fit(
     """Fit on at most ``sample_rows`` rows that have a language and a letter."""
     rows = docs.select(
         F.xxhash64(F.col(id_col).cast("string")).alias("at"),
-        F.col(id_col).cast("string").alias("id"),
         F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"),
     ).filter("text is not null and lang is not null")
@@ -149,8 +148,11 @@ def fit(
                     names=["lang", "h"],
                 )
 
-    sample = rows.orderBy("at", "id", "text").limit(sample_rows).select("lang", "text").mapInArrow(run, "lang string, h binary")
-    got = sample.collect()  # at most sample_rows rows of DIMENSIONS * 4 bytes
+    # the sample's last hash is found on the hashes alone, so no text is sorted or moved
+    smallest = rows.select("at").orderBy("at").limit(sample_rows)
+    last = smallest.agg(F.max("at")).first()[0]
+    sample = rows.filter(F.col("at") <= (0 if last is None else last)).select("lang", "text").mapInArrow(run, "lang string, h binary")
+    got = sample.limit(2 * sample_rows).collect()  # rows of DIMENSIONS * 4 bytes; more than sample_rows only by equal ids
     h = np.stack([np.frombuffer(r.h, "<f4") for r in got]).astype(float) if got else np.zeros((0, DIMENSIONS))
     langs = np.asarray([r.lang for r in got], object)
     some = h.sum(axis=1) > 0
