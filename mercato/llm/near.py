@@ -62,6 +62,12 @@ def plain_plans(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def few(df: DataFrame, rows: int, each: int = 100_000) -> DataFrame:
+    """At most one task per ``each`` of a known number of rows: a stage of many
+    nearly empty tasks writes several files a task."""
+    return df.coalesce(max(1, -(-rows // each)))
+
+
 def merged_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
     """A sort-merge join at every size. These tables grow with the input, and a
     broadcast of each small one would pass through the driver in every round."""
@@ -116,22 +122,23 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _components(links: DataFrame) -> DataFrame:
-    links, label, n = links.select("a", "b").filter("a <> b").distinct(), None, 1
-    while n:
+    links, n = counted(links.select("a", "b").filter("a <> b").distinct())
+    links, label, total = few(links, n), None, n
+    while n or label is None:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = both.groupBy("a").agg(F.least("a", F.min("b")).alias("p"))
+        parent = few(both.groupBy("a").agg(F.least("a", F.min("b")).alias("p")), 2 * n)
         for _ in range(2):  # follow the hooks
             upper = parent.select(F.col("a").alias("p"), F.col("p").alias("upper"))
-            parent = merged_join(parent, upper, "p").select("a", F.least("p", "upper").alias("p"))
+            parent = few(merged_join(parent, upper, "p").select("a", F.least("p", "upper").alias("p")), 2 * n)
         parent = materialize(parent)
         if label is None:
             label = parent.select(F.col("a").alias("node"), F.col("p").alias("root"))
         else:
-            label = relabelled(label, parent.select(F.col("a").alias("node"), F.col("p").alias("root")))
+            label = few(relabelled(label, parent.select(F.col("a").alias("node"), F.col("p").alias("root"))), 2 * total)
         ends = merged_join(links, parent, "a").select(F.col("p").alias("x"), F.col("b").alias("a"))
-        ends = merged_join(ends, parent, "a")
+        ends = few(merged_join(few(ends, n), parent, "a"), n)
         links = ends.select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b")).filter("a <> b").distinct()
-        links, n = counted(links)
+        links, n = counted(few(links, n))
     return materialize(label)
 
 
@@ -236,7 +243,8 @@ def near_components(
 
 def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], least: int) -> DataFrame:
     shared = nodes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = materialize(shared.select("key"))
+    shared, n = counted(shared.select("key"))
+    shared = few(shared, n)
     known = KeyFilter(shared)
 
     def of_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,8 +258,10 @@ def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
             yield flat.filter(pa.array(known.passes(flat.column(0))))
 
     maybe = nodes.select("node", F.col("size").cast("int"), "keys").mapInArrow(of_shared, "key long, node long, size int, band int")
-    members = materialize(merged_join(maybe, shared, "key"))
-    sets = materialize(with_sketch(sets_of(members.select("node").distinct())))
+    members, size = counted(merged_join(maybe, shared, "key"))
+    members = few(members, size)
+    sets, n_sets = counted(with_sketch(sets_of(members.select("node").distinct())))
+    sets = few(sets, n_sets, 5_000)
     label = sets.select("node", F.col("node").alias("root"))
     links, lonely = None, None
     members = members.withColumn("common", F.col("size"))
@@ -260,11 +270,12 @@ def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
     pivots_each, last_bands = 1, False
     while True:
         # ``rows`` are members that were no pivots of their bucket yet
-        live, n = counted(_open(rows, least) if lonely is None else _open(_open(rows, least), least))
+        live, n = counted(few(_open(rows, least) if lonely is None else _open(few(_open(rows, least), size), least), size))
+        live = few(live, n)
         if not n and last_bands:
             return label
         if last_bands and lonely is None:
-            lonely = materialize(_lonely_items(live, sets))
+            lonely = materialize(few(_lonely_items(live, sets), n_sets))
             rows = merged_join(live, lonely, "node", "left").withColumn("common", F.col("size") - F.coalesce("lonely", F.lit(0))).drop("lonely")
             continue
         by_links = Window.partitionBy("key").orderBy(F.desc("links"), F.xxhash64("node"), "node")
@@ -279,12 +290,13 @@ def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
         ours, theirs = ("node", "root"), ("p", "p_root")
         pair = F.when(F.col("node") < F.col("p"), _pair(*ours, *theirs)).otherwise(_pair(*theirs, *ours))
         pairs = met.select(pair.alias("x")).select("x.*")
-        found, n = counted(similar_pairs(pairs.distinct(), sets, least))
+        found, n = counted(similar_pairs(few(pairs.distinct(), n * pivots_each), sets, least))
+        found = few(found, n)
         ends = found.select(F.explode(F.array("a", "b")).alias("node"))
         links = ends if links is None else links.unionByName(ends)
         if n:
             merged = components(found.select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b")))
-            label = materialize(relabelled(label, merged))
+            label = materialize(few(relabelled(label, merged), n_sets))
         if last_bands:
             rows = merged_join(live.drop("root", "links"), pivots.select("key", F.col("p").alias("node")), ["key", "node"], "left_anti")
             pivots_each *= 4
