@@ -13,7 +13,8 @@ Two kinds of paragraphs are compared across the whole corpus:
   its bucket key is the hash of all its words.
 
 In document order, the first paragraph of a cluster stays and the others are
-removed; of pieces, only runs that cover at least MIN_WORDS words. So every
+removed; of pieces, only runs that cover at least MIN_WORDS words. Lines go
+first: a piece that touches a removed line is never the one that stays. So every
 verbatim repeat of 51 words or more loses its later copies (two cuts lie at most
 SPREAD - 1 words from its ends), and no text shorter than MIN_WORDS words is
 touched.
@@ -190,30 +191,43 @@ def line_sets_of(docs: DataFrame, keys: DataFrame, nodes: DataFrame) -> DataFram
 
 
 def _with_first(rows: DataFrame, by: str) -> DataFrame:
-    """Rows of groups ``by`` that are not the first of their group, with
-    ``first_doc``, the document of the first."""
+    """Rows of groups ``by`` that are not the first free one of their group, with
+    ``first_doc``, the document of that one; groups without a free row stay."""
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "doc_key", "start")
-    first = rows.groupBy(by).agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last")
+    places = rows.groupBy(by).agg(F.min(F.when(F.col("free"), place)).alias("first"), F.min(place).alias("least"), F.max(place).alias("last"))
+    first = places.filter("first is not null and least < last").select(by, "first")
     later = merged_join(rows, first, by).filter(place != F.col("first"))
     return later.select("doc_key", "start", "end", F.col("first.doc_id").alias("first_doc"))
 
 
-def repeated_pieces(parts: DataFrame) -> DataFrame:
-    """Later occurrences of pieces: doc_key, start, end, first_doc."""
+def repeated_pieces(parts: DataFrame, gone: DataFrame) -> DataFrame:
+    """Later occurrences of pieces: doc_key, start, end, first_doc. The first one
+    is chosen among those that touch no removed line (``gone``: doc_key, start,
+    end)."""
     hashes = parts.select(F.explode("p_hash").alias("hash"))
     twice = materialize(hashes.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"))
-    known = KeyFilter(twice)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hash_list = batch.column(2)
-            ok = pa.array(known.passes(hash_list.flatten()))
-            row = pc.list_parent_indices(hash_list)
-            flat = [batch.column(i).take(row).filter(ok) for i in (0, 1)] + [batch.column(i).flatten().filter(ok) for i in (2, 3, 4)]
-            yield pa.RecordBatch.from_arrays(flat, names=["doc_id", "doc_key", "hash", "start", "end"])
-
-    rows = parts.select("doc_id", "doc_key", "p_hash", "p_start", "p_end")
-    rows = rows.mapInArrow(run, "doc_id long, doc_key long, hash long, start long, end long")
+    lines = gone.groupBy("doc_key").agg(F.collect_set(F.struct("start", "end")).alias("gone"))
+    known, of_gone = KeyFilter(twice), KeyFilter(gone.select("doc_key"))
+
+    def occurrences(cut: bool) -> DataFrame:
+        """Those in the documents that (may) have lost lines, or in the others."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                batch = batch.filter(pa.array(of_gone.passes(batch.column(1)) == cut))
+                hash_list = batch.column(2)
+                ok = pa.array(known.passes(hash_list.flatten()))
+                row = pc.list_parent_indices(hash_list)
+                flat = [batch.column(i).take(row).filter(ok) for i in (0, 1)] + [batch.column(i).flatten().filter(ok) for i in (2, 3, 4)]
+                yield pa.RecordBatch.from_arrays(flat, names=["doc_id", "doc_key", "hash", "start", "end"])
+
+        rows = parts.select("doc_id", "doc_key", "p_hash", "p_start", "p_end")
+        return rows.mapInArrow(run, "doc_id long, doc_key long, hash long, start long, end long")
+
+    touched = F.expr("gone is not null and exists(gone, g -> g.start < end and start < g.end)")
+    maybe = merged_join(occurrences(True), lines, "doc_key", "left").withColumn("free", ~touched)
+    names = ["doc_id", "doc_key", "hash", "start", "end", "free"]
+    rows = maybe.select(*names).unionByName(occurrences(False).withColumn("free", F.lit(True)))
     return _with_first(merged_join(rows, twice, "hash"), "hash")
 
 
@@ -234,7 +248,7 @@ def repeated_lines(parts: DataFrame, docs: DataFrame, least: int = LEAST) -> Dat
 
     roots = near_components(distinct, sets_of, least)
     placed = merged_join(lines.select("doc_id", "doc_key", "node", "start", "end"), roots, "node", "left")
-    return _with_first(placed.withColumn("root", F.coalesce("root", "node")), "root")
+    return _with_first(placed.withColumn("root", F.coalesce("root", "node")).withColumn("free", F.lit(True)), "root")
 
 
 def _runs(spans: list[tuple[int, int]], least: int) -> list[tuple[int, int]]:
@@ -280,8 +294,9 @@ def dedup_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     docs as a struct ``row``."""
     rows = with_key(docs, id_col, text_col)
     parts = materialize(paragraphs_of(rows))
-    kinds = [repeated_lines(parts, rows).withColumn("line", F.lit(True)), repeated_pieces(parts).withColumn("line", F.lit(False))]
-    spans = kinds[0].unionByName(kinds[1])
+    lines = materialize(repeated_lines(parts, rows))
+    pieces = repeated_pieces(parts, lines.select("doc_key", "start", "end"))
+    spans = lines.withColumn("line", F.lit(True)).unionByName(pieces.withColumn("line", F.lit(False)))
     by_doc = spans.groupBy("doc_key").agg(F.collect_list(F.struct("line", "start", "end", "first_doc")).alias("spans"))
     whole = rows
     if keep:

@@ -191,6 +191,43 @@ def test_passages_of_the_table(spark):
             assert shared or "\n" in text[i]
 
 
+def test_passages_of_removed_lines_stay_elsewhere(spark):
+    rng = random.Random(21)
+    line, passage = words(rng, 250), words(rng, 51)
+    around = [" ".join(words(rng, 80)) for _ in range(4)]
+    rows = [(1, " ".join(line)), (5, " ".join(line + passage)), (9, f"{around[0]} {' '.join(passage)} {around[1]}"), (12, f"{around[2]} {' '.join(passage)} {around[3]}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in paragraphs.dedup_paragraphs(docs).collect()}
+    assert got[5].text == "" and got[1].text == rows[0][1] and got[9].text == rows[2][1]
+    assert got[12].n_removed and got[12].first_docs == [9]
+    assert grams([r.text for r in got.values()], 51)[tuple(passage)] == 1
+
+
+def test_repeated_passages_of_the_table_stay(spark):
+    docs = Q.table(spark, SF_CHECK, "documents")
+    rows = paragraphs.with_key(docs, "doc_id", "text")
+    parts = near.materialize(paragraphs.paragraphs_of(rows))
+    gone = collections.defaultdict(set)
+    for r in paragraphs.repeated_lines(parts, rows).collect():
+        gone[r.doc_key].update(range(r.start, r.end))
+    outside, total = collections.Counter(), collections.Counter()
+    for r in rows.collect():
+        w = SPACED.findall((r.text or "").translate(LOWER))
+        for k in range(len(w) - 50):
+            total[tuple(w[k : k + 51])] += 1
+            outside[tuple(w[k : k + 51])] += gone[r.doc_key].isdisjoint(range(k, k + 51))
+    texts = [r.text for r in Q.op10_paragraph_minhash(spark, SF_CHECK).collect()]
+    after, at_20 = grams(texts, 51), grams(texts, 20)
+    left = "\n".join(f" {' '.join(SPACED.findall((t or '').translate(LOWER)))} " for t in texts)
+    repeated = [g for g, n in total.items() if n > 1 and outside[g]]
+    assert repeated and max(after[g] for g in repeated) == 1 and sum(after[g] for g in repeated) >= 0.9 * len(repeated)
+    for g in repeated:
+        # one that spans two passages, whose first places differ, stays in parts; one that repeats itself, as its first period
+        if not after[g] and not any(at_20[g[k : k + 20]] for k in range(32)):
+            period = next(n for n in range(1, 52) if all(x == y for x, y in zip(g, g[n:])))
+            assert period < 20 and any(f" {' '.join(g[k : k + period])} " in left for k in range(period)), g
+
+
 def test_paragraph_edges(spark):
     long_line = " ".join(f"k{i}" for i in range(60))
     rows = [(1, None), (2, ""), (3, " \n\n"), (4, long_line), (4, long_line), (5, long_line), (None, long_line), (6, "z " * 400), (7, "few words\nfew words")]
