@@ -30,6 +30,9 @@ from pyspark.sql import functions as F
 # Elements whose content is never text, elements that begin and end
 # blocks, and elements without content.
 _SILENT = "script|style|noscript|template|title|svg|math|iframe|object|canvas|audio|video|textarea|select"
+#: Of these, those without markup inside: unclosed, they run to the end of the page.
+_PLAIN = frozenset("script style title textarea".split())
+_FOREIGN = frozenset(("svg", "math"))
 _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
@@ -61,8 +64,9 @@ _BAD_NAMES = frozenset(
 _NAME_ODDS = (1.0, -8.0)
 
 _RAW = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_SILENT})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)", re.IGNORECASE | re.DOTALL
+    rf"""<!--.*?(?:-->|\Z)|<(/?)({_SILENT})(?=[\s/>])((?:"[^"<]*"|'[^'<]*'|[^'">]|["'])*+)>|<[!?][^>]*(?:>|\Z)""", re.IGNORECASE | re.DOTALL
 )
+_ENDS = {t: re.compile(rf"</{t}(?:[\s/][^>]*)?>", re.IGNORECASE) for t in _PLAIN}
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:"[^"<]*"|'[^'<]*'|[^'"<>]|["'])*)(?:>|\Z)""")
 _NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 _WORD = re.compile(r"[a-zA-Z]+")
@@ -88,6 +92,39 @@ def _name_odds(tag: str, attributes: str) -> float:
     return odds
 
 
+def _spoken(html: str) -> str:
+    """The page without comments, declarations and silent elements. One without
+    its end tag loses only its tag, unless it holds no markup."""
+    kept: list[str] = []
+    opened: list[tuple[str, int]] = []  # (tag, parts kept before it)
+    unclosed: set[str] = set()
+    at = 0
+    while m := _RAW.search(html, at):
+        kept.append(html[at : m.start()])
+        at = m.end()
+        if not m.group(2):
+            continue
+        tag, foreign = m.group(2).lower(), any(t in _FOREIGN for t, _ in opened)
+        if m.group(1):
+            for k in range(len(opened) - 1, -1, -1):
+                if opened[k][0] == tag:
+                    del kept[opened[k][1] :], opened[k:]
+                    break
+        elif m.group(3).endswith("/") and (foreign or tag in _FOREIGN):
+            continue
+        elif tag in _PLAIN:
+            end = None if tag in unclosed else _ENDS[tag].search(html, at)
+            if end:
+                at = end.end()
+            elif foreign:
+                unclosed.add(tag)
+            else:
+                return "".join(kept)
+        else:
+            opened.append((tag, len(kept)))
+    return "".join(kept) + html[at:]
+
+
 @dataclass
 class Block:
     text: str
@@ -97,7 +134,7 @@ class Block:
 
 def blocks_of(html: str) -> list[Block]:
     """The page's blocks in order, with the log odds of being content."""
-    page = _RAW.sub("", html)
+    page = _spoken(html)
     blocks: list[Block] = []
     stack: list[tuple[str, int, float]] = [("", 0, 0.0)]  # (tag, number, odds so far)
     parts: list[str] = []

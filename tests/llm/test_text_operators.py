@@ -147,6 +147,21 @@ def test_main_text_of_a_full_page():
     )
 
 
+@pytest.mark.parametrize(
+    "silent, text",
+    [
+        ('<svg class="i"/>', "one two"), ("<math/>", "one two"), ("<video-player src=x></video-player>", "one two"),
+        ("<select-box>own</select-box>", "one own two"), ("<object data=x>", "one two"), ("<video src=x><p>mid</p><video src=y>no</video>", "one mid two"),
+        ("<svg><svg>no</svg><title/>no</svg>", "one two"), ("<object><object>no</object>no</object >", "one two"), ('<svg aria-label="a > b"/>', "one two"),
+        ("<script>no</script x>", "one two"), ("<SCRIPT>no", "one"), ("<textarea>no", "one"), ("<template><svg>no</template>", "one two"),
+        ("<!-- <svg> -->", "one two"), ("<svg a='1' " + 'b="2" ' * 60, "one"),
+    ],
+)
+def test_silent_elements_end_where_they_end(silent, text):
+    page = f"<article><p>one</p>{silent}<p>two</p></article>" if not silent.endswith(" ") else f"<article><p>one</p>{silent}"
+    assert " ".join(b.text for b in html.blocks_of(page)) == text
+
+
 def test_pages_edges(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<p>cut <b>off <a hre"), (3, "u", "<p>cut <b>off <a hre"), (None, "u", "<nav>x</nav>"), (5, "u", "<div>" * 500 + "plain words stand here. " * 900)]
     pages = spark.createDataFrame([(*r, "t", 1) for r in rows], "page_id long, url string, html string, text string, n_kept int")
