@@ -61,6 +61,12 @@ _BAD_NAMES = frozenset(
     "promo promoted promotion reader related recommended replies reply respond responses search share sharing sidebar "
     "sidebars signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets".split()
 )
+#: Words that leave a bad name bad when they stand in one class or id with it
+#: ("site-nav", "comment-list"); any other makes another name ("has-sidebar").
+_BESIDE = frozenset(
+    "area bar block bottom box button buttons container footer global group header icon icons inner item items left link list "
+    "main nav of page post posts primary right secondary section site the top wrap wrapper".split()
+)
 _NAME_ODDS = (1.0, -8.0)
 
 _RAW = re.compile(
@@ -75,21 +81,27 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 ADJACENT, SIBLING = 0.6, 0.4
 
 
-def _name_odds(tag: str, attributes: str) -> float:
-    odds = _TAG_ODDS.get(tag, 0.0)
+def _is_bad(name: str) -> bool:
+    """Whether a whole class or id (without its modifier) is a bad name."""
+    name = name.split("--")[0]
+    words = {w.lower() for w in _WORD.findall(_CAMEL.sub(" ", name))}
+    return name.lower() in _BAD_NAMES or bool(words & _BAD_NAMES) and words <= _BAD_NAMES | _BESIDE
+
+
+def _name_odds(tag: str, attributes: str) -> tuple[float, float]:
+    """(odds of the element, odds of its bad names)."""
+    odds, bad = _TAG_ODDS.get(tag, 0.0), 0.0
     for m in _NAMES.finditer(attributes):
         kind, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
         if kind == "role":
             odds += _ROLE_ODDS.get(value.strip().lower(), 0.0)
         elif kind == "hidden" or (kind == "aria-hidden" and value.lower() == "true"):
             odds += _NAME_ODDS[1]
-        else:
-            words = {w.lower() for w in _WORD.findall(_CAMEL.sub(" ", value))}
-            if words & _BAD_NAMES:
-                odds += _NAME_ODDS[1]
-            elif words & _GOOD_NAMES:
-                odds += _NAME_ODDS[0]
-    return odds
+        elif tag not in ("html", "body") and any(map(_is_bad, value.split())):
+            bad += _NAME_ODDS[1]
+        elif {w.lower() for w in _WORD.findall(_CAMEL.sub(" ", value))} & _GOOD_NAMES:
+            odds += _NAME_ODDS[0]
+    return odds, bad
 
 
 def _spoken(html: str) -> str:
@@ -132,11 +144,30 @@ class Block:
     odds: float
 
 
+def _spared(blocks: list[Block], named: set[int], mains: set[int], articles: set[int]) -> set[int]:
+    """Elements of bad names that hold the page's main element, its longest
+    article or, with none of these outside of them, most of its text."""
+    size: dict[int, int] = {}
+    above: dict[int, tuple[int, ...]] = {}
+    for b in blocks:
+        for k, n in enumerate(b.path):
+            if n in mains or n in articles or n in named:
+                size[n] = size.get(n, 0) + len(b.text)
+                above[n] = b.path[:k]
+    total = sum(len(b.text) for b in blocks)
+    holders = [n for n in size if n in mains or n in articles]
+    longest = max((n for n in holders if n in articles), key=lambda n: size[n], default=0)
+    held = {n for h in holders if h in mains or h == longest for n in above[h]}
+    return {n for n in named & size.keys() if n in held or 2 * size[n] > total and all(h == n or n in above[h] for h in holders)}
+
+
 def blocks_of(html: str) -> list[Block]:
     """The page's blocks in order, with the log odds of being content."""
     page = _spoken(html)
     blocks: list[Block] = []
     stack: list[tuple[str, int, float]] = [("", 0, 0.0)]  # (tag, number, odds so far)
+    named: dict[int, float] = {}  # odds of bad names by element
+    mains, articles = set(), set()
     parts: list[str] = []
     linked = opened = 0
 
@@ -191,13 +222,26 @@ def blocks_of(html: str) -> list[Block]:
                 if stack[k][0] in _HOLDS:
                     break
         opened += 1
-        odds = stack[-1][2] + _name_odds(tag, attributes)
+        own, bad = _name_odds(tag, attributes)
+        odds = stack[-1][2] + own
+        role = next((m.group(2) or m.group(3) or m.group(4) for m in _NAMES.finditer(attributes) if m.group(1).lower() == "role"), None) or ""
+        if bad:
+            named[opened] = bad
+        elif "main" in (tag, role.strip().lower()):
+            mains.add(opened)
+        elif "article" in (tag, role.strip().lower()):
+            articles.add(opened)
         if tag == "header" and any(t in ("article", "main") for t, _, _ in stack):
             odds += 4.0  # an article's own heading area
         stack.append((tag, opened, odds))
     if at < len(page):
         add(page[at:])
     close_block()
+    if named:
+        for n in _spared(blocks, set(named), mains, articles):
+            del named[n]
+        for b in blocks:
+            b.odds += sum(named.get(n, 0.0) for n in b.path)
     return blocks
 
 

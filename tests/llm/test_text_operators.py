@@ -147,6 +147,33 @@ def test_main_text_of_a_full_page():
     )
 
 
+PARAGRAPHS = ["The first paragraph of this page has some words.", "Another one follows it here, with a few more of them."]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<body class="single sidebar">{}', '<html id="page" class="widget"><body class="header-fixed">{}', '<div class="comments-open">{}</div>',
+        '<div id="page-with-sidebar"><article>{}</article></div>', '<div class="has-sidebar"><div class="sidebar">{}</div></div>',
+        '<div class="widget"><main>{}</main></div>', '<div class="header"><article>{}</article></div><div class="comments">x</div>',
+    ],
+)
+def test_names_of_wrappers_spare_the_text(page):
+    text = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    assert html.main_text(page.format(text) + '<div class="sidebar"><p>Some other things to read.</p></div>')[0].split("\n") == PARAGRAPHS
+
+
+@pytest.mark.parametrize(
+    "name", ["comments", "comment-list", "site-nav", "sidebarLeft", "widget--wide", "post author-bio", "cookie_notice", "related-posts"]
+)
+def test_bad_names_take_their_text(name):
+    text = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    long = "This one has a long tail of words that nobody wrote for the article. " * 4
+    for other in (f'<div class="{name}"><p>{long}</p></div>', f'<aside>x</aside><div id="{name.split()[-1]}"><article class="comment"><p>{long}</p></article></div>'):
+        for page in (f"<article>{text}</article>{other}", f"<main>{text}{other}</main>"):
+            assert html.main_text(page)[0].split("\n") == PARAGRAPHS
+
+
 @pytest.mark.parametrize(
     "silent, text",
     [
