@@ -1,7 +1,7 @@
 """Language identification in two steps: family, then language in the family.
 
 Texts become relative frequencies of hashed byte trigrams of their lower-cased
-words. One-versus-rest linear support vector machines choose the language
+words, with a space before and after the text. One-versus-rest linear support vector machines choose the language
 family; within a family, one-versus-one machines separate its languages, and
 the language with the most confidence over its duels wins.
 
@@ -59,14 +59,14 @@ def histograms(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
     """(first row, end row, relative trigram frequencies) of runs of rows."""
     for lo, hi, buf, offs in text_chunks(pc.utf8_lower(texts.cast(pa.large_string())), most_rows=256):
         rows = hi - lo
-        low = np.where(_LETTERS[buf], buf, np.uint8(0x20)).astype(np.uint32)
-        owner = np.repeat(np.arange(rows, dtype=np.int64), np.diff(offs))
-        h = np.zeros((rows, DIMENSIONS))
-        if len(low) > 2:
-            three = (low[:-2] << 16) | (low[1:-1] << 8) | low[2:]
-            keep = (owner[:-2] == owner[2:]) & (low[1:-1] != 0x20)
-            slot = ((three * np.uint32(2654435761)) >> np.uint32(20)).astype(np.int64)
-            h = np.bincount((owner[:-2] * DIMENSIONS + slot)[keep], minlength=rows * DIMENSIONS).reshape(rows, -1).astype(float)
+        # a space on both sides of every text, so that each letter is the middle of a trigram
+        low = np.full(len(buf) + 2 * rows, 0x20, np.uint32)
+        owner = np.repeat(np.arange(rows, dtype=np.int64), np.diff(offs) + 2)
+        low[np.arange(len(buf)) + 2 * np.repeat(np.arange(rows), np.diff(offs)) + 1] = np.where(_LETTERS[buf], buf, np.uint8(0x20))
+        three = (low[:-2] << 16) | (low[1:-1] << 8) | low[2:]
+        keep = (owner[:-2] == owner[2:]) & (low[1:-1] != 0x20)
+        slot = ((three * np.uint32(2654435761)) >> np.uint32(20)).astype(np.int64)
+        h = np.bincount((owner[:-2] * DIMENSIONS + slot)[keep], minlength=rows * DIMENSIONS).reshape(rows, -1).astype(float)
         total = h.sum(axis=1, keepdims=True)
         yield lo, hi, h / np.maximum(total, 1)
 
@@ -182,7 +182,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             for lo, hi, h in histograms(texts):
                 lang, score = model.predict(h)
                 for i in range(hi - lo):
-                    if not h[i].any() or not _has_letter(texts[lo + i].as_py()):
+                    if not _has_letter(texts[lo + i].as_py()):
                         lang[i], score[i] = UNKNOWN, 0.0
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(list(lang), pa.string()), pa.array(score, pa.float64())],

@@ -323,6 +323,16 @@ def test_language_edges(spark, edge):
     assert {(r.lang_pred, r.score) for r in langid.predict(edge.filter("doc_id = 7"), single).collect()} == {("en", 1.0)}
 
 
+def test_every_letter_gets_a_language(spark, docs):
+    model = langid.fit(docs)
+    texts = ["A.", "a", "a b", "é", " x", "ß\n", "日", "1", ".", "", None, "ª", "--a--", "ab"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r for r in langid.predict(rows, model).collect()}
+    for i, text in enumerate(texts):
+        assert (got[i].lang_pred == "und") == (not any(map(str.isalpha, text or ""))), text
+        assert (got[i].score == 0) == (got[i].lang_pred == "und")
+
+
 # quality classifier
 
 def test_quality_held_out(spark, docs):
