@@ -191,12 +191,13 @@ def line_sets_of(docs: DataFrame, keys: DataFrame, nodes: DataFrame) -> DataFram
 
 
 def _with_first(rows: DataFrame, by: str) -> DataFrame:
-    """Rows of groups ``by`` that are not the first free one of their group, with
-    ``first_doc``, the document of that one; groups without a free row stay."""
+    """Rows of groups ``by`` that come after the first free one of their group,
+    with ``first_doc``, the document of that one. What goes always has an earlier
+    place that stays, so no two places can name each other."""
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "doc_key", "start")
     places = rows.groupBy(by).agg(F.min(F.when(F.col("free"), place)).alias("first"), F.min(place).alias("least"), F.max(place).alias("last"))
     first = places.filter("first is not null and least < last").select(by, "first")
-    later = merged_join(rows, first, by).filter(place != F.col("first"))
+    later = merged_join(rows, first, by).filter(place > F.col("first"))
     return later.select("doc_key", "start", "end", F.col("first.doc_id").alias("first_doc"))
 
 

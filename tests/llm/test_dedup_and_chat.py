@@ -203,6 +203,15 @@ def test_passages_of_removed_lines_stay_elsewhere(spark):
     assert grams([r.text for r in got.values()], 51)[tuple(passage)] == 1
 
 
+def test_passages_over_the_end_of_a_removed_line_stay(spark):
+    rng = random.Random(5)
+    line, passage = words(rng, 60), words(rng, 90)
+    rows = [(20, " ".join(line)), (21, f"{' '.join(line)}\n{' '.join(passage)}"), (22, " ".join([*words(rng, 80), *line[-9:], *passage]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in paragraphs.dedup_paragraphs(docs).collect()}
+    assert got[21].text == " ".join(passage) and got[22].n_removed > 0
+
+
 def test_repeated_passages_of_the_table_stay(spark):
     docs = Q.table(spark, SF_CHECK, "documents")
     rows = paragraphs.with_key(docs, "doc_id", "text")
