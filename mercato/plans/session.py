@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -109,9 +109,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/mercato-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df):
+def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and return a frame that
     reads it back (lineage cut: later failures do not recompute the inputs).
-    Use when several results are derived from one expensive frame."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    Use when several results are derived from one expensive frame.
+
+    The read has the stored files' size as its estimate. A ``checkpoint()`` keeps
+    the estimate of the plan it came from, a product over all joins before, which
+    in a loop grows in length with every round. Columns are stored by position,
+    so any names will do.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    named = [f"c{i}" for i in range(len(df.columns))]
+    stored = df.toDF(*named)
+    stored.write.parquet(path)
+    out = spark.read.schema(stored.schema).parquet(path).toDF(*df.columns)
+    out._mercato_path = path
+    return out
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Delete the files of materialized frames that nothing will read again.
+    Frames that were not materialized are left alone."""
+    for df in frames:
+        path = getattr(df, "_mercato_path", None)
+        if path:
+            sc = df.sparkSession.sparkContext
+            where = sc._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
