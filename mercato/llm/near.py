@@ -22,7 +22,8 @@ five standard deviations under the limit.
 
 Everything is joins and aggregates; hot buckets are aggregated partially and
 their joins can be split by AQE. Links, components and sets stay distributed.
-Tables used several times are cut off with a checkpoint in the shared folder.
+Tables used several times are stored in the shared folder and read back, and
+deleted when the next round's stand.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.text import mix
-from mercato.plans.session import materialize
+from mercato.plans.session import discard, materialize
 
 #: Bits of the filter that tasks use to skip what can't be asked for; its size
 #: is fixed, so that it can be sent to every task (4 MB).
@@ -51,8 +52,8 @@ def _slots(keys: np.ndarray) -> list[np.ndarray]:
 
 @contextmanager
 def plain_plans(spark: SparkSession) -> Iterator[None]:
-    """Plans without inferred constraints. Checkpointed tables hand theirs on, so
-    in a loop they would double every round, and planning time with them."""
+    """Plans without inferred constraints: many small joins are planned here, and
+    inferring them is much of the time that takes."""
     name = "spark.sql.constraintPropagation.enabled"
     before = spark.conf.get(name, "true")
     spark.conf.set(name, "false")
@@ -65,7 +66,10 @@ def plain_plans(spark: SparkSession) -> Iterator[None]:
 def few(df: DataFrame, rows: int, each: int = 100_000) -> DataFrame:
     """At most one task per ``each`` of a known number of rows: a stage of many
     nearly empty tasks writes several files a task."""
-    return df.coalesce(max(1, -(-rows // each)))
+    out = df.coalesce(max(1, -(-rows // each)))
+    if hasattr(df, "_mercato_path"):
+        out._mercato_path = df._mercato_path
+    return out
 
 
 def merged_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
@@ -75,7 +79,8 @@ def merged_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> Da
 
 
 class KeyFilter:
-    """A Bloom filter of fixed size over a column of long keys; null never passes."""
+    """A Bloom filter of fixed size over a column of long keys; null never passes.
+    ``release`` frees it in the driver and the executors."""
 
     def __init__(self, keys: DataFrame) -> None:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,6 +97,9 @@ class KeyFilter:
         table[merged["word"].to_numpy()] = merged["bits"].to_numpy().view(np.uint64)
         self.table = keys.sparkSession.sparkContext.broadcast(table)
 
+    def release(self) -> None:
+        self.table.destroy()
+
     def passes(self, keys: pa.Array) -> np.ndarray:
         table = self.table.value
         ok = keys.is_valid().to_numpy(zero_copy_only=False)
@@ -102,7 +110,7 @@ class KeyFilter:
 
 
 def counted(df: DataFrame, condition: str = "true") -> tuple[DataFrame, int]:
-    """``df`` cut off by a checkpoint, and how many of its rows fulfil the
+    """``df`` stored and read back, and how many of its rows fulfil the
     condition, counted in the same job."""
     seen = Observation()
     out = materialize(df.observe(seen, F.count_if(F.expr(condition)).alias("n")))
@@ -114,32 +122,50 @@ def components(links: DataFrame) -> DataFrame:
     smallest node of the component.
 
     Every round each root that still has a link hooks onto its smallest
-    neighbour and the links are contracted to roots, so at least half of these
-    roots vanish: a component of n nodes takes at most log2(n) rounds.
+    neighbour, the hooks are followed to their ends by doubling, and the links are
+    contracted to those roots. At least half of the roots with a link vanish, so a
+    component of n nodes takes at most log2(n) rounds; a chain of hooks of length
+    d takes log2(d) doublings, two of them a job.
     """
     with plain_plans(links.sparkSession):
         return _components(links)
 
 
+def _followed(parent: DataFrame, n: int) -> DataFrame:
+    """(a, p) with every p replaced by the end of its chain of hooks."""
+    moved = 1
+    while moved:
+        before, upper = parent, parent.select(F.col("a").alias("p"), F.col("p").alias("upper"))
+        once = merged_join(parent, upper, "p").select("a", F.col("upper").alias("p"))
+        upper = once.select(F.col("a").alias("p"), F.col("p").alias("upper"))
+        twice = merged_join(once, upper, "p").select("a", F.col("upper").alias("p"), (F.col("upper") < F.col("p")).alias("moved"))
+        seen = Observation()
+        parent = materialize(few(twice, n).observe(seen, F.count_if("moved").alias("n")).drop("moved"))
+        moved = int(seen.get["n"])
+        discard(before)
+    return parent
+
+
 def _components(links: DataFrame) -> DataFrame:
     links, n = counted(links.select("a", "b").filter("a <> b").distinct())
-    links, label, total = few(links, n), None, n
+    label, total = None, n
     while n or label is None:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = few(both.groupBy("a").agg(F.least("a", F.min("b")).alias("p")), 2 * n)
-        for _ in range(2):  # follow the hooks
-            upper = parent.select(F.col("a").alias("p"), F.col("p").alias("upper"))
-            parent = few(merged_join(parent, upper, "p").select("a", F.least("p", "upper").alias("p")), 2 * n)
-        parent = materialize(parent)
+        hooks = materialize(few(both.groupBy("a").agg(F.least("a", F.min("b")).alias("p")), 2 * n))
+        parent = _followed(hooks, 2 * n)
+        old_label, old_links = label, links
         if label is None:
             label = parent.select(F.col("a").alias("node"), F.col("p").alias("root"))
         else:
-            label = few(relabelled(label, parent.select(F.col("a").alias("node"), F.col("p").alias("root"))), 2 * total)
+            label = relabelled(label, parent.select(F.col("a").alias("node"), F.col("p").alias("root")))
+        label = materialize(few(label, 2 * total))
         ends = merged_join(links, parent, "a").select(F.col("p").alias("x"), F.col("b").alias("a"))
         ends = few(merged_join(few(ends, n), parent, "a"), n)
         links = ends.select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b")).filter("a <> b").distinct()
         links, n = counted(few(links, n))
-    return materialize(label)
+        discard(parent, old_label, old_links)
+    discard(links)
+    return label
 
 
 def relabelled(rows: DataFrame, merged: DataFrame) -> DataFrame:
@@ -260,19 +286,23 @@ def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
     maybe = nodes.select("node", F.col("size").cast("int"), "keys").mapInArrow(of_shared, "key long, node long, size int, band int")
     members, size = counted(merged_join(maybe, shared, "key"))
     members = few(members, size)
+    known.release()
     sets, n_sets = counted(with_sketch(sets_of(members.select("node").distinct())))
     sets = few(sets, n_sets, 5_000)
     label = sets.select("node", F.col("node").alias("root"))
-    links, lonely = None, None
+    stored, degree, live, lonely = [shared, members, sets], None, None, None
     members = members.withColumn("common", F.col("size"))
     rows = members.filter(F.col("band") < FIRST_BANDS).withColumn("root", F.col("node")).withColumn("links", F.lit(0))
     rows = rows.select("key", "node", "size", "common", "root", "links")
     pivots_each, last_bands = 1, False
     while True:
         # ``rows`` are members that were no pivots of their bucket yet
+        before = live
         live, n = counted(few(_open(rows, least) if lonely is None else _open(few(_open(rows, least), size), least), size))
         live = few(live, n)
+        discard(before)
         if not n and last_bands:
+            discard(*stored, live, lonely, degree)
             return label
         if last_bands and lonely is None:
             lonely = materialize(few(_lonely_items(live, sets), n_sets))
@@ -292,16 +322,20 @@ def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
         pairs = met.select(pair.alias("x")).select("x.*")
         found, n = counted(similar_pairs(few(pairs.distinct(), n * pivots_each), sets, least))
         found = few(found, n)
-        ends = found.select(F.explode(F.array("a", "b")).alias("node"))
-        links = ends if links is None else links.unionByName(ends)
-        if n:
+        if n or degree is None:
+            ends = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").cast("int").alias("links"))
+            old_degree, old_label = degree, label
+            if degree is not None:
+                ends = ends.unionByName(degree).groupBy("node").agg(F.sum("links").cast("int").alias("links"))
+            degree = materialize(few(ends, n_sets))
             merged = components(found.select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b")))
             label = materialize(few(relabelled(label, merged), n_sets))
+            discard(old_degree, old_label, merged)
+        discard(found)
         if last_bands:
             rows = merged_join(live.drop("root", "links"), pivots.select("key", F.col("p").alias("node")), ["key", "node"], "left_anti")
             pivots_each *= 4
         else:
             rows, last_bands = members.select("key", "node", "size", "common"), True
-        degree = links.groupBy("node").agg(F.count("*").cast("int").alias("links"))
         rows = merged_join(merged_join(rows, label, "node"), degree, "node", "left").withColumn("links", F.coalesce("links", F.lit(0)))
         rows = rows.select("key", "node", "size", "common", "root", "links")

@@ -114,6 +114,27 @@ def test_components_of_random_links(spark):
     assert got == roots_of({x for e in links for x in e}, links)
 
 
+def test_components_of_a_long_rising_chain_take_few_rounds(spark, monkeypatch):
+    jobs = []
+    kept = near.materialize
+    monkeypatch.setattr(near, "materialize", lambda df: jobs.append(1) or kept(df))
+    got = near.components(spark.range(10_000).selectExpr("id as a", "id + 1 as b"))
+    assert got.count() == 10_001 and got.filter("root <> 0").count() == 0 and len(jobs) <= 20
+
+
+def test_near_duplicates_leave_only_their_result(spark):
+    import os
+
+    from mercato.plans.session import checkpoint_dir
+
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    docs = spark.createDataFrame(near_rows(), "doc_id long, text string")
+    near_nodes = minmax.signatures(docs).filter("size > 0").select("node", "size", "keys").dropDuplicates(["node"])
+    roots = near.near_components(near_nodes, lambda wanted: minmax.sets_of_documents(docs, docs.select("doc_id")).dropDuplicates(["node"]))
+    assert roots.count() > 0 and len(set(os.listdir(folder)) - before) == 1
+
+
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(4)
     pool = rng.integers(1, 1 << 55, 4000, dtype=np.uint64)
