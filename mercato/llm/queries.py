@@ -188,3 +188,53 @@ def op10_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mercato.llm.paragraphs import dedup_paragraphs
 
     return dedup_paragraphs(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+with d as (select doc_id, coalesce(text, '') t, sha256('7:' || coalesce(doc_id::varchar, '')) h from documents),
+u as (select *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') us from d),
+c as (select *, len(us) n, ('0x' || substr(h, 1, 8))::bigint % (len(us) + 1) c1, ('0x' || substr(h, 9, 8))::bigint % (len(us) + 1) c2,
+             case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>')
+                       or ('0x' || substr(h, 17, 8))::bigint % 100 >= 100 then 'plain'
+                  when ('0x' || substr(h, 25, 8))::bigint % 100 < 50 then 'spm' else 'psm' end form from u),
+s as (select *, array_to_string(us[:least(c1, c2)], '') p, array_to_string(us[least(c1, c2) + 1:greatest(c1, c2)], '') m,
+             array_to_string(us[greatest(c1, c2) + 1:], '') s from c)
+select doc_id, n::bigint n, form, case when form <> 'plain' then length(p)::bigint end prefix_chars,
+       case when form <> 'plain' then length(m)::bigint end middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                        else '<S>' || s || '<P>' || p || '<M>' || m end) output_sha256,
+       sha256(t) restored_sha256
+from s
+"""
+
+
+@query("op13_learned_rank_fim", OP13_SQL)
+def op13_learned_rank_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.fim import fill_in_middle
+
+    cut = fill_in_middle(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("text", 256).alias("restored_sha256"),
+    )
+
+
+OP11_SQL = """
+with d as (select row_number() over () r, doc_id, coalesce(text, '') t from documents),
+l as (select r, unnest(string_split(t, chr(10))) line, unnest(range(len(string_split(t, chr(10))))) pos from d),
+k as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') key from l),
+hot as (select key from k where length(key) >= 1 group by key having count(distinct r) >= 10),
+m as (select k.*, hot.key is not null dropped from k left join hot on k.key = hot.key),
+g as (select r, count(*) n_lines, count(*) filter (dropped) n_dropped,
+             string_agg(line, chr(10) order by pos) filter (not dropped) kept from m group by r)
+select doc_id, n_lines, n_dropped, sha256(coalesce(kept, '')) kept_sha256 from d join g on d.r = g.r
+"""
+
+
+@query("op11_cuckoo_line_dedup", OP11_SQL)
+def op11_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.linededup import drop_common_lines
+
+    kept = drop_common_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
