@@ -238,3 +238,22 @@ def op11_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     kept = drop_common_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op12_checkpointed_repair")
+def op12_checkpointed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm import repair
+    from mercato.plans.joins import join_on_keys
+
+    turns = table(spark, sf_dir, "conversations")
+    repaired = repair.repair(repair.damaged(turns))
+    every = turns.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    found = join_on_keys(repaired.conversations, repair.digests(repaired.edits), ["conv_id"])
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return join_on_keys(every, found, ["conv_id"]).select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"),
+    )
