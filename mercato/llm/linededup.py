@@ -204,6 +204,13 @@ def _shard(shards: int):
     return F.col("k1").bitwiseAND(F.lit(shards - 1).cast("long"))
 
 
+def _by_shard(rows: DataFrame) -> DataFrame:
+    """Each shard in one task, in order of kind. The shuffle is by a hash of the
+    shard: one by the shard itself is left out where both sides of the union seem
+    to have it, and adaptive execution may then read these sides apart."""
+    return rows.repartition(F.xxhash64("shard")).sortWithinPartitions("shard", "kind")
+
+
 class LineIndex:
     """Reference counts and filters of a set of documents. ``insert`` and
     ``delete`` return a new index; the old one stays valid until ``discard``."""
@@ -308,7 +315,7 @@ class LineIndex:
             if state is not None:
                 yield done()
 
-        placed = rows.select("shard", "kind", "k1", "k2", "hot", "table", "stash").repartition("shard").sortWithinPartitions("shard", "kind")
+        placed = _by_shard(rows.select("shard", "kind", "k1", "k2", "hot", "table", "stash"))
         return placed.mapInArrow(run, "shard long, hot long, table binary, stash binary")
 
     def heavy(self) -> tuple[np.ndarray, np.ndarray]:
@@ -383,7 +390,7 @@ class LineIndex:
         found = docs.mapInArrow(places, "doc_at long, doc_key long, k1 long, k2 long")
         asked = found.withColumn("shard", _shard(self.shards)).withColumn("kind", F.lit(1))
         heads = self.filters.select("shard", "table", "stash", F.lit(0).alias("kind"))
-        rows = asked.unionByName(heads, allowMissingColumns=True).repartition("shard").sortWithinPartitions("shard", "kind")
+        rows = _by_shard(asked.unionByName(heads, allowMissingColumns=True))
         passed = rows.mapInArrow(probe, "doc_at long, doc_key long, k1 long, k2 long")
         return merged_join(passed, self.removable().select("k1", "k2"), ["k1", "k2"], "left_semi")
 
