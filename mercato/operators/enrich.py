@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions import rules
 from mercato.functions.money import money_sum
+from mercato.operators.lookups import JoinAudit, JoinGuard, lookup_join
 from mercato.sources.schemas import MONEY
 
 
@@ -74,8 +75,15 @@ def items_agg(order_items: DataFrame) -> DataFrame:
     )
 
 
-def join_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    return orders.join(project_customers(customers), on="customer_id", how="left")
+def join_customers(
+    orders: DataFrame, customers: DataFrame, guard: JoinGuard | None = None, hot: dict | None = None
+) -> DataFrame:
+    """State and city of each order's customer. With ``guard`` the rows are
+    counted in the job that runs the join, with ``hot`` (customer: share) the
+    rows of such customers are spread over tasks (see operators/lookups.py)."""
+    if guard is None and not hot:
+        return orders.join(project_customers(customers), on="customer_id", how="left")
+    return lookup_join(orders, project_customers(customers), "customer_id", guard, hot)
 
 
 def join_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
@@ -94,13 +102,27 @@ def clean_weather(weather: DataFrame) -> DataFrame:
     )
 
 
-def join_weather(orders: DataFrame, weather: DataFrame) -> DataFrame:
+def join_weather(orders: DataFrame, weather: DataFrame, guard: JoinGuard | None = None) -> DataFrame:
     """Left join on purchase_date = date; the weather key column is dropped.
     The planner broadcasts a stored weather table by its file size."""
     w = clean_weather(weather)
+    if guard is not None:
+        return lookup_join(orders, w.withColumnRenamed("date", "purchase_date"), "purchase_date", guard)
     return orders.join(w, orders["purchase_date"] == w["date"], "left").drop(w["date"])
 
 
+class OrderGuards:
+    """The guards of the joins of ``orders_full`` to its two lookups. Payments and
+    items are aggregated to one row per order and can't fan out."""
+
+    def __init__(self) -> None:
+        self.customers, self.weather = JoinGuard("orders to customers"), JoinGuard("orders to weather")
+
+    def check(self) -> list[JoinAudit]:
+        """Raise FanOutError with the offending keys, or tell what was seen."""
+        return [self.customers.check(), self.weather.check()]
+
+
 ORDERS_FULL_COLUMNS = [
     "order_id", "customer_id", "order_status",
     "order_purchase_timestamp", "order_delivered_customer_date", "order_estimated_delivery_date",
@@ -117,24 +139,27 @@ def orders_full(
     payments: DataFrame,
     order_items: DataFrame,
     weather: DataFrame,
+    guards: OrderGuards | None = None,
+    hot_customers: dict | None = None,
 ) -> DataFrame:
     """The enriched fact table: one row per delivered order.
 
     ``rain_category`` treats missing precipitation as no rain (the only rule
-    the reference writes into this table).
+    the reference writes into this table). With ``guards`` the joins to lookups
+    are counted; ``guards.check()`` after the job that runs them.
     """
     df = clean_orders(orders)
     df = join_payments(df, payments)
     df = join_items(df, order_items)
-    df = join_customers(df, customers)
-    df = join_weather(df, weather)
+    df = join_customers(df, customers, guards.customers if guards else None, hot_customers)
+    df = join_weather(df, weather, guards.weather if guards else None)
     df = df.withColumn("rain_category", rules.rain_category("precipitation", null_policy="no_rain"))
     return df.select(*ORDERS_FULL_COLUMNS)
 
 
-def orders_full_from(src) -> DataFrame:
+def orders_full_from(src, guards: OrderGuards | None = None, hot_customers: dict | None = None) -> DataFrame:
     """``orders_full`` from a :class:`mercato.sources.fixtures.Sources`."""
-    return orders_full(src.orders, src.customers, src.payments, src.order_items, src.weather)
+    return orders_full(src.orders, src.customers, src.payments, src.order_items, src.weather, guards, hot_customers)
 
 
 def write_orders_full(full: DataFrame, path: str) -> DataFrame:

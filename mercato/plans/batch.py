@@ -86,9 +86,12 @@ def run_batch(
     out_dir = out_dir.rstrip("/")
     res = BatchResult(out_dir=out_dir, database=database)
 
-    # transform: the enriched fact table, stored once
-    full = enrich.orders_full(src.orders, src.customers, src.payments, src.order_items, src.weather)
+    # transform: the enriched fact table, stored once; a lookup that would double
+    # orders fails the run with its keys before anything is loaded
+    guards = enrich.OrderGuards()
+    full = enrich.orders_full_from(src, guards)
     res.rows_written["orders_full"] = io.write_parquet(full, f"{out_dir}/orders_full", ["year", "month"])
+    guards.check()
     stored = spark.read.schema(full.schema).parquet(f"{out_dir}/orders_full").select(*full.columns)
 
     # load: summary tables and staged marts, all derived from the stored table

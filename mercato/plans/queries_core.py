@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from mercato.operators import enrich, marts
+from mercato.operators.lookups import JoinGuard, hot_keys, lookup_join
 from mercato.plans.oracle import MAVG, MSUM, OFULL_OUT, R, RAIN, TEMP, with_ctes
 from mercato.plans.registry import query
-from mercato.plans.session import input_version, scratch_path
+from mercato.plans.session import discard, input_version, materialize, scratch_path
 from mercato.sources import fixtures, io
 
 
@@ -47,10 +48,16 @@ def build_ofull(spark, sf):
 
 
 def ofull(spark, sf):
-    """The stored orders_full (written on first use of this input version)."""
-    return _stored(
-        "orders-full-table", spark, sf, lambda path: enrich.write_orders_full(build_ofull(spark, sf), path)
-    )
+    """The stored orders_full (written on first use of this input version, its
+    joins counted in the write job)."""
+
+    def build(path):
+        guards = enrich.OrderGuards()
+        stored = enrich.write_orders_full(enrich.orders_full_from(src(spark, sf), guards), path)
+        guards.check()
+        return stored
+
+    return _stored("orders-full-table", spark, sf, build)
 
 
 def stg(spark, sf):
@@ -211,6 +218,42 @@ def q_join_weather(spark, sf):
     return enrich.join_weather(enrich.clean_orders(s.orders), s.weather)
 
 
+@query(
+    "join_row_audit",
+    with_ctes(
+        "SELECT 'orders to customers' AS join_name, COUNT(*) AS rows_in, COUNT(*) AS rows_out, "
+        "CAST(0 AS BIGINT) AS repeated_keys FROM clean UNION ALL "
+        "SELECT 'orders to weather', COUNT(*), COUNT(*), 0 FROM clean UNION ALL "
+        "SELECT 'orders to payments', COUNT(*), COUNT(*), (SELECT COUNT(*) FROM "
+        "(SELECT order_id FROM src_payments WHERE order_id IS NOT NULL GROUP BY order_id HAVING COUNT(*) > 1) d) FROM clean"
+    ),
+)
+def q_join_row_audit(spark, sf):
+    """What the guarded joins saw: orders_full's two lookups, and the payments as
+    they come, whose orders have several rows (the reason they are aggregated)."""
+    s, guards, raw = src(spark, sf), enrich.OrderGuards(), JoinGuard("orders to payments")
+    discard(materialize(enrich.orders_full_from(s, guards)))
+    payments = s.payments.select("order_id", "payment_sequential", "payment_value")
+    discard(materialize(lookup_join(enrich.clean_orders(s.orders), payments, "order_id", raw)))
+    seen = [(a.name, a.rows_in, a.rows_out, a.repeated_keys) for a in [*guards.check(), raw.audit()]]
+    return spark.createDataFrame(seen, "join_name string, rows_in long, rows_out long, repeated_keys long")
+
+
+@query(
+    "join_states_spread",
+    with_ctes(
+        "SELECT f.order_id, f.customer_state, CAST(f.total_payment AS DOUBLE) AS total_payment, s.state_name "
+        "FROM ofull f LEFT JOIN src_states s ON f.customer_state = s.state_code"
+    ),
+)
+def q_join_states_spread(spark, sf):
+    """Orders with the name of their state, a key of few values: the rows of each
+    state with at least one in a hundred orders are spread over tasks."""
+    orders = ofull(spark, sf).select("order_id", "customer_state", "total_payment")
+    names = src(spark, sf).states.select(F.col("state_code").alias("customer_state"), "state_name")
+    return lookup_join(orders, names, "customer_state", hot=hot_keys(orders, "customer_state"), tasks=256)
+
+
 @query("drop_column", with_ctes("SELECT * FROM clean"))
 def q_drop_column(spark, sf):
     """Join then drop the right key (``date``): the result has no key column."""
