@@ -101,3 +101,16 @@ def test_queries_against_the_oracle(spark, name):
 
     r = compare(spark, duck(SF_CHECK), name, E.queries()[name], E.oracle_sql()[name], SF_CHECK)
     assert r["ok"] and r["rows"], r
+
+
+def test_checked_in_tasks_show_the_hot_key_spread():
+    """Join tasks of tests/hot_key_report.py: a customer with a third of 64,710 orders."""
+    import json
+    from pathlib import Path
+
+    def read(name):
+        lines = (Path(__file__).parent / "hot_key_tasks" / f"{name}.jsonl").read_text().splitlines()
+        return sorted(json.loads(x)["Task Metrics"]["Shuffle Read Metrics"]["Total Records Read"] for x in lines)
+
+    plain, spread = read("plain"), read("spread")
+    assert plain[-1] > sum(plain) / 4 and spread[-1] < 4 * spread[len(spread) // 2] and len(spread) == 64
