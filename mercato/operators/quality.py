@@ -7,12 +7,13 @@ Generic checks share one schema so they can be unioned and counted:
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions import rules
+from mercato.operators import rule_pass
 
 VIOLATION_COLUMNS = ["check", "table_name", "column_name", "row_key", "bad_value"]
 
@@ -52,16 +53,6 @@ LATE_RATE_MAX_PCT = 50
 NULL_COUNT_COLUMNS = [("order_id", "null_order_ids"), ("total_payment", "null_payments"), ("customer_state", "null_states")]
 
 
-def _violations(df: DataFrame, check: str, table: str, column: str, key, bad) -> DataFrame:
-    return df.select(
-        F.lit(check).alias("check"),
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        key.cast("string").alias("row_key"),
-        bad.cast("string").alias("bad_value"),
-    )
-
-
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
@@ -69,33 +60,46 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def not_null(df: DataFrame, table: str, column: str, key: str) -> DataFrame:
-    return _violations(df.where(F.col(column).isNull()), "not_null", table, column, F.col(key), F.lit(None))
-
-
-def unique(df: DataFrame, table: str, column: str) -> DataFrame:
-    """Values that occur more than once (NULLs ignored). Partial counts per
-    task, so a hot value costs one row per task."""
-    dup = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return _violations(dup, "unique", table, column, F.col(column), F.col("_n"))
+def _by_table(not_null=(), accepted=(), unique=()) -> dict[str, list[rule_pass.TableRules]]:
+    """Rules of each table, one set a row key. Checks: (table, key, column[, values])
+    and (table, column)."""
+    grouped: dict[tuple[str, str | None], dict] = {}
+    for t, k, c in not_null:
+        grouped.setdefault((t, k), {}).setdefault("not_null", []).append(c)
+    for t, k, c, values in accepted:
+        grouped.setdefault((t, k), {}).setdefault("accepted", {})[c] = values
+    for t, c in unique:
+        key = next((k for name, k in grouped if name == t), None)
+        grouped.setdefault((t, key), {}).setdefault("unique", []).append(c)
+    out: dict[str, list] = {}
+    for (t, k), rules in grouped.items():
+        out.setdefault(t, []).append(rule_pass.TableRules(k, **rules))
+    return out
 
 
-def accepted_values(df: DataFrame, table: str, column: str, key: str, values: Iterable) -> DataFrame:
-    """Non-NULL values outside the accepted list."""
-    bad = df.where(F.col(column).isNotNull() & ~F.col(column).isin(list(values)))
-    return _violations(bad, "accepted_values", table, column, F.col(key), F.col(column))
+def _report(tables: Mapping[str, DataFrame], rules: dict[str, list[rule_pass.TableRules]]) -> DataFrame:
+    return _union([rule_pass.violations(tables[t], t, r) for t, several in rules.items() for r in several])
 
 
 def dq_not_null(tables: Mapping[str, DataFrame], checks=NOT_NULL_CHECKS) -> DataFrame:
-    return _union([not_null(tables[t], t, c, k) for t, k, c in checks])
+    return _report(tables, _by_table(not_null=checks))
 
 
 def dq_unique(tables: Mapping[str, DataFrame], checks=UNIQUE_CHECKS) -> DataFrame:
-    return _union([unique(tables[t], t, c) for t, c in checks])
+    """Values that occur more than once (NULLs ignored)."""
+    return _report(tables, _by_table(unique=checks))
 
 
 def dq_accepted_values(tables: Mapping[str, DataFrame], checks=ACCEPTED_VALUES_CHECKS) -> DataFrame:
-    return _union([accepted_values(tables[t], t, c, k, v) for t, k, c, v in checks])
+    """Non-NULL values outside the accepted list."""
+    return _report(tables, _by_table(accepted=checks))
+
+
+def dq_report(
+    tables: Mapping[str, DataFrame], not_null=NOT_NULL_CHECKS, unique=UNIQUE_CHECKS, accepted=ACCEPTED_VALUES_CHECKS
+) -> DataFrame:
+    """The three kinds of checks of all tables at once: one pass a table."""
+    return _report(tables, _by_table(not_null, accepted, unique))
 
 
 def dq_positive_revenue(monthly_mart: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from mercato.operators import enrich, marts, profile, quality
 from mercato.plans.oracle import R, with_ctes
 from mercato.plans.queries_core import ofull, out, stg
-from mercato.plans.registry import query
+from mercato.plans.registry import ORACLE, query
 from mercato.sources import fixtures
 
 # Expected output schema of the registered orders_full query (Spark type names).
@@ -242,6 +242,54 @@ def q_dq_accepted_values(spark, sf):
     return quality.dq_accepted_values(dq_tables(spark, sf))
 
 
+@query("dq_report", "\nUNION ALL\n".join(f"SELECT * FROM ({ORACLE[k]}) {k}" for k in ("dq_not_null", "dq_unique", "dq_accepted_values")))
+def q_dq_report(spark, sf):
+    """The three kinds of checks at once: every table is read once."""
+    return quality.dq_report(dq_tables(spark, sf))
+
+
+# orders_full with violations of every rule: (column, modulus of order_id, value)
+SEEDED = [("total_payment", 97, None), ("customer_state", 101, None), ("was_late", 89, 7), ("rain_category", 83, "Snow")]
+SEEDED_TWICE = 31
+_SEEDED_SQL = with_ctes(
+    "SELECT order_id, customer_id, " + ", ".join(
+        f"CASE WHEN order_id % {n} = 0 THEN {'NULL' if v is None else repr(v)} ELSE {c} END AS {c}" for c, n, v in SEEDED
+    ) + f" FROM ofull, (VALUES (1), (2)) AS copies(k) WHERE k = 1 OR order_id % {SEEDED_TWICE} = 0"
+)
+
+
+def seeded(spark, sf):
+    full, order_id = ofull(spark, sf).select("order_id", "customer_id", *[c for c, _, _ in SEEDED]), F.col("order_id")
+    damaged = full.withColumns({c: F.when(order_id % n == 0, F.lit(v)).otherwise(F.col(c)) for c, n, v in SEEDED})
+    copies = F.when(order_id % SEEDED_TWICE == 0, 2).otherwise(1)
+    return damaged.select("*", F.explode(F.array_repeat(F.lit(0), copies)).alias("copy")).drop("copy")
+
+
+@query(
+    "dq_seeded",
+    "\nUNION ALL\n".join(
+        [f"SELECT 'not_null' AS \"check\", 'orders_full' AS table_name, '{c}' AS column_name, {_V.format(k='order_id')}, "
+         f"CAST(NULL AS VARCHAR) AS bad_value FROM ({_SEEDED_SQL}) s WHERE {c} IS NULL"
+         for t, _, c in quality.NOT_NULL_CHECKS if t == "orders_full"]
+        + [f"SELECT 'accepted_values', 'orders_full', '{c}', {_V.format(k='order_id')}, CAST({c} AS VARCHAR) FROM ({_SEEDED_SQL}) s "
+           f"WHERE {c} IS NOT NULL AND {c} NOT IN ({_accepted_sql(v)})"
+           for t, _, c, v in quality.ACCEPTED_VALUES_CHECKS if t == "orders_full"]
+        + [f"SELECT 'unique', 'orders_full', '{c}', CAST({c} AS VARCHAR), CAST(COUNT(*) AS VARCHAR) FROM ({_SEEDED_SQL}) s "
+           f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1"
+           for t, c in [*quality.UNIQUE_CHECKS, ("orders_full", "customer_id")] if t == "orders_full"]
+    ),
+)
+def q_dq_seeded(spark, sf):
+    """The checks of orders_full on a copy with violations of every one."""
+    mine = lambda checks: [c for c in checks if c[0] == "orders_full"]
+    return quality.dq_report(
+        {"orders_full": seeded(spark, sf)},
+        mine(quality.NOT_NULL_CHECKS),
+        [*mine(quality.UNIQUE_CHECKS), ("orders_full", "customer_id")],
+        mine(quality.ACCEPTED_VALUES_CHECKS),
+    )
+
+
 @query("dq_positive_revenue", with_ctes("SELECT period, total_revenue FROM mart_monthly WHERE total_revenue <= 0"))
 def q_dq_positive_revenue(spark, sf):
     return quality.dq_positive_revenue(marts.monthly_revenue_mart(stg(spark, sf), with_median=False))
@@ -252,7 +300,7 @@ def q_dq_positive_revenue(spark, sf):
     with_ctes("SELECT customer_state, late_rate_pct FROM mart_state WHERE late_rate_pct < 0 OR late_rate_pct > 50"),
 )
 def q_dq_late_rate_range(spark, sf):
-    return quality.dq_late_rate_range(marts.revenue_by_state_mart(stg(spark, sf)))
+    return quality.dq_late_rate_range(marts.revenue_by_state_mart(stg(spark, sf), with_median=False))
 
 
 TOP_STATE = "0"
@@ -266,7 +314,7 @@ TOP_STATE = "0"
     ),
 )
 def q_dq_top_state(spark, sf):
-    return quality.dq_top_state(marts.revenue_by_state_mart(stg(spark, sf)), TOP_STATE)
+    return quality.dq_top_state(marts.revenue_by_state_mart(stg(spark, sf), with_median=False), TOP_STATE)
 
 
 @query(
