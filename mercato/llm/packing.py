@@ -30,8 +30,11 @@ WINDOW = 4096
 END_ID = 2
 #: Ids a task holds before it packs them; about this many / WINDOW windows.
 BLOCK_TOKENS = 4_000_000
-#: Distinct words whose ids a Python worker remembers; only speed depends on it.
-CACHE_WORDS = 700_000
+#: Bytes of words and ids a task remembers in each of two generations, and as
+#: much again for parts of words; only speed depends on it.
+REMEMBERED_BYTES = 24 << 20
+#: What an entry takes beside the characters of its key and its ids.
+ENTRY_BYTES = 200
 
 PIECE_SCHEMA = (
     "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -108,8 +111,36 @@ def best_fit_decreasing(lengths: list[int], size: int = WINDOW) -> list[tuple[in
 #: Parts whose boundaries are also boundaries of the tokenizer's own first split.
 _PARTS = re.compile(r"[^\W\d_]+|\d+|(?:_|[^\w \t\n\r])+")
 _SPACES = re.compile("[\n\t\r]")
-#: Kept by Python workers from task to task.
-_KNOWN: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
+
+
+class Remembered:
+    """Ids by text in two generations of bounded size: when the young one is full
+    it becomes the old one, so what keeps coming back stays known."""
+
+    def __init__(self, most: int = REMEMBERED_BYTES) -> None:
+        self.most, self.held = most, 0
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def unknown(self, keys: set[str]) -> list[str]:
+        """Those in neither generation; the others are in the young one after this."""
+        missing = []
+        for key in keys.difference(self.young):
+            found = self.old.get(key)
+            if found is None:
+                missing.append(key)
+            else:
+                self.put(key, found)
+        return missing
+
+    def put(self, key: str, ids: bytes) -> None:
+        self.young[key] = ids
+        self.held += len(key) + len(ids) + ENTRY_BYTES
+
+    def age(self) -> None:
+        """To be called between texts: a full young generation becomes the old one."""
+        if self.held > self.most:
+            self.old, self.young, self.held = self.young, {}, 0
 
 
 def word_encoder(path: str) -> Callable[[str], bytes]:
@@ -117,7 +148,8 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
 
     The vocabulary of this kind lower-cases, drops white space and never merges
     across it or between letters and other characters, so a text's ids are those
-    of its parts in a row; the ids of words and parts seen before are remembered.
+    of its parts in a row; the ids of words and parts seen of late are remembered,
+    in bounded memory that goes with the encoder.
     Words where lower-casing first could matter (characters that are not
     composed, a capital sigma) and words with apostrophes are not cut.
     """
@@ -126,7 +158,7 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
     tokenizer = Tokenizer.from_file(path)
     if tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16:
         raise ValueError("ids beyond 16 bits")
-    words, parts = _KNOWN.setdefault(path, ({}, {}))
+    words, parts = Remembered(), Remembered()
     # The printable byte signs of byte-level vocabularies: bytes that are not
     # printable in Latin-1 stand for the characters from 256 on, in order.
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -146,29 +178,28 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
         return array("H", tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
 
     def learn(missing: list[str], cut: bool) -> None:
+        whole, split = [], []
         for w in missing:
-            if cut or plain(w):
-                out = b""
-                for p in _PARTS.findall(w.lower()):
-                    known = parts.get(p)
-                    if known is None:
-                        parts[p] = known = ids_of(p)
-                    out += known
-                words[w] = out
-            else:
-                words[w] = array("H", tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
+            (split if cut or plain(w) else whole).append(w)
+        for w in whole:
+            words.put(w, array("H", tokenizer.encode(w, add_special_tokens=False).ids).tobytes())
+        found = [_PARTS.findall(w.lower()) for w in split]
+        for p in parts.unknown({p for ps in found for p in ps}):
+            parts.put(p, ids_of(p))
+        known = parts.young
+        for w, ps in zip(split, found):
+            words.put(w, known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps]))
 
     def encode(text: str) -> bytes:
         row = _SPACES.sub(" ", text).split(" ")
         try:
-            return b"".join([words[w] for w in row])
+            return b"".join([words.young[w] for w in row])
         except KeyError:
             pass
-        for known in (words, parts):
-            if len(known) > CACHE_WORDS:
-                known.clear()
-        learn([w for w in set(row) if w not in words], plain(text))
-        return b"".join([words[w] for w in row])
+        words.age()
+        parts.age()
+        learn(words.unknown(set(row)), plain(text))
+        return b"".join([words.young[w] for w in row])
 
     return encode
 
