@@ -20,7 +20,8 @@ from mercato.sources import fixtures, io
 # Both lie in the shared checkpoint folder. Queries derived from orders_full read
 # the stored table, as the reference's marts, checks and dashboards read theirs;
 # all plans are built on every call. A version is made of the input files' paths,
-# sizes and modification times, so replaced inputs are stored anew.
+# sizes and modification times, so replaced inputs are stored anew. A stored
+# table's files never change, so its scan, with the list of its files, is kept.
 _STORED: dict = {}
 
 
@@ -30,9 +31,12 @@ def _stored(kind, spark, sf, build):
         for old in [k for k in _STORED if k[:3] == key[:3]]:
             del _STORED[old]
         path = scratch_path(spark, kind)
-        _STORED[key] = path, build(path).schema
-    path, schema = _STORED[key]
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+        _STORED[key] = path, build(path).schema, {}
+    path, schema, scans = _STORED[key]
+    session = spark._jsparkSession.hashCode()
+    if session not in scans:
+        scans[session] = spark.read.schema(schema).parquet(path).select(*schema.names)
+    return scans[session]
 
 
 def src(spark, sf):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import tempfile
 import uuid
 
@@ -91,16 +92,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def input_version(spark: SparkSession, folder: str) -> str:
-    """Names, sizes and modification times of the files in a folder (and one
-    level down), as the session's own file system lists them."""
+    """Names, sizes and modification times of all files under a folder, however
+    deep, as the session's own file system lists them: one call a level, none a file."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    top = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = top.getFileSystem(conf)
-    seen = []
-    for entry in fs.listStatus(top):
-        for f in fs.listStatus(entry.getPath()) if entry.isDirectory() else [entry]:
-            seen.append(f"{f.getPath().toString()} {f.getLen()} {f.getModificationTime()}")
-    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()
+    level = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = level.getFileSystem(conf)
+    seen = hashlib.sha256()
+    while True:
+        level = jvm.org.apache.hadoop.fs.Path(level, "*")
+        found = fs.globStatus(level)
+        if not found:
+            return seen.hexdigest()
+        listed = jvm.org.apache.commons.lang3.ArrayUtils.toString(found)
+        # reading a file changes its access time
+        seen.update(re.sub(r"access_time=\d+", "", listed).encode())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
