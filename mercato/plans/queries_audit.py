@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mercato.operators import enrich, marts, profile, quality
+from mercato.operators import enrich, file_audit, marts, profile, quality
 from mercato.plans.oracle import R, with_ctes
-from mercato.plans.queries_core import ofull, out, stg
+from mercato.plans.queries_core import ofull, out, src, stg
 from mercato.plans.registry import ORACLE, query
+from mercato.plans.session import scratch_path
 from mercato.sources import fixtures
 
 # Expected output schema of the registered orders_full query (Spark type names).
@@ -166,6 +167,42 @@ def q_cross_file_totals(spark, sf):
     return profile.cross_file_totals(raw_tables(spark, sf))
 
 
+_CSV_SOURCES = {
+    "customers": ("src_customers", ["customer_id", "customer_state"]),
+    "payments": ("src_payments", ["order_id", "payment_sequential", "payment_value"]),
+    "weather": ("src_weather", ["temp_max", "precipitation"]),
+}
+_CSV_SUMS = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, '{f}' AS source, {_dsum(c)} AS total FROM {t}" for f, (t, cols) in _CSV_SOURCES.items() for c in cols
+)
+_CSV_ROWS = "\nUNION ALL\n".join(f"SELECT '{f}' AS source, COUNT(*) AS n FROM {t}" for f, (t, _) in _CSV_SOURCES.items())
+
+
+@query(
+    "audit_csv_files",
+    with_ctes(
+        "SELECT column_name, source, CAST(total AS DOUBLE) AS total, CAST(NULL AS BIGINT) AS n_rows, CAST(NULL AS VARCHAR) AS error "
+        f"FROM ({_CSV_SUMS}) a\nUNION ALL\n"
+        f"SELECT column_name, NULL, CAST(SUM(total) AS DOUBLE), NULL, NULL FROM ({_CSV_SUMS}) b GROUP BY column_name\nUNION ALL\n"
+        f"SELECT NULL, source, NULL, n, NULL FROM ({_CSV_ROWS}) c\nUNION ALL\n"
+        f"SELECT NULL, NULL, NULL, CAST(SUM(n) AS BIGINT), NULL FROM ({_CSV_ROWS}) d\nUNION ALL\n"
+        "SELECT NULL, 'broken', NULL, NULL, CAST(COUNT(*) AS VARCHAR) || ' lines have more fields than the header' FROM src_customers"
+    ),
+)
+def q_audit_csv_files(spark, sf):
+    """Raw tables landed as CSV, and one whose lines are too long, audited file by file."""
+    s, folder = src(spark, sf), scratch_path(spark, "csv-files")
+    tables = {
+        "customers": s.customers.select("customer_id", "customer_state", "customer_city"),
+        "payments": s.payments.select("order_id", "payment_sequential", "payment_value"),
+        "weather": enrich.clean_weather(s.weather),
+        "broken": s.customers.select("customer_id", F.concat("customer_state", F.lit(",and,more")).alias("customer_state")),
+    }
+    for name, df in tables.items():
+        df.write.option("header", True).option("quote", "").csv(f"{folder}/{name}")
+    return file_audit.audit_csv_folder(spark, folder, by_folder=True)
+
+
 @query(
     "row_counts",
     "SELECT table_name, n_rows FROM (" + "\nUNION ALL\n".join(
