@@ -92,6 +92,62 @@ def numeric_sums(df: DataFrame) -> DataFrame:
     return _sum_parts(df).select("column_name", (F.col("total").cast("double") + F.col("rest")).alias("total"))
 
 
+#: Sample rows of a table in ``profile_tables``.
+SAMPLED = 3
+
+
+def _sampled(df: DataFrame, key: Sequence[str]) -> list:
+    """One aggregate for each of SAMPLED parts of the key's hash range: the row
+    of the least hash there. They merge like any minimum, so a sample costs no
+    second scan and is the same however the rows are dealt."""
+    digest = F.md5(F.concat_ws("/", *[F.coalesce(_q(k).cast("string"), F.lit("")) for k in key]))
+    bounds = [f"{k * (1 << 32) // SAMPLED:08x}" for k in range(SAMPLED)] + ["g"]
+    row = F.struct(digest.alias("digest"), F.struct(*[_q(c) for c in df.columns]).alias("row"))  # the row itself settles ties
+    return [F.min(F.when((digest >= lo) & (digest < hi), row)) for lo, hi in zip(bounds, bounds[1:])]
+
+
+def profile_tables(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Every table in one pass each. Per table and column: position, data_type,
+    null_count (NaN is null), null_pct (null if there are no rows), total (the
+    sum; null if not numeric), n_rows and n_cols of the table, and sample_rows
+    (up to SAMPLED rows as JSON, picked by their ``keys``)."""
+    return _union_all([_profiled(name, df, keys[name]) for name, df in tables.items()])
+
+
+def _profiled(name: str, df: DataFrame, key: Sequence[str]) -> DataFrame:
+    fields = df.schema.fields
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    aggs += [least.alias(f"_k{i}") for i, least in enumerate(_sampled(df, key))]
+    totals = []
+    for i, f in enumerate(fields):
+        value, missing, rest = _q(f.name), _q(f.name).isNull(), F.lit(0.0)
+        total = F.lit(None).cast("double")
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            missing = missing | F.isnan(value)
+            value = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+            head = F.when(F.abs(value) < 1e31, value).cast(SUM_TYPE)
+            rest = F.coalesce(F.sum(value - F.coalesce(head.cast("double"), F.lit(0.0))), F.lit(0.0))
+            value = head
+        if isinstance(f.dataType, NUMERIC_TYPES):
+            aggs += [F.coalesce(F.sum(value.cast(SUM_TYPE)), F.lit(0).cast(SUM_TYPE)).alias(f"_s{i}"), rest.alias(f"_r{i}")]
+            total = F.col(f"_s{i}").cast("double") + F.col(f"_r{i}")
+        aggs.append(F.count_if(missing).alias(f"_n{i}"))
+        totals.append(total)
+    per_column = F.array(*[
+        F.struct(
+            F.lit(i + 1).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.col(f"_n{i}").alias("null_count"), totals[i].alias("total"),
+        )
+        for i, f in enumerate(fields)
+    ])
+    sample = F.transform(F.array_compact(F.array(*[F.col(f"_k{i}") for i in range(SAMPLED)])), lambda s: F.to_json(s["row"]))
+    return df.agg(*aggs).select(F.col("_rows").alias("n_rows"), sample.alias("sample_rows"), F.inline(per_column)).select(
+        F.lit(name).alias("table_name"), "position", "column_name", "data_type", "null_count",
+        F.round(F.try_divide(F.col("null_count") * F.lit(100.0), F.col("n_rows")), 1).alias("null_pct"),
+        "total", "n_rows", F.lit(len(fields)).alias("n_cols"), "sample_rows",
+    )
+
+
 def _union_all(frames: Sequence[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:

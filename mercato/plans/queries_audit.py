@@ -112,6 +112,71 @@ def q_table_profile(spark, sf):
     return profile.table_profile(out(ofull(spark, sf)))
 
 
+# Keys of the tables, by which sample rows are picked.
+TABLE_KEYS = {
+    "region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"],
+    "part": ["p_partkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"],
+    "documents": ["doc_id"], "embeddings": ["vec_id"], "pages": ["page_id"], "benchmark": ["item_id"],
+    "labels": ["doc_id"], "conversations": ["conv_id", "turn"],
+    "orders_full": ["order_id"], "monthly_revenue": ["year", "month"], "revenue_by_state": ["customer_state"],
+    "weather_impact": ["rain_category"],
+}
+
+
+def _columns_of(table: str) -> list[tuple[str, str]]:
+    """(column, Spark type) of the given and the loaded tables, in order."""
+    if table == "orders_full":
+        return ORDERS_FULL_TYPES
+    if table in _LOADED_TYPES:
+        return _LOADED_TYPES[table]
+    return [(c.split()[0], c.split()[1]) for c in fixtures.TABLE_SCHEMAS[table].split(", ")]
+
+
+_LOADED_TYPES = {
+    "monthly_revenue": [("year", "int"), ("month", "int"), ("total_orders", "bigint"), ("total_revenue", "double"),
+                        ("avg_order_value", "double"), ("avg_delivery_days", "double"), ("late_deliveries", "bigint")],
+    "revenue_by_state": [("customer_state", "string"), ("total_orders", "bigint"), ("total_revenue", "double"),
+                         ("avg_order_value", "double"), ("avg_delivery_days", "double")],
+    "weather_impact": [("rain_category", "string"), ("total_orders", "bigint"), ("avg_order_value", "double")],
+}
+
+
+def _tables_profile_sql() -> str:
+    parts = []
+    for table, key in TABLE_KEYS.items():
+        relation, columns = LOADED_CTE.get(table, table), _columns_of(table)
+        text = "concat_ws('/', " + ", ".join(f"COALESCE(CAST({k} AS VARCHAR), '')" for k in key) + ")"
+        sample = (
+            f"(SELECT string_agg(k, ',' ORDER BY part) FROM (SELECT CASE WHEN d < '55555555' THEN 0 WHEN d < 'aaaaaaaa' THEN 1 ELSE 2 END AS part, "
+            f"arg_min(k, d) AS k FROM (SELECT {text} AS k, md5({text}) AS d FROM {relation}) GROUP BY 1))"
+        )
+        for i, (c, t) in enumerate(columns):
+            miss = f"{c} IS NULL" + (f" OR isnan({c})" if t == "double" else "")
+            total = f"CAST({_dsum(c)} AS DOUBLE)" if t in NUMERIC_SPARK else "CAST(NULL AS DOUBLE)"
+            parts.append(
+                f"SELECT '{table}' AS table_name, {i + 1} AS position, '{c}' AS column_name, '{t}' AS data_type, "
+                f"CAST(COUNT_IF({miss}) AS BIGINT) AS null_count, "
+                f"{R(f'CAST(COUNT_IF({miss}) AS DOUBLE) * 100.0 / NULLIF(COUNT(*), 0)', 1)} AS null_pct, {total} AS total, "
+                f"COUNT(*) AS n_rows, {len(columns)} AS n_cols, {sample} AS sample_keys FROM {relation}"
+            )
+    return with_ctes("\nUNION ALL\n".join(parts))
+
+
+@query("tables_profile", _tables_profile_sql())
+def q_tables_profile(spark, sf):
+    """Columns, nulls, sums, rows and sample rows (here by their keys) of every
+    given and every loaded table, each read once."""
+    found = profile.profile_tables(raw_tables(spark, sf) | loaded_tables(spark, sf), TABLE_KEYS)
+
+    def key_of(columns):
+        return lambda row: F.concat_ws("/", *[F.coalesce(F.get_json_object(row, f"$.{c}"), F.lit("")) for c in columns])
+
+    keys = F.lit(None).cast("string")
+    for table, key in TABLE_KEYS.items():
+        keys = F.when(F.col("table_name") == table, F.array_join(F.transform("sample_rows", key_of(key)), ",")).otherwise(keys)
+    return found.withColumn("sample_keys", keys).drop("sample_rows")
+
+
 @query(
     "numeric_sums",
     with_ctes("\nUNION ALL\n".join(

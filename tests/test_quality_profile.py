@@ -98,3 +98,36 @@ def test_cross_table_totals(spark):
     assert rc == {"a": 2, "b": 1, None: 3}
     g = {r.column_name: (r.grand_total, r.n_tables) for r in profile.grand_numeric_totals({"a": a, "b": b}).collect()}
     assert g == {"k": (13.0, 2), "v": (5.0, 1)}
+
+
+def test_profile_of_tables_samples_merge_and_scan_once(spark, tmp_path):
+    import hashlib
+    import json
+
+    rows = [(i, f"t{i}", None if i % 4 else float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, name string, amount double").repartition(7)
+    df.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.schema(df.schema).parquet(str(tmp_path / "t"))
+    empty = stored.limit(0)
+    found = profile.profile_tables({"t": stored, "e": empty}, {"t": ["id"], "e": ["id"]})
+    got = {(r.table_name, r.column_name): r for r in found.collect()}
+    digests = sorted((hashlib.md5(str(i).encode()).hexdigest(), i) for i, _, _ in rows)
+    want = [min((d, i) for d, i in digests if lo <= d < hi)[1] for lo, hi in (("0", "55555555"), ("55555555", "aaaaaaaa"), ("aaaaaaaa", "g"))]
+    for column in df.columns:
+        sample = [json.loads(r) for r in got["t", column].sample_rows]
+        assert [s["id"] for s in sample] == want and all(s["name"] == f"t{s['id']}" for s in sample)
+    amount = got["t", "amount"]
+    assert (amount.null_count, amount.null_pct, amount.total, amount.n_rows, amount.n_cols, amount.position) == (150, 75.0, 4900.0, 200, 3, 3)
+    assert got["t", "name"].total is None and got["e", "id"].sample_rows == [] and got["e", "id"].null_pct is None
+    plan = profile.profile_tables({"t": stored}, {"t": ["id"]})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_every_table_profile_against_the_oracle(spark):
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    from oracle_check import compare, duck
+
+    name = "tables_profile"
+    r = compare(spark, duck(SF_SMALL), name, E.queries()[name], E.oracle_sql()[name], SF_SMALL)
+    assert r["ok"] and r["rows"] == 101, r
