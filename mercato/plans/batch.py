@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import SparkSession
 
 from mercato.operators import enrich, marts, quality, report
-from mercato.sources import io
+from mercato.sources import io, versions
 from mercato.sources.fixtures import Sources
 
 
@@ -87,12 +87,14 @@ def run_batch(
     res = BatchResult(out_dir=out_dir, database=database)
 
     # transform: the enriched fact table, stored once; a lookup that would double
-    # orders fails the run with its keys before anything is loaded
+    # orders fails the run with its keys before readers see anything of it
     guards = enrich.OrderGuards()
     full = enrich.orders_full_from(src, guards)
-    res.rows_written["orders_full"] = io.write_parquet(full, f"{out_dir}/orders_full", ["year", "month"])
-    guards.check()
-    stored = spark.read.schema(full.schema).parquet(f"{out_dir}/orders_full").select(*full.columns)
+    io.ensure_database(spark, database, f"{out_dir}/{database}.db")
+    res.rows_written["orders_full"] = versions.replace_table(
+        full, f"{database}.orders_full", f"{out_dir}/orders_full", ["year", "month"], guards.check
+    )
+    stored = spark.table(f"{database}.orders_full")
 
     # load: summary tables and staged marts, all derived from the stored table
     stg = enrich.stg_orders(stored)
@@ -107,17 +109,10 @@ def run_batch(
         "revenue_by_state_mart": marts.revenue_by_state_mart(stg),
         "weather_impact_mart": marts.weather_impact_mart(stg),
     }
-    io.ensure_database(spark, database, f"{out_dir}/{database}.db")
     for name in ("monthly_revenue", "revenue_by_state", "weather_impact",
                  "monthly_revenue_mart", "revenue_by_state_mart", "weather_impact_mart"):
-        path = f"{out_dir}/{database}.db/{name}"
-        res.rows_written[name] = io.write_parquet(tables[name], path)
-        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
-        spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
+        res.rows_written[name] = versions.replace_table(tables[name], f"{database}.{name}", f"{out_dir}/{database}.db/{name}")
         tables[name] = spark.table(f"{database}.{name}")
-    spark.sql(f"DROP TABLE IF EXISTS `{database}`.orders_full")
-    spark.catalog.createTable(f"{database}.orders_full", path=f"{out_dir}/orders_full", source="parquet")
-    spark.catalog.recoverPartitions(f"{database}.orders_full")  # year and month
     for view, sql in STAGING_VIEWS.items():
         spark.sql(f"CREATE OR REPLACE VIEW `{database}`.{view} AS {sql.format(table=f'`{database}`.orders_full')}")
 

@@ -12,6 +12,8 @@ import uuid
 from contextlib import contextmanager
 from functools import reduce
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from mercato.plans.oracle import with_ctes
 from mercato.plans.queries_core import STG_OUT, build_ofull, ofull, out, src, stg
 from mercato.plans.registry import query
 from mercato.plans.session import materialize, scratch_path
-from mercato.sources import io, schemas
+from mercato.sources import io, schemas, versions
 
 
 @query(
@@ -97,6 +99,31 @@ def q_sink_table(spark, sf):
         return materialize(reduce(DataFrame.unionByName, counts))
 
 
+@query(
+    "sink_table_replaced",
+    with_ctes(
+        "SELECT 'before' AS moment, customer_state, total_orders, total_revenue FROM etl_state WHERE customer_state < '2' "
+        "UNION ALL SELECT 'after a failed write', customer_state, total_orders, total_revenue FROM etl_state WHERE customer_state < '2' "
+        "UNION ALL SELECT 'after', customer_state, total_orders, total_revenue FROM etl_state"
+    ))
+def q_sink_table_replaced(spark, sf):
+    """A summary table as readers see it: before, after a write that failed
+    halfway, and after it was replaced."""
+    states, folder = marts.revenue_by_state(ofull(spark, sf)), scratch_path(spark, "versions")
+    broken = states.withColumn("customer_state", F.when(F.col("customer_state") < "2", F.col("customer_state")).otherwise(F.raise_error(F.lit("stop"))))
+    seen = []
+    with _database(spark, "mercato_versions") as db:
+        for moment, new in (("before", states.filter("customer_state < '2'")), ("after a failed write", broken), ("after", states)):
+            try:
+                versions.replace_table(new, f"{db}.revenue_by_state", folder)
+            except (Py4JError, PySparkException):
+                if new is not broken:
+                    raise
+            table = spark.table(f"{db}.revenue_by_state").select("customer_state", "total_orders", "total_revenue")
+            seen.append(materialize(table.select(F.lit(moment).alias("moment"), "*")))
+        return reduce(DataFrame.unionByName, seen)
+
+
 @contextmanager
 def _database(spark, prefix):
     """A catalog database of its own, dropped with its tables at the end."""

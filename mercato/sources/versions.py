@@ -1,94 +1,78 @@
 """Catalog tables that are replaced in one step.
 
-A table's rows lie in a folder of their own for every version. ``replace_table``
-writes a new folder, counts the rows inside that job, reads the count back from
-the files, and only then points the catalog table at it, which is one change in
-the catalog. Until then readers see the old version, whole; a write that fails
-leaves it as it was. The versions before the last KEPT are deleted, so a query
-that is reading the one before can end. A table whose columns change keeps its
-name and is created anew, the only case with a gap.
+Every version of a table is a table of its own, in a folder of its own, and the
+table's name is a view on the current one. ``replace_table`` writes a new
+version, counts its rows inside that job and reads the count back from the files'
+footers; only then it points the view at the new version, which is one change in
+the catalog, also where the columns differ. Until then readers see the old
+version, whole, and a write that fails leaves it as it was. Versions before the
+last KEPT are dropped, so a query that reads the one before can end.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.sources import io
 
-#: Versions of a table that stay, with the current one.
+#: Versions of a table that stay, the current one included.
 KEPT = 2
 
 
-def replace_table(df: DataFrame, name: str, folder: str, partition_by: Sequence[str] = ()) -> int:
-    """Make ``df`` the contents of the catalog table ``name`` (database.table),
-    whose versions lie under ``folder``; returns its rows."""
-    spark, path = df.sparkSession, f"{folder.rstrip('/')}/{_fresh(df.sparkSession, folder)}"
+def replace_table(
+    df: DataFrame, name: str, folder: str, partition_by: Sequence[str] = (), check: Callable[[], object] = lambda: None
+) -> int:
+    """Make ``df`` the contents of ``name`` (database.table), whose versions lie
+    under ``folder``; returns its rows. ``check`` runs when the rows are written
+    and may still refuse them by raising. A table of that name that is no view of
+    versions is dropped first."""
+    spark, folder = df.sparkSession, folder.rstrip("/")
+    database, table = name.split(".")
+    version = _fresh(_versions(spark, database, table))
+    path, stored = f"{folder}/{version}", f"{database}.{table}__{version}"
     try:
         written = io.write_parquet(df, path, list(partition_by) or None)
-        stored = spark.read.schema(df.schema).parquet(path).agg(F.count(F.lit(1)).alias("n")).first()["n"]  # from footers
-        if stored != written:
-            raise OSError(f"{name}: {written} rows written, {stored} found in {path}")
-        _point(spark, name, path, df, partition_by)
+        check()
+        found = spark.read.schema(df.schema).parquet(path).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+        if found != written:
+            raise OSError(f"{name}: {written} rows written, {found} found in {path}")
+        spark.catalog.createTable(stored, path=path, source="parquet")
+        if partition_by:
+            spark.catalog.recoverPartitions(stored)
+        if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+            spark.sql(f"DROP TABLE {_quoted(name)}")
+        columns = ", ".join(f"`{c}`" for c in df.columns)
+        spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} AS SELECT {columns} FROM {_quoted(stored)}")
     except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {_quoted(stored)}")
         _delete(spark, path)
         raise
-    for old in _versions(spark, folder)[:-KEPT]:
-        _delete(spark, f"{folder.rstrip('/')}/{old}")
+    for old in _versions(spark, database, table)[:-KEPT]:
+        spark.sql(f"DROP TABLE IF EXISTS {_quoted(f'{database}.{table}__{old}')}")
+        _delete(spark, f"{folder}/{old}")
     return written
 
 
-def _point(spark: SparkSession, name: str, path: str, df: DataFrame, partition_by: Sequence[str]) -> None:
-    columns = sorted((f.name, f.dataType.simpleString()) for f in df.schema)
-    if spark.catalog.tableExists(name):
-        table = spark.table(name)
-        if sorted((f.name, f.dataType.simpleString()) for f in table.schema) == columns and _partitions(spark, name) == list(partition_by):
-            if partition_by:  # partitions have places of their own: list the new ones in one change
-                _create(spark, name, path, partition_by)
-            else:
-                spark.sql(f"ALTER TABLE {_quoted(name)} SET LOCATION '{path}'")
-                spark.catalog.refreshTable(name)
-            return
-    _create(spark, name, path, partition_by)
-
-
-def _create(spark: SparkSession, name: str, path: str, partition_by: Sequence[str]) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
-    spark.catalog.createTable(name, path=path, source="parquet")
-    if partition_by:
-        spark.catalog.recoverPartitions(name)
-
-
-def _partitions(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-
-
 def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
-def _fs(spark: SparkSession, path: str):
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
-
+def _versions(spark: SparkSession, database: str, table: str) -> list[str]:
+    """Names of the table's versions, oldest first."""
+    found = (t.name for t in spark.catalog.listTables(database, f"{table}__v*"))
+    return sorted(n.removeprefix(f"{table}__") for n in found)
 
-def _versions(spark: SparkSession, folder: str) -> list[str]:
-    fs, where = _fs(spark, folder)
-    if not fs.exists(where):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(where) if s.getPath().getName().startswith("v"))
 
-
-def _fresh(spark: SparkSession, folder: str) -> str:
-    """A version name after all there are."""
-    last = _versions(spark, folder)[-1:]
-    number = int(last[0][1:13]) + 1 if last else 0
-    return f"v{number:012d}-{uuid.uuid4().hex[:8]}"
+def _fresh(versions: list[str]) -> str:
+    """A name after all there are; two writers at once get two names."""
+    number = int(versions[-1][1:13]) + 1 if versions else 0
+    return f"v{number:012d}_{uuid.uuid4().hex[:8]}"
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    fs, where = _fs(spark, path)
-    fs.delete(where, True)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -91,7 +91,8 @@ def test_batch_stops_before_it_loads(spark):
     src = dataclasses.replace(src, customers=src.customers.unionByName(src.customers.limit(1)))
     with pytest.raises(FanOutError, match="orders to customers: 1 keys"):
         run_batch(spark, src, scratch_path(spark, "fan-out"), "2020-01-01T00:00:00", database="mercato_fan_out")
-    assert not spark.catalog.databaseExists("mercato_fan_out")
+    assert spark.catalog.listTables("mercato_fan_out") == []
+    spark.sql("DROP DATABASE mercato_fan_out CASCADE")
 
 
 @pytest.mark.parametrize("name", ["join_row_audit", "join_states_spread", "join_customers", "orders_full"])
