@@ -22,7 +22,7 @@ from mercato.plans.oracle import with_ctes
 from mercato.plans.queries_core import STG_OUT, build_ofull, ofull, out, src, stg
 from mercato.plans.registry import query
 from mercato.plans.session import materialize, scratch_path
-from mercato.sources import io, schemas, versions
+from mercato.sources import fixtures, io, quoted, schemas, versions
 
 
 @query(
@@ -34,6 +34,15 @@ def q_scan_csv(spark, sf):
     return io.read_csv(spark, path, schemas.PAYMENTS)
 
 
+@query("scan_csv_quoted", "SELECT conv_id, turn, role, text FROM conversations")
+def q_scan_csv_quoted(spark, sf):
+    """Free text with quotes and line breaks as CSV, read back by byte ranges."""
+    path = scratch_path(spark, "quoted-csv")
+    turns = fixtures.read_table(spark, sf, "conversations")
+    io.write_csv(turns, path)
+    return quoted.read_quoted_csv(spark, path, turns.schema, empty_text=True)
+
+
 @query("scan_csv_dates", with_ctes("SELECT * FROM src_orders"))
 def q_scan_csv_dates(spark, sf):
     path = scratch_path(spark, "orders-csv")

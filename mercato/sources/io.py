@@ -41,9 +41,8 @@ def read_csv(
     header differs from the first one's.
 
     Quoted fields with commas are always handled. ``multi_line=True`` also
-    keeps quoted newlines in one row (free-text tables such as reviews) —
-    but a multi-line CSV file cannot be split, so each file is read by one
-    task; leave it off for large tables without embedded newlines."""
+    keeps quoted newlines in one row, but reads each file in one task; large
+    free-text tables are read by byte ranges with ``quoted.read_quoted_csv``."""
     found, check = schema, header
     if header:
         names = (
@@ -243,10 +242,12 @@ def write_raw_tables(src, folder: str) -> None:
 def read_extra_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The raw tables beside the transform's (reviews, products, sellers,
     geolocation, category names) that the folder holds. Reviews are free text
-    with quoted line breaks, so each of their files is read by one task."""
+    with quoted line breaks and are read by byte ranges all the same."""
+    from mercato.sources.quoted import read_quoted_csv
+
     folder = folder.rstrip("/")
     return {
-        name: read_csv(spark, f"{folder}/{name}", schema, multi_line=name == "reviews")
+        name: (read_quoted_csv if name == "reviews" else read_csv)(spark, f"{folder}/{name}", schema)
         for name, schema in schemas.EXTRA_SCHEMAS.items()
         if _exists(spark, f"{folder}/{name}")
     }
