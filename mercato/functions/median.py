@@ -35,24 +35,27 @@ def exact_median(
     out: str = "median",
     shift: int = 16,
     width: float | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Per-group exact median of the numeric column ``value``.
 
     Buckets are ``width`` wide (default ``2**shift``). Returns ``keys + [out]``
     (double), one row per group with a value. Group keys may be NULL (matched
-    null-safely).
+    null-safely). A row stands for ``weight`` equal ones where that column is named.
     """
     keys = list(keys)
     v = present(value)
     bucket = F.floor(v / F.lit(float(2**shift if width is None else width))).cast("long")
-    rows = df.where(v.isNotNull()).select(*keys, bucket.alias("_b"), v.alias("_v"))
+    times = [F.col(weight).alias("_w")] if weight else []
+    rows = df.where(v.isNotNull()).select(*keys, bucket.alias("_b"), v.alias("_v"), *times)
+    counted = F.sum("_w") if weight else F.count(F.lit(1))
 
     # steps 1 and 2: cumulative counts over the buckets of each group
     running = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)
     coarse = (
         rows.groupBy(*keys, "_b")
-        .agg(F.count(F.lit(1)).alias("_bc"))
+        .agg(counted.alias("_bc"))
         .withColumns({"_hi": F.sum("_bc").over(running), "_n": F.sum("_bc").over(whole)})
     )
     # middle ranks (n+1) div 2 and n div 2 + 1 (one rank when n is odd), as
@@ -70,7 +73,7 @@ def exact_median(
     picked = (
         join_on_keys(rows, targets, keys + ["_b"], how="inner")
         .groupBy(*keys, "_b", "_kb", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
+        .agg(counted.alias("_c"))
         .withColumn("_hi2", F.sum("_c").over(fine_w))
         .where((F.col("_hi2") - F.col("_c") < F.col("_kb")) & (F.col("_kb") <= F.col("_hi2")))
     )
