@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm.near import KeyFilter, merged_join, near_components, permutations
-from mercato.llm.text import LOWER, SET_ROWS, list_array, mix, set_ids, shingle_sets, text_chunks
+from mercato.llm.text import LOWER, SET_ROWS, list_array, mix, set_ids, shingle_sets, small_batches, text_chunks
 from mercato.plans.session import materialize
 
 SHINGLE, LEAST = 5, 75
@@ -94,6 +94,7 @@ def sets_of_documents(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (smallest id reachable over
     links of at least ``least`` percent similarity), kept (is that id)."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = materialize(signatures(docs))
     named = rows.filter("size > 0 and doc_id is not null")

@@ -26,6 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercato.llm.text import small_batches
+
 WINDOW = 4096
 END_ID = 2
 #: Ids a task holds before it packs them; about this many / WINDOW windows.
@@ -264,5 +266,6 @@ def pack(
         if ids:
             yield from pack_block(doc_ids, ids, sequence)
 
+    small_batches(docs.sparkSession)
     wanted = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return wanted.mapInArrow(run, PIECE_SCHEMA)

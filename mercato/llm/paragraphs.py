@@ -47,6 +47,7 @@ from mercato.llm.text import (
     list_array,
     mix,
     set_ids,
+    small_batches,
     span_hashes,
     split_words,
     text_chunks,
@@ -293,6 +294,7 @@ def dedup_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     (before), n_removed (words), removed (word spans: start, end), first_docs
     (documents where the removed passages stay), and the ``keep`` columns of
     docs as a struct ``row``."""
+    small_batches(docs.sparkSession)
     rows = with_key(docs, id_col, text_col)
     parts = materialize(paragraphs_of(rows))
     lines = materialize(repeated_lines(parts, rows))

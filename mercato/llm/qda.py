@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.text import SPACED, row_windows, span_hashes, split_words, text_chunks
+from mercato.llm.text import SPACED, row_windows, small_batches, span_hashes, split_words, text_chunks
 
 NAMES = (
     "log_chars", "log_words", "word_length", "upper", "digit", "symbol", "bang", "bar", "stop",
@@ -109,6 +109,7 @@ def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([batch.column(0), x], names=["doc_id", "x"])
 
     wanted = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    small_batches(docs.sparkSession)
     return wanted.mapInArrow(run, "doc_id long, x array<double>")
 
 
@@ -208,4 +209,5 @@ def keep_good(docs: DataFrame, model: Model, least: float, text_col: str = "text
         for batch in batches:
             yield batch.filter(pa.array(model.score(statistics(batch.column(at))) >= least))
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

@@ -11,6 +11,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
+
+#: Rows of an Arrow batch of texts, and what Spark has where nobody sets it.
+BATCH_ROWS, SPARKS_BATCH_ROWS = 1000, 10_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python workers in batches of BATCH_ROWS, unless the session has
+    a number of its own: ten thousand texts are tens of megabytes, which the JVM
+    and every worker hold several times over. It holds for the session, since
+    plans run after the function that made them returns."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == str(SPARKS_BATCH_ROWS):
+        spark.conf.set(name, str(BATCH_ROWS))
+
 
 #: Bytes of text worked on at once; one longer text is worked on alone.
 CHUNK_BYTES = 1 << 20
