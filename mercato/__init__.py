@@ -7,7 +7,6 @@ Layers:
              profiling, data-quality checks, report)
   plans      session defaults, scratch folders, join helpers, the
              registered queries with their SQL twins, the batch runner
-  streaming  intentionally empty: the reference has no streaming
 """
 
 __version__ = "0.1.0"
