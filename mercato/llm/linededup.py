@@ -46,7 +46,7 @@ from mercato.plans.session import discard, materialize
 #: Documents that a line must stand in to be dropped.
 LEAST_DOCUMENTS = 10
 #: Removable keys in one filter, and places of keys that one task tests.
-KEYS_PER_SHARD, PLACES_PER_SHARD = 1 << 20, 1 << 22
+KEYS_PER_SHARD, PLACES_PER_SHARD = 1 << 20, 1 << 18
 #: Keys with at least one in HEAVY of all places are sent to every task.
 HEAVY = 10_000
 
