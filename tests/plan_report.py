@@ -47,10 +47,10 @@ def main(argv):
     qs = E.queries()
     print("# Physical plans at scale\n")
     print("Generated by `tests/plan_report.py`. Static broadcast joins are disabled and AQE is off,")
-    print("so the plans show what Spark does when no side is small enough to broadcast; the only")
-    print("broadcast left is the weather dimension, which is broadcast after an explicit row-count")
-    print("check (`plans/joins.py`). On the cluster AQE additionally coalesces partitions, splits")
-    print("skewed join partitions and converts joins whose measured side is small.\n")
+    print("so the plans show what Spark does when no side is small enough to broadcast; nothing is")
+    print("hinted. On the cluster AQE additionally coalesces partitions, splits skewed join")
+    print("partitions and converts joins whose measured side is small, the weather's among them.")
+    print("`tests/hot_key_tasks/` shows a hot key of the customers join, plain and spread.\n")
     print("\"shuffles\" counts every exchange, including those of pre-aggregated sides. In")
     print("`orders_full`, for example, the large orders side is shuffled twice (by order key, which")
     print("the payments/items joins then reuse, and by customer_id); the other exchanges carry")
