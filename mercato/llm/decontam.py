@@ -13,7 +13,8 @@ several blocks takes one pass each, and the passes are merged by row.
 
 Defined cases: a null or wordless text has no words and no hits; an item
 without words is never found; an empty benchmark leaves every document clean;
-repeated rows are separate documents; items that share an id count once.
+repeated rows are separate documents; items that share an id count once; an item
+without an id hits like any other, but is not among the items named.
 """
 
 from __future__ import annotations
@@ -276,7 +277,7 @@ def decontaminate(
     struct ``row``."""
     items = benchmark.select(
         F.col(item_col).cast("string").alias("item_id"), F.col(item_text_col).cast("string").alias("text")
-    ).filter("item_id is not null and text is not null")
+    ).filter("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
     wanted = docs.select(
@@ -321,7 +322,7 @@ def decontaminate(
             F.flatten(F.collect_list("matches")).alias("matches"),
         )
     out = out.withColumn("n_hit", union_length("matches")).withColumn(
-        "items", F.array_sort(F.array_distinct(F.expr("transform(matches, m -> m.item_id)")))
+        "items", F.array_sort(F.array_distinct(F.expr("filter(transform(matches, m -> m.item_id), i -> i is not null)")))
     )
     out = out.withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
     return out.select("doc_id", "n_words", "matches", "n_hit", "items", "contaminated", *(["row"] if keep else []))

@@ -55,7 +55,7 @@ def _sets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, size (of the set), node (hash of the set), keys (of its bands)."""
+    """doc_id, text_hash, size (of the set), node (hash of the set), keys (of its bands)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -68,14 +68,16 @@ def signatures(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, hi - lo),
+                        batch.column(2).slice(lo, hi - lo),
                         pa.array(n.astype(np.int32)),
                         pa.array(set_ids(items, first)),
                         list_array(keys.ravel(), np.concatenate([[0], np.cumsum(some * BANDS)])),
                     ],
-                    names=["doc_id", "size", "node", "keys"],
+                    names=["doc_id", "text_hash", "size", "node", "keys"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, size int, node long, keys array<long>")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, size int, node long, keys array<long>")
 
 
 def sets_of_documents(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -93,7 +95,8 @@ def sets_of_documents(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (smallest id reachable over
-    links of at least ``least`` percent similarity), kept (is that id)."""
+    links of at least ``least`` percent similarity), kept (is that id), text_hash
+    (xxhash64 of the text, which tells rows of one id apart)."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = materialize(signatures(docs))
@@ -109,11 +112,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least_id = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
     component = merged_join(rooted, least_id, "root").select("node", "component_id")
     # rows of empty sets or without an id stand alone and stay out of the join
-    joined = merged_join(named, component, "node").select("doc_id", "size", "component_id")
-    alone = rows.filter("not (size > 0 and doc_id is not null)").select("doc_id", "size", F.col("doc_id").alias("component_id"))
+    joined = merged_join(named, component, "node").select("doc_id", "text_hash", "size", "component_id")
+    alone = rows.filter("not (size > 0 and doc_id is not null)").select("doc_id", "text_hash", "size", F.col("doc_id").alias("component_id"))
     return joined.unionByName(alone).select(
         "doc_id",
         F.col("size").cast("long").alias("n_shingles"),
         "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+        "text_hash",
     )

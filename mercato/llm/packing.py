@@ -34,7 +34,7 @@ END_ID = 2
 BLOCK_TOKENS = 4_000_000
 #: Bytes of words and ids a task remembers in each of two generations, and as
 #: much again for parts of words; only speed depends on it.
-REMEMBERED_BYTES = 64 << 20
+REMEMBERED_BYTES = 40 << 20
 #: What an entry takes beside the characters of its key and its ids.
 ENTRY_BYTES = 200
 

@@ -300,7 +300,8 @@ def dedup_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     lines = materialize(repeated_lines(parts, rows))
     pieces = repeated_pieces(parts, lines.select("doc_key", "start", "end"))
     spans = lines.withColumn("line", F.lit(True)).unionByName(pieces.withColumn("line", F.lit(False)))
-    by_doc = spans.groupBy("doc_key").agg(F.collect_list(F.struct("line", "start", "end", "first_doc")).alias("spans"))
+    # a set: rows of equal id and text give the same spans, which are held once
+    by_doc = spans.groupBy("doc_key").agg(F.collect_set(F.struct("line", "start", "end", "first_doc")).alias("spans"))
     whole = rows
     if keep:
         doc_id, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")

@@ -180,7 +180,7 @@ def op2_mincut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mercato.llm.minmax import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 @query("op10_paragraph_minhash")

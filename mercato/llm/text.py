@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import SparkSession
 
 #: Rows of an Arrow batch of texts, and what Spark has where nobody sets it.
-BATCH_ROWS, SPARKS_BATCH_ROWS = 1000, 10_000
+BATCH_ROWS, SPARKS_BATCH_ROWS = 500, 10_000
 
 
 def small_batches(spark: SparkSession) -> None:

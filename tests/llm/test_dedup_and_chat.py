@@ -314,6 +314,30 @@ def test_native_queries_run_no_python(spark, name):
 
 # pipeline
 
+def test_near_dedup_stage_tells_rows_of_one_id_apart(spark):
+    rng = random.Random(12)
+    base, other = words(rng, 80), " ".join(words(rng, 50))
+    near_base = " ".join(edited(rng, base, 1))
+    rows = [
+        (1, " ".join(base), "x", 5), (2, near_base, "x", 1), (2, other, "y", 7), (3, other, "y", 8), (4, None, "n", 0), (4, None, "n", 0),
+        (5, "", "e", 2), (5, "", "e", 1), (None, other, "z", 1), (None, other, "z", 1), (6, "only one", "b", 9), (6, "only one", "a", 9),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, text_hash int").repartition(4)
+    got = sorted(map(tuple, corpus_pipeline.near_dedup(spark, docs, "").collect()), key=str)
+    want = [rows[0], rows[2], rows[4], rows[7], rows[8], rows[9], rows[11]]
+    assert got == sorted(want, key=str)
+    assert corpus_pipeline.near_dedup(spark, docs.limit(0), "").count() == 0
+
+
+def test_many_equal_rows_hold_their_spans_once(spark):
+    rng = random.Random(3)
+    line = " ".join(words(rng, 60))
+    rows = [(1, f"{line}\nfirst {' '.join(words(rng, 30))}")] + [(None, f"{line}\nown text")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = paragraphs.dedup_paragraphs(docs).collect()
+    assert len(got) == 3001 and {(r.text, len(r.removed)) for r in got if r.doc_id is None} == {("own text", 1)}
+
+
 def test_pipeline_stage_by_stage(spark):
     docs = Q.table(spark, SF_CHECK, "documents")
     columns, before = docs.columns, docs.count()

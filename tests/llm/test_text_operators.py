@@ -265,15 +265,14 @@ def contaminated_of(text, items, window=13):
         for k in range(len(words) - n + 1):
             if n and tuple(words[k : k + n]) in windows:
                 hit.update(range(k, k + n))
-                found.add(str(item))
+                found.update([] if item is None else [str(item)])
     return len(words), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(words)
 
 
 def test_decontamination_against_brute_force(spark, edge):
-    items = [(1, "Seven, EIGHT nine"), (2, " ".join(TEXTS[7].split()[1:])), (2, "word"), (10, None), (11, "!!"), (None, "one two"), (30, "b c d e f a b c"), (31, "bé")]
+    items = [(1, "Seven, EIGHT nine"), (2, " ".join(TEXTS[7].split()[1:])), (2, "word"), (10, None), (11, "!!"), (None, "one two"), (None, "a row without"), (30, "b c d e f a b c"), (31, "bé")]
     bench = spark.createDataFrame([(*i, 5) for i in items], "item_id long, text string, n_words int")
-    known = [i for i in items if i[0] is not None]
-    want = sorted(((r.doc_id, *contaminated_of(r.text, known)) for r in edge.collect()), key=str)
+    want = sorted(((r.doc_id, *contaminated_of(r.text, items)) for r in edge.collect()), key=str)
     for block_bytes in (1 << 20, 20):
         got = decontam.decontaminate(edge, bench, block_bytes=block_bytes, keep=("doc_id", "score"))
         rows = sorted(((r.doc_id, r.n_words, r.n_hit, r["items"], r.contaminated) for r in got.collect()), key=str)
