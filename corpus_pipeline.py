@@ -8,7 +8,7 @@ order and writes every intermediate result to the shared checkpoint folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm import decontam, minmax, paragraphs, qda
@@ -28,12 +28,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each near-duplicate group (op8).
 
-    Of rows that repeat id and text one stays; rows without an id all stay.
+    Of rows that repeat id and text the least one stays, by its other columns; of
+    rows of one id and different texts those stay that are kept; rows without an id
+    all stay. Two rows of one id whose texts are near copies of each other both stay.
     """
-    kept = minmax.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    found = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn("_same", F.xxhash64("text"))
-    each = Window.partitionBy("doc_id", "_same").orderBy("_same")
-    one = found.withColumn("_k", F.row_number().over(each)).filter("_k = 1").select(*docs.columns)
+    same = ["doc_id", "_text_hash"]
+    kept = minmax.near_duplicates(docs).filter("kept and doc_id is not null").withColumnRenamed("text_hash", "_text_hash")
+    named = docs.filter("doc_id is not null").withColumn("_text_hash", F.xxhash64("text"))
+    found = named.join(kept.select(*same).distinct(), same, "left_semi")
+    one = found.groupBy(*same).agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
     return one.unionByName(docs.filter("doc_id is null"))
 
 
