@@ -8,11 +8,16 @@ It never lists all pairs of a bucket. In every round each open bucket names a
 few pivots, and a pivot is compared with the members of the bucket that are not
 yet in its component; then it leaves the bucket, having met all of it. A bucket
 is open while its members lie in two components. Pivots are the members with the
-most links so far, and their number per bucket grows fourfold every round, so a
-bucket closes after about log4(size) rounds whatever its members look like: no bucket
-is capped. The first round uses FIRST_BANDS bands only. It joins most of a group
-of copies, so the further bands find little left to compare, and such a group
-costs a few comparisons a member.
+most links so far, each of another component; the rounds name 1, 1 and MOST_PIVOTS
+of them. The first round uses FIRST_BANDS bands only. It joins most of a group of
+copies, so the further bands find little left to compare, and such a group costs a
+few comparisons a member.
+
+What is open after the rounds (variants of one text that went too far from it and
+from each other) is compared once, by what its members do not share with their
+pivot: similar sets of two components must share one of the rarer of these items
+(``_differences``), so pairs are met by those items, not by the bucket. No
+bucket is capped and no pair lost.
 
 Two bounds spare comparisons without losing a link. Items that no other open
 member has can't be shared, so a member whose other items are too few for the
@@ -34,7 +39,7 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.text import mix
@@ -184,6 +189,10 @@ def permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
 #: Bands that the first round compares by.
 FIRST_BANDS = 4
 
+#: Pivots that a bucket names in the last round; what is open then is compared by
+#: differences from its first one.
+MOST_PIVOTS = 4
+
 #: Functions of a sketch (a minimum and a maximum each), and how far under the
 #: limit its estimate may be.
 SKETCH, SLACK = 64, 0.2
@@ -252,6 +261,59 @@ def _lonely_items(live: DataFrame, sets: DataFrame) -> DataFrame:
     return once.groupBy("node").agg(F.count("*").cast("int").alias("lonely"))
 
 
+def _differences(live: DataFrame, pivots: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """p, item, node, root, out (not the pivot's root), g, left: items by which the
+    members of a bucket can be met that have met its pivot ``p``. Any two members of
+    different roots that are similar have one in common for which ``left`` of both
+    is at least g + g.
+
+    ``live`` has key, node and root, ``pivots`` one pivot ``p`` a key and its root.
+    Let s(x) be the items that only one of x and the pivot has, and g(x) their number
+    less (100 - least) / (100 + least) of the size of x. Two sets are similar exactly
+    if their s have at least (g(x) + g(y)) / 2 items in common. All that are similar to
+    the pivot have its root, so a pair of two roots has one that is not, and the bound
+    is positive. So both have a common item with at least that many of their s from it
+    on, in any one order. In the order of how many members share them, rarest first,
+    few members share such an item, however many the bucket has.
+    """
+    unlike, both = 100 - least, 100 + least
+    members = merged_join(live.select("key", "node", "root"), pivots.select("key", "p", "p_root"), "key").filter("node <> p")
+    members = members.select("p", "node", "root", (F.col("root") != F.col("p_root")).alias("out")).distinct()
+    split = members.groupBy("p").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("p")
+    members = merged_join(merged_join(members, split, "p"), sets.select("node", "items"), "node")
+    members = merged_join(members, sets.select(F.col("node").alias("p"), F.col("items").alias("p_items")), "p")
+    other = F.concat(F.array_except("items", "p_items"), F.array_except("p_items", "items"))
+    members = members.select("p", "node", "root", "out", F.size("items").alias("size"), other.alias("s"))
+    members = materialize(members.withColumn("g", both * F.size("s") - unlike * F.col("size")))
+    least_g = members.groupBy("p").agg(F.min("g").alias("any_g"), F.min(F.when(F.col("out"), F.col("g"))).alias("out_g"))
+    items = members.select("p", "node", "root", "out", "g", F.explode("s").alias("item"))
+    shared = items.groupBy("p", "item").agg(F.count("*").alias("n"), F.count_if("out").alias("n_out")).filter("n > 1 and n_out > 0")
+    items = merged_join(merged_join(items, shared, ["p", "item"]), least_g, "p")
+    order = Window.partitionBy("p", "node").orderBy(F.desc(F.col("n") * F.col("n_out")), F.desc("item"))
+    items = items.withColumn("left", 2 * both * F.row_number().over(order))  # itself and those after it
+    items = items.filter(F.col("left") >= F.col("g") + F.when(F.col("out"), F.col("any_g")).otherwise(F.col("out_g")))
+    out = materialize(items.select("p", "item", "node", "root", "out", "g", "left"))
+    discard(members)
+    return out
+
+
+def _differing_pairs(items: DataFrame, hubs: bool) -> DataFrame:
+    """Pairs (a, b, and their roots) of different roots that an item of
+    ``_differences`` brings together: with ``hubs`` of the two members next to the
+    pivot, one of its root and one of another, with all; else of all."""
+    one, columns = items, ["node", "root", "out", "g", "left"]
+    if hubs:
+        near = F.min(F.struct("g", "node", "root", "left")).alias("x")
+        one = items.groupBy("p", "item", "out").agg(near).select("p", "item", "out", "x.*")
+    one = one.select("p", "item", *[F.col(c).alias(f"x_{c}") for c in columns])
+    two = items if hubs else items.filter("out")
+    once = "(out or x_out)" if hubs else "(not x_out or x_node < node)"
+    met = merged_join(one, two, ["p", "item"]).filter(f"root <> x_root and {once} and least(`left`, x_left) >= g + x_g")
+    pair = F.when(F.col("node") < F.col("x_node"), _pair("node", "root", "x_node", "x_root")).otherwise(_pair("x_node", "x_root", "node", "root"))
+    pairs, n = counted(met.select(pair.alias("x")).select("x.*").distinct())
+    return few(pairs, n)
+
+
 def near_components(
     nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], least: int = 75
 ) -> DataFrame:
@@ -308,10 +370,23 @@ def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
             lonely = materialize(few(_lonely_items(live, sets), n_sets))
             rows = merged_join(live, lonely, "node", "left").withColumn("common", F.col("size") - F.coalesce("lonely", F.lit(0))).drop("lonely")
             continue
-        by_links = Window.partitionBy("key").orderBy(F.desc("links"), F.xxhash64("node"), "node")
-        pivots = live.withColumn("k", F.row_number().over(by_links)).filter(F.col("k") <= pivots_each)
+        if pivots_each > MOST_PIVOTS:
+            items = _differences(live, merged_join(met_all, label.toDF("p", "p_root"), "p"), sets, least)
+            stored.append(items)
+            for hubs in (True, False):
+                pairs = _differing_pairs(items, hubs)
+                found = materialize(similar_pairs(pairs, sets, least).select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b")))
+                merged = components(found)
+                old_label, label = label, materialize(few(relabelled(label, merged), n_sets))
+                items = relabelled(items, merged)
+                stored += [pairs, found, merged, old_label]
+            discard(*stored, live, lonely, degree, met_all)
+            return label
+        by_links = [F.desc("links"), F.xxhash64("node"), "node"]
+        heads = live.withColumn("k", F.row_number().over(Window.partitionBy("key", "root").orderBy(*by_links))).filter("k = 1")
+        pivots = heads.withColumn("k", F.row_number().over(Window.partitionBy("key").orderBy(*by_links))).filter(F.col("k") <= pivots_each)
         pivots = pivots.select(
-            "key", F.col("node").alias("p"), F.col("root").alias("p_root"), F.col("size").alias("p_size"), F.col("common").alias("p_common")
+            "key", F.col("node").alias("p"), F.col("root").alias("p_root"), F.col("size").alias("p_size"), F.col("common").alias("p_common"), "k"
         )
         met = merged_join(live, pivots, "key").filter(
             f"root <> p_root and 100 * least(size, p_size) >= {least} * greatest(size, p_size) "
@@ -334,6 +409,8 @@ def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
         discard(found)
         if last_bands:
             rows = merged_join(live.drop("root", "links"), pivots.select("key", F.col("p").alias("node")), ["key", "node"], "left_anti")
+            if pivots_each == MOST_PIVOTS:
+                met_all = materialize(few(pivots.filter("k = 1").select("key", "p"), size))
             pivots_each *= 4
         else:
             rows, last_bands = members.select("key", "node", "size", "common"), True

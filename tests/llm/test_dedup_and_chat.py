@@ -135,6 +135,23 @@ def test_near_duplicates_leave_only_their_result(spark):
     assert roots.count() > 0 and len(set(os.listdir(folder)) - before) == 1
 
 
+def test_a_bucket_of_far_variants_is_not_compared_pair_by_pair(spark, monkeypatch):
+    rng, seen, fresh = random.Random(5), [], iter(range(1000, 10**6))
+    sets = []
+    for _ in range(150):  # variants of one set, far from each other; some have near copies
+        gone = set(rng.sample(range(60), 6))
+        sets.append([k for k in range(60) if k not in gone] + [next(fresh) for _ in gone])
+    sets += [[next(fresh), *x[1:]] for x in sets[:20]]
+    pairs_before = near.similar_pairs
+    monkeypatch.setattr(near, "similar_pairs", lambda pairs, *more: seen.append(pairs.count()) or pairs_before(pairs, *more))
+    rows = spark.createDataFrame(list(enumerate(sets)), "node long, items array<long>")
+    nodes = rows.select("node", F.size("items").alias("size"), F.array(F.lit(1).cast("long")).alias("keys"))
+    got = {r.node: r.root for r in near.near_components(nodes, lambda wanted: rows).collect()}
+    links = [(a, b) for a in range(170) for b in range(a) if 100 * len(set(sets[a]) & set(sets[b])) >= 75 * len(set(sets[a]) | set(sets[b]))]
+    assert got == roots_of(range(170), links) and len(set(got.values())) > 50
+    assert sum(seen) < 170 * 169 / 4
+
+
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(4)
     pool = rng.integers(1, 1 << 55, 4000, dtype=np.uint64)
