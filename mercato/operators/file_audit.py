@@ -43,8 +43,11 @@ FOUND = (
 
 
 def _listed(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """path and error of the files with bytes; these are read of gzip files only."""
+    """path and error of the files with bytes; these are read of gzip files only, for
+    which the listing is narrowed by name: a filter by path comes after the read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
+    matching = F.broadcast(files.select("path").filter(F.col("path").endswith(".gz")))
+    gzips = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.gz").load(folder)
     plain = files.filter(~F.col("path").endswith(".gz")).select("path", F.lit(None).cast("string").alias("error"))
 
     def unzipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,7 +63,7 @@ def _listed(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
                     errors.append(f"unreadable: {exc}")
             yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(errors, pa.string())], names=["path", "error"])
 
-    zipped = files.filter(F.col("path").endswith(".gz")).select("path", "content").mapInArrow(unzipped, "path string, error string")
+    zipped = gzips.select("path", "content").join(matching, "path", "left_semi").mapInArrow(unzipped, "path string, error string")
     return plain.unionByName(zipped)
 
 

@@ -53,6 +53,19 @@ def test_files_of_one_header_are_one_scan(spark, tmp_path):
     assert sum(r.n_rows or 0 for r in rows if r.source) == 30
 
 
+def test_plain_files_are_not_read_whole(spark, tmp_path):
+    (tmp_path / "long.csv").write_text("a\n" + "1\n" * 500)
+    (tmp_path / "short.csv.gz").write_bytes(gzip.compress(b"a\n1\n"))
+    name = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(name, "200")  # a longer file can't be read whole
+    try:
+        rows = audit_csv_folder(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset(name)
+    assert {r.source: r.total for r in rows if r.column_name} == {"long.csv": 500.0, "short.csv.gz": 1.0, None: 501.0}
+    assert not [r for r in rows if r.error]
+
+
 def test_query_against_the_oracle(spark):
     name = "audit_csv_files"
     r = compare(spark, duck(SF_CHECK), name, E.queries()[name], E.oracle_sql()[name], SF_CHECK)
