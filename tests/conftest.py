@@ -22,6 +22,17 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(autouse=True)
+def _own_views(request):
+    """Temporary views that a test makes go with it; the session is shared."""
+    yield
+    if "spark" in request.fixturenames:
+        catalog = request.getfixturevalue("spark").catalog
+        for t in catalog.listTables():
+            if t.isTemporary:
+                catalog.dropTempView(t.name)
+
+
 def ts(s: str) -> dt.datetime:
     return dt.datetime.fromisoformat(s)
 
