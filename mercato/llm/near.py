@@ -15,7 +15,7 @@ few comparisons a member.
 
 What is open after the rounds (variants of one text that went too far from it and
 from each other) is compared once, by what its members do not share with their
-pivot: similar sets of two components must share one of the rarer of these items
+pivot, one for all buckets of like pivots (``_fewer_pivots``): similar sets of two components must share one of the rarer of these items
 (``_differences``), so pairs are met by those items, not by the bucket. No
 bucket is capped and no pair lost.
 
@@ -193,6 +193,9 @@ FIRST_BANDS = 4
 #: differences from its first one.
 MOST_PIVOTS = 4
 
+#: Percent of similarity from which one pivot stands for another there.
+LIKE = 50
+
 #: Functions of a sketch (a minimum and a maximum each), and how far under the
 #: limit its estimate may be.
 SKETCH, SLACK = 64, 0.2
@@ -261,40 +264,66 @@ def _lonely_items(live: DataFrame, sets: DataFrame) -> DataFrame:
     return once.groupBy("node").agg(F.count("*").cast("int").alias("lonely"))
 
 
-def _differences(live: DataFrame, pivots: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+def _fewer_pivots(live: DataFrame, pivots: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pivots`` (key, p) with like pivots replaced by one of them, so that a member
+    of many buckets differs from a few pivots, not from one in every bucket.
+
+    Every member votes for that of its pivots that has the most members; a pivot gives
+    way to the greatest that its members vote for, if their similarity is at least
+    LIKE percent. Members stay about as near to the new pivot as to their own.
+    """
+    members = merged_join(live.select("key", "node"), pivots, "key").select("p", "node").distinct()
+    weight = members.groupBy("p").agg(F.count("*").alias("n"))
+    ranked = merged_join(members, weight, "p")
+    votes = ranked.groupBy("node").agg(F.max(F.struct("n", "p")).alias("h"))
+    asked = merged_join(ranked, votes, "node").filter("h.p <> p").select("p", "h").distinct().select("p", "h", F.col("h.p").alias("hub"))
+    asked = merged_join(asked, sets.select(F.col("node").alias("p"), F.col("items").alias("p_items")), "p")
+    asked = merged_join(asked, sets.select(F.col("node").alias("hub"), F.col("items").alias("hub_items")), "hub")
+    shared = F.size(F.array_intersect("p_items", "hub_items"))
+    like = asked.filter(100 * shared >= LIKE * (F.size("p_items") + F.size("hub_items") - shared))
+    best = like.groupBy("p").agg(F.max("h").alias("h")).select("p", F.col("h.p").alias("hub"))
+    return merged_join(pivots, best, "p", "left").select("key", F.coalesce("hub", "p").alias("p"))
+
+
+def _differences(live: DataFrame, pivots: DataFrame, sets: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """p, item, node, root, out (not the pivot's root), g, left: items by which the
-    members of a bucket can be met that have met its pivot ``p``. Any two members of
-    different roots that are similar have one in common for which ``left`` of both
-    is at least g + g.
+    members of the buckets of a pivot ``p`` can be met. Any two members of different
+    roots that are similar, not both to the pivot, have one in common for which
+    ``left`` of both is at least g + g. And the links (a, b) of roots of members that
+    are similar to the pivot and not of its root.
 
     ``live`` has key, node and root, ``pivots`` one pivot ``p`` a key and its root.
     Let s(x) be the items that only one of x and the pivot has, and g(x) their number
     less (100 - least) / (100 + least) of the size of x. Two sets are similar exactly
     if their s have at least (g(x) + g(y)) / 2 items in common. All that are similar to
-    the pivot have its root, so a pair of two roots has one that is not, and the bound
-    is positive. So both have a common item with at least that many of their s from it
-    on, in any one order. In the order of how many members share them, rarest first,
-    few members share such an item, however many the bucket has.
+    the pivot have its root or are linked with it here, so a pair of two roots has one
+    that is not, and the bound is positive. So both have a common item with at least
+    that many of their s from it on, in any one order. In the order of how many members
+    share them, rarest first, few members share such an item, however many there are.
     """
     unlike, both = 100 - least, 100 + least
     members = merged_join(live.select("key", "node", "root"), pivots.select("key", "p", "p_root"), "key").filter("node <> p")
-    members = members.select("p", "node", "root", (F.col("root") != F.col("p_root")).alias("out")).distinct()
-    split = members.groupBy("p").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("p")
+    members = members.select("p", "p_root", "node", "root", (F.col("root") != F.col("p_root")).alias("out")).distinct()
+    roots = members.groupBy("p").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("out").alias("out"))
+    split = roots.filter("out").select("p", F.expr("lo < hi").alias("several"))
     members = merged_join(merged_join(members, split, "p"), sets.select("node", "items"), "node")
     members = merged_join(members, sets.select(F.col("node").alias("p"), F.col("items").alias("p_items")), "p")
     other = F.concat(F.array_except("items", "p_items"), F.array_except("p_items", "items"))
-    members = members.select("p", "node", "root", "out", F.size("items").alias("size"), other.alias("s"))
+    sizes = F.size("items").alias("size"), F.size("p_items").alias("p_size")
+    members = members.select("p", "p_root", "node", "root", "out", "several", *sizes, other.alias("s"))
     members = materialize(members.withColumn("g", both * F.size("s") - unlike * F.col("size")))
     least_g = members.groupBy("p").agg(F.min("g").alias("any_g"), F.min(F.when(F.col("out"), F.col("g"))).alias("out_g"))
-    items = members.select("p", "node", "root", "out", "g", F.explode("s").alias("item"))
+    items = members.filter("several").select("p", "node", "root", "out", "g", F.explode("s").alias("item"))
     shared = items.groupBy("p", "item").agg(F.count("*").alias("n"), F.count_if("out").alias("n_out")).filter("n > 1 and n_out > 0")
     items = merged_join(merged_join(items, shared, ["p", "item"]), least_g, "p")
     order = Window.partitionBy("p", "node").orderBy(F.desc(F.col("n") * F.col("n_out")), F.desc("item"))
     items = items.withColumn("left", 2 * both * F.row_number().over(order))  # itself and those after it
     items = items.filter(F.col("left") >= F.col("g") + F.when(F.col("out"), F.col("any_g")).otherwise(F.col("out_g")))
     out = materialize(items.select("p", "item", "node", "root", "out", "g", "left"))
+    close = members.filter(f"out and g <= {unlike} * p_size")
+    links = materialize(close.select(F.least("root", "p_root").alias("a"), F.greatest("root", "p_root").alias("b")).distinct())
     discard(members)
-    return out
+    return out, links
 
 
 def _differing_pairs(items: DataFrame, hubs: bool) -> DataFrame:
@@ -371,11 +400,13 @@ def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
             rows = merged_join(live, lonely, "node", "left").withColumn("common", F.col("size") - F.coalesce("lonely", F.lit(0))).drop("lonely")
             continue
         if pivots_each > MOST_PIVOTS:
-            items = _differences(live, merged_join(met_all, label.toDF("p", "p_root"), "p"), sets, least)
-            stored.append(items)
+            pivots = materialize(few(_fewer_pivots(live, met_all, sets), size))
+            items, links = _differences(live, merged_join(pivots, label.toDF("p", "p_root"), "p"), sets, least)
+            stored += [pivots, items, links]
             for hubs in (True, False):
                 pairs = _differing_pairs(items, hubs)
-                found = materialize(similar_pairs(pairs, sets, least).select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b")))
+                found = similar_pairs(pairs, sets, least).select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b"))
+                found = materialize(found.unionByName(links) if hubs else found)
                 merged = components(found)
                 old_label, label = label, materialize(few(relabelled(label, merged), n_sets))
                 items = relabelled(items, merged)

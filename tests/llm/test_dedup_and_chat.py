@@ -152,6 +152,25 @@ def test_a_bucket_of_far_variants_is_not_compared_pair_by_pair(spark, monkeypatc
     assert sum(seen) < 170 * 169 / 4
 
 
+def test_a_member_of_many_buckets_differs_from_few_pivots(spark, monkeypatch):
+    rng, met, fresh = random.Random(7), [], iter(range(1000, 10**6))
+    sets, keys = [], []
+    for k in range(120):  # variants of one set, far from each other, each in about half of 16 buckets
+        gone = set(rng.sample(range(60), 6))
+        sets.append([k for k in range(60) if k not in gone] + [next(fresh) for _ in gone])
+        keys.append([b if rng.random() < 0.5 else 100 * k + b + 1000 for b in range(16)])
+    sets += [[next(fresh), *x[1:]] for x in sets[:20]]
+    keys += [list(range(16))] * 20
+    pairs_before = near._differing_pairs
+    monkeypatch.setattr(near, "_differing_pairs", lambda items, hubs: met.append(items.select("p", "node").distinct().count()) or pairs_before(items, hubs))
+    rows = spark.createDataFrame(list(enumerate(sets)), "node long, items array<long>")
+    nodes = spark.createDataFrame([(k, len(x), y) for k, (x, y) in enumerate(zip(sets, keys))], "node long, size int, keys array<long>")
+    got = {r.node: r.root for r in near.near_components(nodes, lambda wanted: rows).collect()}
+    near_pairs = [(a, b) for a in range(140) for b in range(a) if 100 * len(set(sets[a]) & set(sets[b])) >= 75 * len(set(sets[a]) | set(sets[b]))]
+    assert got == roots_of(range(140), [(a, b) for a, b in near_pairs if set(keys[a]) & set(keys[b])]) and len(set(got.values())) > 50
+    assert met and max(met) <= 2 * 140
+
+
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(4)
     pool = rng.integers(1, 1 << 55, 4000, dtype=np.uint64)
