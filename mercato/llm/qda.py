@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercato.llm.near import merged_join
 from mercato.llm.text import SPACED, row_windows, small_batches, span_hashes, split_words, text_chunks
 
 NAMES = (
@@ -180,14 +181,19 @@ def fit(rows: DataFrame) -> Model:
 
 
 def labelled(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
-    """Statistics joined with one label per document."""
+    """Statistics joined with one label per document.
+
+    Never a broadcast join: behind one, the statistics and what reads these rows
+    (``fit``) would run in one stage, where every task holds two Python workers at
+    once, and the executor keeps the spare ones with all their memory.
+    """
     one = (
         labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
         .filter("doc_id is not null and label in (0, 1)")
         .groupBy("doc_id")
         .agg(F.floor(F.avg("label")).cast("int").alias("label"))
     )
-    return stats.filter("doc_id is not null").join(one, "doc_id").select("x", "label")
+    return merged_join(stats.filter("doc_id is not null"), one, "doc_id").select("x", "label")
 
 
 def score(stats: DataFrame, model: Model) -> DataFrame:

@@ -353,6 +353,23 @@ def test_gaussian_matches_the_formula():
     assert np.allclose(g.log_density(x), want)
 
 
+def test_quality_model_takes_one_worker_a_task(spark, docs):
+    """The statistics and the moments are two stages, however few the labels."""
+    seen, fit = [], qda.fit
+    labels = spark.createDataFrame([(r.doc_id, r.doc_id % 2) for r in docs.select("doc_id").limit(40).collect()], "doc_id long, quality int")
+    try:
+        qda.fit = lambda rows: seen.append(rows.mapInArrow(lambda batches: batches, "x array<double>, label int")) or fit(rows)
+        model = Q.quality_model(docs, labels)
+    finally:
+        qda.fit = fit
+    assert model.low is not None
+    rows = seen[0]
+    rows.count()
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    above, below = plan.index("MapInArrow"), plan.rindex("MapInArrow")
+    assert above < below and "Broadcast" not in plan and "Exchange hashpartitioning(doc_id" in plan[above:below]
+
+
 def test_quality_edges(spark, edge):
     stats = qda.with_statistics(edge)
     labels = spark.createDataFrame([(1, 0), (1, 1), (2, None), (None, 1)], "doc_id long, quality int")
