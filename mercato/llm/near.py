@@ -28,7 +28,9 @@ five standard deviations under the limit.
 Everything is joins and aggregates; hot buckets are aggregated partially and
 their joins can be split by AQE. Links, components and sets stay distributed.
 Tables used several times are stored in the shared folder and read back, and
-deleted when the next round's stand.
+deleted when the next round's stand: so no plan computes one twice, and plans stay
+short. The driver holds all stages and tasks of a running plan, and those that can
+start run at once.
 """
 
 from __future__ import annotations
@@ -272,17 +274,20 @@ def _fewer_pivots(live: DataFrame, pivots: DataFrame, sets: DataFrame) -> DataFr
     way to the greatest that its members vote for, if their similarity is at least
     LIKE percent. Members stay about as near to the new pivot as to their own.
     """
-    members = merged_join(live.select("key", "node"), pivots, "key").select("p", "node").distinct()
+    members = materialize(merged_join(live.select("key", "node"), pivots, "key").select("p", "node").distinct())
     weight = members.groupBy("p").agg(F.count("*").alias("n"))
-    ranked = merged_join(members, weight, "p")
+    ranked = materialize(merged_join(members, weight, "p"))
     votes = ranked.groupBy("node").agg(F.max(F.struct("n", "p")).alias("h"))
-    asked = merged_join(ranked, votes, "node").filter("h.p <> p").select("p", "h").distinct().select("p", "h", F.col("h.p").alias("hub"))
+    votes, n = counted(merged_join(ranked, votes, "node").filter("h.p <> p").select("p", "h").distinct())
+    asked = few(votes.select("p", "h", F.col("h.p").alias("hub")), n)
     asked = merged_join(asked, sets.select(F.col("node").alias("p"), F.col("items").alias("p_items")), "p")
     asked = merged_join(asked, sets.select(F.col("node").alias("hub"), F.col("items").alias("hub_items")), "hub")
     shared = F.size(F.array_intersect("p_items", "hub_items"))
     like = asked.filter(100 * shared >= LIKE * (F.size("p_items") + F.size("hub_items") - shared))
-    best = like.groupBy("p").agg(F.max("h").alias("h")).select("p", F.col("h.p").alias("hub"))
-    return merged_join(pivots, best, "p", "left").select("key", F.coalesce("hub", "p").alias("p"))
+    best = materialize(like.groupBy("p").agg(F.max("h").alias("h")).select("p", F.col("h.p").alias("hub")))
+    out = materialize(merged_join(pivots, best, "p", "left").select("key", F.coalesce("hub", "p").alias("p")))
+    discard(members, ranked, votes, best)
+    return out
 
 
 def _differences(live: DataFrame, pivots: DataFrame, sets: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
@@ -303,18 +308,22 @@ def _differences(live: DataFrame, pivots: DataFrame, sets: DataFrame, least: int
     """
     unlike, both = 100 - least, 100 + least
     members = merged_join(live.select("key", "node", "root"), pivots.select("key", "p", "p_root"), "key").filter("node <> p")
-    members = members.select("p", "p_root", "node", "root", (F.col("root") != F.col("p_root")).alias("out")).distinct()
+    members = members.select("p", "p_root", "node", "root", (F.col("root") != F.col("p_root")).alias("out"))
+    met = members = materialize(members.distinct())
     roots = members.groupBy("p").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("out").alias("out"))
     split = roots.filter("out").select("p", F.expr("lo < hi").alias("several"))
-    members = merged_join(merged_join(members, split, "p"), sets.select("node", "items"), "node")
+    asked = materialize(merged_join(members, split, "p"))
+    members = merged_join(asked, sets.select("node", "items"), "node")
     members = merged_join(members, sets.select(F.col("node").alias("p"), F.col("items").alias("p_items")), "p")
     other = F.concat(F.array_except("items", "p_items"), F.array_except("p_items", "items"))
     sizes = F.size("items").alias("size"), F.size("p_items").alias("p_size")
     members = members.select("p", "p_root", "node", "root", "out", "several", *sizes, other.alias("s"))
     members = materialize(members.withColumn("g", both * F.size("s") - unlike * F.col("size")))
+    discard(met, asked)
     least_g = members.groupBy("p").agg(F.min("g").alias("any_g"), F.min(F.when(F.col("out"), F.col("g"))).alias("out_g"))
     items = members.filter("several").select("p", "node", "root", "out", "g", F.explode("s").alias("item"))
     shared = items.groupBy("p", "item").agg(F.count("*").alias("n"), F.count_if("out").alias("n_out")).filter("n > 1 and n_out > 0")
+    shared, least_g = materialize(shared), materialize(least_g)
     items = merged_join(merged_join(items, shared, ["p", "item"]), least_g, "p")
     order = Window.partitionBy("p", "node").orderBy(F.desc(F.col("n") * F.col("n_out")), F.desc("item"))
     items = items.withColumn("left", 2 * both * F.row_number().over(order))  # itself and those after it
@@ -322,7 +331,7 @@ def _differences(live: DataFrame, pivots: DataFrame, sets: DataFrame, least: int
     out = materialize(items.select("p", "item", "node", "root", "out", "g", "left"))
     close = members.filter(f"out and g <= {unlike} * p_size")
     links = materialize(close.select(F.least("root", "p_root").alias("a"), F.greatest("root", "p_root").alias("b")).distinct())
-    discard(members)
+    discard(members, shared, least_g)
     return out, links
 
 
@@ -389,18 +398,22 @@ def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
     while True:
         # ``rows`` are members that were no pivots of their bucket yet
         before = live
-        live, n = counted(few(_open(rows, least) if lonely is None else _open(few(_open(rows, least), size), least), size))
+        once = _open(rows, least)
+        if lonely is not None:  # as members left, buckets may have closed
+            once = materialize(few(once, size))
+        live, n = counted(few(once if lonely is None else _open(once, least), size))
         live = few(live, n)
-        discard(before)
+        discard(before, rows, once)
         if not n and last_bands:
             discard(*stored, live, lonely, degree)
             return label
         if last_bands and lonely is None:
             lonely = materialize(few(_lonely_items(live, sets), n_sets))
             rows = merged_join(live, lonely, "node", "left").withColumn("common", F.col("size") - F.coalesce("lonely", F.lit(0))).drop("lonely")
+            rows = materialize(few(rows, size))
             continue
         if pivots_each > MOST_PIVOTS:
-            pivots = materialize(few(_fewer_pivots(live, met_all, sets), size))
+            pivots = few(_fewer_pivots(live, met_all, sets), size)
             items, links = _differences(live, merged_join(pivots, label.toDF("p", "p_root"), "p"), sets, least)
             stored += [pivots, items, links]
             for hubs in (True, False):
@@ -409,8 +422,11 @@ def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
                 found = materialize(found.unionByName(links) if hubs else found)
                 merged = components(found)
                 old_label, label = label, materialize(few(relabelled(label, merged), n_sets))
-                items = relabelled(items, merged)
                 stored += [pairs, found, merged, old_label]
+                if hubs:
+                    old_items, items = items, materialize(relabelled(items, merged))
+                    discard(old_items)
+                    stored.append(items)
             discard(*stored, live, lonely, degree, met_all)
             return label
         by_links = [F.desc("links"), F.xxhash64("node"), "node"]
@@ -419,14 +435,17 @@ def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
         pivots = pivots.select(
             "key", F.col("node").alias("p"), F.col("root").alias("p_root"), F.col("size").alias("p_size"), F.col("common").alias("p_common"), "k"
         )
+        pivots, n_pivots = counted(few(pivots, n))
+        pivots = few(pivots, n_pivots)
         met = merged_join(live, pivots, "key").filter(
             f"root <> p_root and 100 * least(size, p_size) >= {least} * greatest(size, p_size) "
             f"and {100 + least} * least(common, p_common) >= {least} * (size + p_size)"
         )
         ours, theirs = ("node", "root"), ("p", "p_root")
         pair = F.when(F.col("node") < F.col("p"), _pair(*ours, *theirs)).otherwise(_pair(*theirs, *ours))
-        pairs = met.select(pair.alias("x")).select("x.*")
-        found, n = counted(similar_pairs(few(pairs.distinct(), n * pivots_each), sets, least))
+        pairs, n = counted(few(met.select(pair.alias("x")).select("x.*").distinct(), n * pivots_each))
+        pairs = few(pairs, n)
+        found, n = counted(similar_pairs(pairs, sets, least))
         found = few(found, n)
         if n or degree is None:
             ends = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").cast("int").alias("links"))
@@ -437,7 +456,7 @@ def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
             merged = components(found.select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b")))
             label = materialize(few(relabelled(label, merged), n_sets))
             discard(old_degree, old_label, merged)
-        discard(found)
+        discard(found, pairs)
         if last_bands:
             rows = merged_join(live.drop("root", "links"), pivots.select("key", F.col("p").alias("node")), ["key", "node"], "left_anti")
             if pivots_each == MOST_PIVOTS:
@@ -446,4 +465,5 @@ def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
         else:
             rows, last_bands = members.select("key", "node", "size", "common"), True
         rows = merged_join(merged_join(rows, label, "node"), degree, "node", "left").withColumn("links", F.coalesce("links", F.lit(0)))
-        rows = rows.select("key", "node", "size", "common", "root", "links")
+        rows = materialize(few(rows.select("key", "node", "size", "common", "root", "links"), size))
+        discard(pivots)

@@ -171,6 +171,30 @@ def test_a_member_of_many_buckets_differs_from_few_pivots(spark, monkeypatch):
     assert met and max(met) <= 2 * 140
 
 
+def test_rounds_of_links_keep_plans_short(spark, monkeypatch):
+    """The driver holds all stages of a plan, many of which would run at once."""
+    rng, joins, fresh = random.Random(11), [], iter(range(1000, 10**6))
+    sets = []
+    for _ in range(60):  # variants of one set, far from each other: open after all rounds
+        gone = set(rng.sample(range(60), 6))
+        sets.append([k for k in range(60) if k not in gone] + [next(fresh) for _ in gone])
+    sets += [[next(fresh), *x[1:]] for x in sets[:10]]
+    rows = spark.createDataFrame(list(enumerate(sets)), "node long, items array<long>")
+    nodes = rows.select("node", F.size("items").alias("size"), F.array(F.lit(1).cast("long")).alias("keys"))
+    kept, differences, met = near.materialize, near._differences, []
+
+    def counting(df):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return kept(df)
+
+    monkeypatch.setattr(near, "materialize", counting)
+    monkeypatch.setattr(near, "_differences", lambda *x: met.append(1) or differences(*x))
+    got = {r.node: r.root for r in near.near_components(nodes, lambda wanted: rows).collect()}
+    links = [(a, b) for a in range(70) for b in range(a) if 100 * len(set(sets[a]) & set(sets[b])) >= 75 * len(set(sets[a]) | set(sets[b]))]
+    assert got == roots_of(range(70), links)
+    assert met and max(joins) <= 4
+
+
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(4)
     pool = rng.integers(1, 1 << 55, 4000, dtype=np.uint64)
