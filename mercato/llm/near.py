@@ -44,6 +44,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from mercato.llm.buckets import bucket_bits, by_bucket, flushes, meeting, numbers, schema, whole_buckets
 from mercato.llm.text import mix
 from mercato.plans.session import discard, materialize
 
@@ -52,9 +53,9 @@ from mercato.plans.session import discard, materialize
 FILTER_BITS = 1 << 25
 
 
-def _slots(keys: np.ndarray) -> list[np.ndarray]:
+def _slots(keys: np.ndarray, bits: int = FILTER_BITS) -> list[np.ndarray]:
     k = keys.astype(np.int64).view(np.uint64)
-    return [(mix(k ^ np.uint64(seed)) & np.uint64(FILTER_BITS - 1)).astype(np.int64) for seed in (0x51ED27, 0xA24BAED, 0x9E6C63)]
+    return [(mix(k ^ np.uint64(seed)) & np.uint64(bits - 1)).astype(np.int64) for seed in (0x51ED27, 0xA24BAED, 0x9E6C63)]
 
 
 @contextmanager
@@ -86,23 +87,28 @@ def merged_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> Da
 
 
 class KeyFilter:
-    """A Bloom filter of fixed size over a column of long keys; null never passes.
-    ``release`` frees it in the driver and the executors."""
+    """A Bloom filter of ``bits`` bits (a power of two) over a column of long keys;
+    null never passes. ``release`` frees it in the driver and the executors."""
 
-    def __init__(self, keys: DataFrame) -> None:
+    def __init__(self, keys: DataFrame, bits: int = FILTER_BITS) -> None:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                slots = np.unique(np.concatenate(_slots(batch.column(0).drop_null().to_numpy(zero_copy_only=False))))
-                words, first = np.unique(slots >> 6, return_index=True)
-                bits = np.left_shift(np.uint64(1), (slots & 63).astype(np.uint64))
-                merged = np.bitwise_or.reduceat(bits, first) if len(first) else bits
-                yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(merged.view(np.int64))], names=["word", "bits"])
-
-        parts = keys.toDF("key").mapInArrow(run, "word long, bits long")
-        table = np.zeros(FILTER_BITS >> 6, np.uint64)
-        merged = parts.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most FILTER_BITS / 64 rows
+                yield filter_words(batch.column(0).drop_null().to_numpy(zero_copy_only=False), bits)
+
+        self._fill(keys.toDF("key").mapInArrow(run, FILTER_WORDS), bits)
+
+    @classmethod
+    def of_words(cls, words: DataFrame, bits: int) -> KeyFilter:
+        """From rows of ``filter_words``."""
+        out = cls.__new__(cls)
+        out._fill(words, bits)
+        return out
+
+    def _fill(self, words: DataFrame, bits: int) -> None:
+        self.bits, table = bits, np.zeros(bits >> 6, np.uint64)
+        merged = few(words.groupBy("word").agg(F.bit_or("bits").alias("bits")), bits >> 6).toArrow()  # at most bits / 64 rows
         table[merged["word"].to_numpy()] = merged["bits"].to_numpy().view(np.uint64)
-        self.table = keys.sparkSession.sparkContext.broadcast(table)
+        self.table = words.sparkSession.sparkContext.broadcast(table)
 
     def release(self) -> None:
         self.table.destroy()
@@ -111,11 +117,45 @@ class KeyFilter:
         table = self.table.value
         ok = keys.is_valid().to_numpy(zero_copy_only=False)
         values = keys.fill_null(0).to_numpy(zero_copy_only=False)
-        for slot in _slots(values):
+        for slot in _slots(values, self.bits):
             ok = ok & ((table[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
         return ok
 
 
+FILTER_WORDS = "word long, bits long"
+
+
+def filter_words(keys: np.ndarray, bits: int) -> pa.RecordBatch:
+    """The 64-bit words of a Bloom filter that have bits of these keys."""
+    slots = np.unique(np.concatenate(_slots(keys, bits)))
+    words, first = np.unique(slots >> 6, return_index=True)
+    set_bits = np.left_shift(np.uint64(1), (slots & 63).astype(np.uint64))
+    merged = np.bitwise_or.reduceat(set_bits, first) if len(first) else set_bits
+    return pa.RecordBatch.from_arrays([pa.array(words), pa.array(merged.view(np.int64))], names=["word", "bits"])
+
+
+def repeated_filter(rows: DataFrame, values_of: Callable[[pa.RecordBatch], np.ndarray], n: int, most_bits: int = FILTER_BITS) -> KeyFilter:
+    """A filter that every 64-bit hash passes which ``values_of`` finds more than
+    once in ``rows``; ``n`` is how many it finds about. Hashes meet as blobs."""
+    bits, filter_bits = bucket_bits(n), min(1 << max(16, n.bit_length()), most_bits)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (values,) in flushes([values_of(batch)] for batch in batches):
+            hashes, times = np.unique(values, return_counts=True)
+            yield by_bucket(hashes, bits, {"hash": hashes, "twice": times > 1})
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_buckets(batches):
+            hashes, twice = numbers(table["hash"], "<u8")[0], numbers(table["twice"], "?")[0]
+            order = np.argsort(hashes)
+            hashes, twice = hashes[order], twice[order]
+            twice[1:] |= hashes[1:] == hashes[:-1]
+            yield filter_words(hashes[twice].view(np.int64), filter_bits)
+
+    met = meeting(rows.mapInArrow(dealt, schema("hash", "twice")), n)
+    return KeyFilter.of_words(met.mapInArrow(words, FILTER_WORDS), filter_bits)
+
+
 def counted(df: DataFrame, condition: str = "true") -> tuple[DataFrame, int]:
     """``df`` stored and read back, and how many of its rows fulfil the
     condition, counted in the same job."""
@@ -143,7 +183,7 @@ def _followed(parent: DataFrame, n: int) -> DataFrame:
     moved = 1
     while moved:
         before, upper = parent, parent.select(F.col("a").alias("p"), F.col("p").alias("upper"))
-        once = merged_join(parent, upper, "p").select("a", F.col("upper").alias("p"))
+        once = few(merged_join(parent, upper, "p").select("a", F.col("upper").alias("p")), n)
         upper = once.select(F.col("a").alias("p"), F.col("p").alias("upper"))
         twice = merged_join(once, upper, "p").select("a", F.col("upper").alias("p"), (F.col("upper") < F.col("p")).alias("moved"))
         seen = Observation()
@@ -225,9 +265,10 @@ def with_sketch(sets: DataFrame) -> DataFrame:
     return sets.select("node", "items").filter(F.size("items") > 0).mapInArrow(run, "node long, items array<long>, sketch binary")
 
 
-def similar_pairs(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """The pairs (a, b, and the roots of both) whose sets have
+def similar_pairs(pairs: DataFrame, sets: DataFrame, least: int, n: int = 1 << 40) -> DataFrame:
+    """The pairs (a, b, and the roots of both; ``n`` of them) whose sets have
     100 * intersection >= least * union."""
+    each = 2_000
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,15 +277,18 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
                 ok = (one == two).mean(axis=1) >= least / 100 - SLACK
                 yield batch.select(["a", "b", "a_root", "b_root"]).filter(pa.array(ok))
 
-    one = sets.select(F.col("node").alias("a"), F.col("sketch").alias("a_sketch"))
-    two = sets.select(F.col("node").alias("b"), F.col("sketch").alias("b_sketch"))
-    sketched = merged_join(merged_join(pairs, one, "a"), two, "b").select("a", "b", "a_root", "b_root", "a_sketch", "b_sketch")
-    close = sketched.mapInArrow(likely, "a long, b long, a_root long, b_root long")
+    close = pairs
+    if "sketch" in sets.columns:
+        one = sets.select(F.col("node").alias("a"), F.col("sketch").alias("a_sketch"))
+        two = sets.select(F.col("node").alias("b"), F.col("sketch").alias("b_sketch"))
+        sketched = merged_join(few(merged_join(pairs, one, "a"), n, each), two, "b").select("a", "b", "a_root", "b_root", "a_sketch", "b_sketch")
+        close = few(sketched, n, each).mapInArrow(likely, "a long, b long, a_root long, b_root long")
     one = sets.select(F.col("node").alias("a"), F.col("items").alias("a_items"))
     two = sets.select(F.col("node").alias("b"), F.col("items").alias("b_items"))
     shared = F.size(F.array_intersect("a_items", "b_items"))
     union = F.size("a_items") + F.size("b_items") - shared
-    return merged_join(merged_join(close, one, "a"), two, "b").filter(100 * shared >= least * union).select("a", "b", "a_root", "b_root")
+    met = few(merged_join(few(merged_join(close, one, "a"), n, each), two, "b"), n, each)
+    return met.filter(100 * shared >= least * union).select("a", "b", "a_root", "b_root")
 
 
 def _open(rows: DataFrame, least: int) -> DataFrame:
@@ -259,11 +303,45 @@ def _pair(a: str, a_root: str, b: str, b_root: str):
     return F.struct(F.col(a).alias("a"), F.col(b).alias("b"), F.col(a_root).alias("a_root"), F.col(b_root).alias("b_root"))
 
 
-def _lonely_items(live: DataFrame, sets: DataFrame) -> DataFrame:
+def _lonely_items(live: DataFrame, sets: DataFrame, n_sets: int) -> DataFrame:
     """node and the number of its items that no other open node has."""
-    items = merged_join(live.select("node").distinct(), sets, "node").select("node", F.explode("items").alias("item"))
-    once = items.groupBy("item").agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1")
-    return once.groupBy("node").agg(F.count("*").cast("int").alias("lonely"))
+    n_items = 64 * n_sets  # about
+    bits = bucket_bits(n_items)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts() -> Iterator[list[np.ndarray]]:
+            for batch in batches:
+                items = batch.column(1)
+                yield [mix(items.flatten().to_numpy().view(np.uint64)), np.repeat(batch.column(0).to_numpy(), items.value_lengths().to_numpy())]
+
+        for items, nodes in flushes(parts()):
+            items, first, times = np.unique(items, return_index=True, return_counts=True)
+            yield by_bucket(items, bits, {"item": items, "node": nodes[first], "alone": times == 1})
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts() -> Iterator[list[np.ndarray]]:
+            for table in whole_buckets(batches):
+                items, nodes, once = (numbers(table[c], t)[0] for c, t in (("item", "<u8"), ("node", "<u8"), ("alone", "?")))
+                order = np.argsort(items)
+                items, nodes, once = items[order], nodes[order], once[order]
+                same = items[1:] == items[:-1]
+                once[1:] &= ~same
+                once[:-1] &= ~same
+                yield [nodes[once]]
+
+        for (nodes,) in flushes(parts()):
+            nodes, n = np.unique(nodes, return_counts=True)
+            yield by_bucket(nodes, bits, {"node": nodes, "n": n.astype(np.int32)})
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_buckets(batches):
+            nodes, row = np.unique(numbers(table["node"], "<i8")[0], return_inverse=True)
+            n = np.bincount(row, numbers(table["n"], "<i4")[0], len(nodes)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(n)], names=["node", "lonely"])
+
+    items = merged_join(live.select("node").distinct(), sets.select("node", "items"), "node").mapInArrow(dealt, schema("item", "node", "alone"))
+    lonely = meeting(items, n_items).mapInArrow(alone, schema("node", "n"))
+    return meeting(lonely, n_items).mapInArrow(added, "node long, lonely int")
 
 
 def _fewer_pivots(live: DataFrame, pivots: DataFrame, sets: DataFrame) -> DataFrame:
@@ -335,9 +413,9 @@ def _differences(live: DataFrame, pivots: DataFrame, sets: DataFrame, least: int
     return out, links
 
 
-def _differing_pairs(items: DataFrame, hubs: bool) -> DataFrame:
-    """Pairs (a, b, and their roots) of different roots that an item of
-    ``_differences`` brings together: with ``hubs`` of the two members next to the
+def _differing_pairs(items: DataFrame, hubs: bool) -> tuple[DataFrame, int]:
+    """Pairs (a, b, and their roots), and their number, of different roots that an
+    item of ``_differences`` brings together: with ``hubs`` of the two members next to the
     pivot, one of its root and one of another, with all; else of all."""
     one, columns = items, ["node", "root", "out", "g", "left"]
     if hubs:
@@ -349,11 +427,11 @@ def _differing_pairs(items: DataFrame, hubs: bool) -> DataFrame:
     met = merged_join(one, two, ["p", "item"]).filter(f"root <> x_root and {once} and least(`left`, x_left) >= g + x_g")
     pair = F.when(F.col("node") < F.col("x_node"), _pair("node", "root", "x_node", "x_root")).otherwise(_pair("x_node", "x_root", "node", "root"))
     pairs, n = counted(met.select(pair.alias("x")).select("x.*").distinct())
-    return few(pairs, n)
+    return few(pairs, n), n
 
 
 def near_components(
-    nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], least: int = 75
+    nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], least: int = 75, sketch: bool = True
 ) -> DataFrame:
     """(node, root) of all nodes that share a bucket; the root is the smallest
     node of the component.
@@ -361,17 +439,16 @@ def near_components(
     ``nodes``: node (long), size (of its set), keys (array of long, one a band),
     one row per distinct node. ``sets_of`` gets the nodes in question (a column
     ``node``) and returns node and items (array of long, distinct) for at least
-    those.
+    those. Without ``sketch``, pairs are confirmed on the full sets only: for sets
+    that are hardly longer than a sketch.
     """
     with plain_plans(nodes.sparkSession):
-        return _near_components(nodes, sets_of, least)
+        return _near_components(nodes, sets_of, least, sketch)
 
 
-def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], least: int) -> DataFrame:
-    shared = nodes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    shared, n = counted(shared.select("key"))
-    shared = few(shared, n)
-    known = KeyFilter(shared)
+def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], least: int, sketch: bool) -> DataFrame:
+    n_keys = nodes.select(F.sum(F.size("keys"))).first()[0] or 0
+    known = repeated_filter(nodes.select("keys"), lambda batch: batch.column(0).flatten().to_numpy().view(np.uint64), n_keys)
 
     def of_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -384,13 +461,19 @@ def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
             yield flat.filter(pa.array(known.passes(flat.column(0))))
 
     maybe = nodes.select("node", F.col("size").cast("int"), "keys").mapInArrow(of_shared, "key long, node long, size int, band int")
-    members, size = counted(merged_join(maybe, shared, "key"))
-    members = few(members, size)
+    maybe, n = counted(maybe)
+    maybe = few(maybe, n)
     known.release()
-    sets, n_sets = counted(with_sketch(sets_of(members.select("node").distinct())))
+    shared = maybe.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    members, size = counted(few(merged_join(maybe, shared, "key"), n))
+    members = few(members, size)
+    discard(maybe)
+    sets = sets_of(members.select("node").distinct())
+    sets = few(sets, size, 20_000)
+    sets, n_sets = counted(with_sketch(sets) if sketch else sets.select("node", "items").filter(F.size("items") > 0))
     sets = few(sets, n_sets, 5_000)
     label = sets.select("node", F.col("node").alias("root"))
-    stored, degree, live, lonely = [shared, members, sets], None, None, None
+    stored, degree, live, lonely, open_sets = [members, sets], None, None, None, None
     members = members.withColumn("common", F.col("size"))
     rows = members.filter(F.col("band") < FIRST_BANDS).withColumn("root", F.col("node")).withColumn("links", F.lit(0))
     rows = rows.select("key", "node", "size", "common", "root", "links")
@@ -408,17 +491,23 @@ def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
             discard(*stored, live, lonely, degree)
             return label
         if last_bands and lonely is None:
-            lonely = materialize(few(_lonely_items(live, sets), n_sets))
+            lonely = materialize(_lonely_items(live, sets, n_sets))
             rows = merged_join(live, lonely, "node", "left").withColumn("common", F.col("size") - F.coalesce("lonely", F.lit(0))).drop("lonely")
             rows = materialize(few(rows, size))
             continue
+        if lonely is not None and open_sets is None:
+            # from here on members only leave, and most have
+            open_sets, n_open = counted(merged_join(sets, live.select("node").distinct(), "node", "left_semi"))
+            discard(sets)
+            sets = open_sets = few(open_sets, n_open, 5_000)
+            stored.append(sets)
         if pivots_each > MOST_PIVOTS:
             pivots = few(_fewer_pivots(live, met_all, sets), size)
             items, links = _differences(live, merged_join(pivots, label.toDF("p", "p_root"), "p"), sets, least)
             stored += [pivots, items, links]
             for hubs in (True, False):
-                pairs = _differing_pairs(items, hubs)
-                found = similar_pairs(pairs, sets, least).select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b"))
+                pairs, n = _differing_pairs(items, hubs)
+                found = similar_pairs(pairs, sets, least, n).select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b"))
                 found = materialize(found.unionByName(links) if hubs else found)
                 merged = components(found)
                 old_label, label = label, materialize(few(relabelled(label, merged), n_sets))
@@ -445,7 +534,7 @@ def _near_components(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
         pair = F.when(F.col("node") < F.col("p"), _pair(*ours, *theirs)).otherwise(_pair(*theirs, *ours))
         pairs, n = counted(few(met.select(pair.alias("x")).select("x.*").distinct(), n * pivots_each))
         pairs = few(pairs, n)
-        found, n = counted(similar_pairs(pairs, sets, least))
+        found, n = counted(similar_pairs(pairs, sets, least, n))
         found = few(found, n)
         if n or degree is None:
             ends = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").cast("int").alias("links"))

@@ -35,17 +35,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from mercato.llm.near import KeyFilter, merged_join, near_components, permutations
+from mercato.llm.buckets import blobs, bucket_bits, by_bucket, flushes, meeting, numbers, schema, whole_buckets
+from mercato.llm.near import KeyFilter, few, merged_join, near_components, permutations, repeated_filter
 from mercato.llm.text import (
+    BATCH_ROWS,
     LOWER,
     SET_ROWS,
     SPACED,
     distinct_by_row,
     list_array,
     mix,
+    row_sums,
     set_ids,
     small_batches,
     span_hashes,
@@ -59,6 +62,9 @@ from mercato.plans.session import materialize
 SHINGLE, LEAST, BANDS = 5, 75, 5
 MIN_WORDS, SPREAD = 20, 16
 
+#: Bits of the filter of repeated pieces: one a piece, but at most these (16 MB).
+MOST_FILTER_BITS = 1 << 27
+
 
 def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     """Least or greatest of every ``width`` (a power of two) neighbours."""
@@ -130,12 +136,16 @@ def _lists(values: np.ndarray, row: np.ndarray, rows: int, width: int = 1) -> pa
     return list_array(values, np.searchsorted(row, np.arange(rows + 1)) * width)
 
 
-PARTS = "doc_id long, doc_key long, p_hash array<long>, p_start array<long>, p_end array<long>, l_hash array<long>, l_size array<long>, l_start array<long>, l_end array<long>, l_keys array<long>"
+#: Two cuts next to each other lie at most SPREAD apart, so a byte holds the step
+#: from one to the next. Pieces of a row follow each other: from p_first on, each
+#: begins a step after the one before and ends SHINGLE words after the next cut.
+PARTS = "doc_id long, doc_key long, p_first long, p_hash binary, p_step binary, l_hash array<long>, l_size array<long>, l_start array<long>, l_end array<long>, l_keys array<long>"
 
 
 def paragraphs_of(docs: DataFrame) -> DataFrame:
-    """Per document its pieces (p_) and long lines (l_): hashes, word spans, and
-    for lines the set size and BANDS keys each, in one list."""
+    """Per document its pieces (p_; 8 bytes of hash and one of step each) and long
+    lines (l_): hashes, word spans, and for lines the set size and BANDS keys each,
+    in one list."""
     factors, offsets = permutations(BANDS)
     names = [c.split()[0] for c in PARTS.split(", ")]
 
@@ -145,7 +155,10 @@ def paragraphs_of(docs: DataFrame) -> DataFrame:
                 chunk, rows = Chunk(buf, offs), hi - lo
                 p_row, p_start, p_end = chunk.pieces()
                 p_hash = word_span_hashes(chunk.hashes, p_start, p_end)
-                base = chunk.first[p_row]
+                p_at = np.searchsorted(p_row, np.arange(rows + 1))
+                some = p_at[:-1] < p_at[1:]
+                p_first = np.zeros(rows, np.int64)
+                p_first[some] = p_start[p_at[:-1][some]] - chunk.first[:-1][some]
                 lines = chunk.long_lines()
                 l_hash, l_size, l_keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros((0, BANDS), np.uint64)]
                 for _, items, first in chunk.line_sets(lines):
@@ -159,9 +172,9 @@ def paragraphs_of(docs: DataFrame) -> DataFrame:
                     [
                         batch.column(0).slice(lo, rows),
                         batch.column(1).slice(lo, rows),
-                        _lists(p_hash, p_row, rows),
-                        _lists(p_start - base, p_row, rows),
-                        _lists(p_end - base, p_row, rows),
+                        pa.array(p_first),
+                        blobs(p_hash, p_at),
+                        blobs((p_end - p_start - SHINGLE).astype(np.uint8), p_at),
                         _lists(np.concatenate(l_hash), l_row, rows),
                         _lists(np.concatenate(l_size), l_row, rows),
                         _lists(chunk.line_first[lines] - l_base, l_row, rows),
@@ -192,45 +205,131 @@ def line_sets_of(docs: DataFrame, keys: DataFrame, nodes: DataFrame) -> DataFram
 
 
 def _with_first(rows: DataFrame, by: str) -> DataFrame:
-    """Rows of groups ``by`` that come after the first free one of their group,
-    with ``first_doc``, the document of that one. What goes always has an earlier
-    place that stays, so no two places can name each other."""
+    """Rows of groups ``by`` that come after the first of their group, with
+    ``first_doc``, the document of that one. What goes always has an earlier place
+    that stays, so no two places can name each other."""
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "doc_key", "start")
-    places = rows.groupBy(by).agg(F.min(F.when(F.col("free"), place)).alias("first"), F.min(place).alias("least"), F.max(place).alias("last"))
-    first = places.filter("first is not null and least < last").select(by, "first")
+    places = rows.groupBy(by).agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    first = places.filter("first < last").select(by, "first")
     later = merged_join(rows, first, by).filter(place > F.col("first"))
     return later.select("doc_key", "start", "end", F.col("first.doc_id").alias("first_doc"))
 
 
-def repeated_pieces(parts: DataFrame, gone: DataFrame) -> DataFrame:
-    """Later occurrences of pieces: doc_key, start, end, first_doc. The first one
-    is chosen among those that touch no removed line (``gone``: doc_key, start,
-    end)."""
-    hashes = parts.select(F.explode("p_hash").alias("hash"))
-    twice = materialize(hashes.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"))
-    lines = gone.groupBy("doc_key").agg(F.collect_set(F.struct("start", "end")).alias("gone"))
-    known, of_gone = KeyFilter(twice), KeyFilter(gone.select("doc_key"))
+#: Flags of a place: its document has no id; it touches a removed line; the span is
+#: a line; the document of the first place has no id.
+NO_ID, TOUCHED, LINE, NO_FIRST = 1, 2, 4, 8
+
+PLACES = schema("hash", "doc_id", "doc_key", "start", "words", "flags")
+SPANS = schema("doc_key", "start", "end", "first_doc", "flags")
+
+
+def _in_rows(row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Places in words, in one order over all rows."""
+    return (row.astype(np.int64) << 32) + at
+
+
+def pieces_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, row of the batch, start, words) of the pieces of rows of PARTS."""
+    hashes, at = numbers(batch.column("p_hash"), "<u8")
+    steps = numbers(batch.column("p_step"), "u1")[0].astype(np.int64)
+    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    past = np.cumsum(steps) - steps
+    first = batch.column("p_first").to_numpy()
+    return hashes, row, first[row] + past - past[at[row]], steps + SHINGLE
+
+
+def _places(columns: list[np.ndarray], bits: int) -> pa.RecordBatch:
+    order = np.argsort(columns[0])
+    columns = [c[order] for c in columns]
+    return by_bucket(columns[0], bits, dict(zip(("hash", "doc_id", "doc_key", "start", "words", "flags"), columns)))
+
+
+def _spans(doc_key: np.ndarray, start: np.ndarray, end: np.ndarray, first_doc: np.ndarray, flags: np.ndarray, bits: int) -> pa.RecordBatch:
+    key = doc_key.view(np.uint64)
+    order = np.argsort(key)
+    columns = {"doc_key": doc_key, "start": start.astype(np.int32), "end": end.astype(np.int32), "first_doc": first_doc, "flags": flags.astype(np.uint8)}
+    return by_bucket(key[order], bits, {k: c[order] for k, c in columns.items()})
+
+
+def _later(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """(doc_key, start, end, first_doc, flags) of the places that come after the
+    first one of their hash that touches no removed line."""
+    hashes, doc_id, doc_key, start, words, flags = (
+        numbers(table[c], t)[0] for c, t in (("hash", "<u8"), ("doc_id", "<i8"), ("doc_key", "<i8"), ("start", "<i4"), ("words", "u1"), ("flags", "u1"))
+    )
+    order = np.lexsort((start, doc_key, doc_id, flags & NO_ID, hashes))
+    hashes, doc_id, doc_key, start, words, flags = (c[order] for c in (hashes, doc_id, doc_key, start, words, flags))
+    fresh = np.ones(len(hashes), bool)  # rows of equal id and text are one document
+    fresh[1:] = (hashes[1:] != hashes[:-1]) | (doc_key[1:] != doc_key[:-1]) | (start[1:] != start[:-1])
+    hashes, doc_id, doc_key, start, words, flags = (c[fresh] for c in (hashes, doc_id, doc_key, start, words, flags))
+    at = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
+    place, n = np.arange(len(hashes)), len(hashes)
+    first = np.minimum.reduceat(np.where(flags & TOUCHED, n, place), at)
+    first = np.repeat(first, np.diff(np.append(at, n)))
+    later = place > first
+    first = first[later]
+    no_first = np.where(flags[first] & NO_ID, NO_FIRST, 0)
+    return doc_key[later], start[later], start[later] + words[later], doc_id[first], no_first
+
+
+def repeated_pieces(parts: DataFrame, gone: DataFrame, n_pieces: int) -> DataFrame:
+    """Later occurrences of pieces, as SPANS by document. The first one is chosen
+    among those that touch no removed line (``gone``: doc_key, start, end)."""
+    bits = bucket_bits(n_pieces)
+    lines = gone.groupBy("doc_key").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("gone"))
+    known = repeated_filter(parts.select("p_hash"), lambda batch: numbers(batch.column(0), "<u8")[0], n_pieces, MOST_FILTER_BITS)
+    of_gone = KeyFilter(gone.select("doc_key"))
+
+    def places(batches: Iterator[pa.RecordBatch], cut: bool) -> Iterator[list[np.ndarray]]:
+        for batch in batches:
+            if not cut:
+                batch = batch.filter(pa.array(~of_gone.passes(batch.column(1))))
+            hashes, row, start, words = pieces_of(batch)
+            ok = np.flatnonzero(known.passes(pa.array(hashes.view(np.int64))))
+            hashes, row, start, words = hashes[ok], row[ok], start[ok], words[ok]
+            ids = batch.column(0)
+            flags = np.where(ids.is_null().to_numpy(zero_copy_only=False), NO_ID, 0).astype(np.uint8)[row]
+            if cut:
+                # lines of a document lie apart, so the last that begins before a piece's end tells
+                cuts_of, inner = batch.column("gone"), batch.column("gone").flatten()
+                line_row = pc.list_parent_indices(cuts_of).to_numpy()
+                begins = np.append(_in_rows(line_row, inner.field(0).to_numpy()), np.iinfo(np.int64).max)
+                ends = np.append(_in_rows(line_row, inner.field(1).to_numpy()), 0)
+                before = np.searchsorted(begins, _in_rows(row, start + words)) - 1
+                flags[(before >= 0) & (ends[before] > _in_rows(row, start))] |= TOUCHED
+            key = batch.column(1).to_numpy()
+            yield [hashes, ids.fill_null(0).to_numpy()[row], key[row], start.astype(np.int32), words.astype(np.uint8), flags]
+
+    def dealt(cut: bool):
+        return lambda batches: (_places(columns, bits) for columns in flushes(places(batches, cut)))
+
+    def of_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(of_gone.passes(batch.column(1))))
+
+    def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in flushes(_later(table) for table in whole_buckets(batches)):
+            yield _spans(*columns, bits)
+
+    names = ["doc_id", "doc_key", "p_first", "p_hash", "p_step"]
+    rows = parts.select(*names)
+    maybe = merged_join(rows.mapInArrow(of_cut, rows.schema), lines, "doc_key", "left").select(*names, F.coalesce("gone", F.expr("array()")).alias("gone"))
+    found = maybe.mapInArrow(dealt(True), PLACES).unionByName(rows.mapInArrow(dealt(False), PLACES))
+    return meeting(found, n_pieces).mapInArrow(later, SPANS)
 
-    def occurrences(cut: bool) -> DataFrame:
-        """Those in the documents that (may) have lost lines, or in the others."""
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                batch = batch.filter(pa.array(of_gone.passes(batch.column(1)) == cut))
-                hash_list = batch.column(2)
-                ok = pa.array(known.passes(hash_list.flatten()))
-                row = pc.list_parent_indices(hash_list)
-                flat = [batch.column(i).take(row).filter(ok) for i in (0, 1)] + [batch.column(i).flatten().filter(ok) for i in (2, 3, 4)]
-                yield pa.RecordBatch.from_arrays(flat, names=["doc_id", "doc_key", "hash", "start", "end"])
+def _line_spans(lines: DataFrame, n_pieces: int) -> DataFrame:
+    """Later lines as SPANS by document."""
+    bits = bucket_bits(n_pieces)
 
-        rows = parts.select("doc_id", "doc_key", "p_hash", "p_start", "p_end")
-        return rows.mapInArrow(run, "doc_id long, doc_key long, hash long, start long, end long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                key, start, end, first = (batch.column(i) for i in range(4))
+                flags = np.where(first.is_null().to_numpy(zero_copy_only=False), LINE | NO_FIRST, LINE)
+                yield _spans(key.to_numpy(), start.to_numpy(), end.to_numpy(), first.fill_null(0).to_numpy(), flags, bits)
 
-    touched = F.expr("gone is not null and exists(gone, g -> g.start < end and start < g.end)")
-    maybe = merged_join(occurrences(True), lines, "doc_key", "left").withColumn("free", ~touched)
-    names = ["doc_id", "doc_key", "hash", "start", "end", "free"]
-    rows = maybe.select(*names).unionByName(occurrences(False).withColumn("free", F.lit(True)))
-    return _with_first(merged_join(rows, twice, "hash"), "hash")
+    return lines.select("doc_key", "start", "end", "first_doc").mapInArrow(run, SPANS)
 
 
 def repeated_lines(parts: DataFrame, docs: DataFrame, least: int = LEAST) -> DataFrame:
@@ -238,37 +337,83 @@ def repeated_lines(parts: DataFrame, docs: DataFrame, least: int = LEAST) -> Dat
     zipped = F.arrays_zip(
         F.col("l_hash").alias("node"), F.col("l_size").alias("size"), F.col("l_start").alias("start"), F.col("l_end").alias("end")
     )
-    lines = parts.select("doc_id", "doc_key", F.posexplode(zipped).alias("k", "l"), "l_keys").select(
-        "doc_id", "doc_key", "l.*", F.slice("l_keys", F.col("k") * BANDS + 1, BANDS).alias("keys")
+    lines = parts.select("doc_key", F.posexplode(zipped).alias("k", "l"), "l_keys").select(
+        "doc_key", "l.*", F.slice("l_keys", F.col("k") * BANDS + 1, BANDS).alias("keys")
     )
-    nodes = lines.groupBy("node").agg(F.min("doc_key").alias("doc_key"))
-    distinct = materialize(lines.select("node", "size", "keys").dropDuplicates(["node"]))
+    distinct = lines.groupBy("node", "size", "keys").agg(F.min("doc_key").alias("doc_key"), F.count("*").alias("n"))
+    n_lines = parts.select(F.sum(F.size("l_hash"))).first()[0] or 0
+    distinct = materialize(few(distinct, n_lines))
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        of = materialize(merged_join(wanted, nodes, "node").select("node", "doc_key"))
+        of = materialize(few(merged_join(wanted, distinct.select("node", "doc_key"), "node"), n_lines))
         return line_sets_of(docs, of.select("doc_key"), of.select("node")).dropDuplicates(["node"])
 
-    roots = near_components(distinct, sets_of, least)
-    placed = merged_join(lines.select("doc_id", "doc_key", "node", "start", "end"), roots, "node", "left")
-    return _with_first(placed.withColumn("root", F.coalesce("root", "node")).withColumn("free", F.lit(True)), "root")
+    # sets of lines are hardly longer than a sketch
+    roots = near_components(distinct.select("node", "size", "keys"), sets_of, least, sketch=False)
+    # all others are alone in their cluster
+    met = KeyFilter(distinct.filter("n > 1").select("node").unionByName(roots.select("node")))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = batch.column(2)
+            row, ok = pc.list_parent_indices(nodes), pa.array(met.passes(nodes.flatten()))
+            flat = [batch.column(i).take(row).filter(ok) for i in (0, 1)] + [batch.column(i).flatten().filter(ok) for i in (2, 3, 4)]
+            yield pa.RecordBatch.from_arrays(flat, names=["doc_id", "doc_key", "node", "start", "end"])
+
+    found = parts.select("doc_id", "doc_key", "l_hash", "l_start", "l_end")
+    found = found.mapInArrow(places, "doc_id long, doc_key long, node long, start long, end long")
+    placed = merged_join(found, roots, "node", "left")
+    return _with_first(placed.withColumn("root", F.coalesce("root", "node")), "root")
+
 
+def _runs(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans (places of ``_in_rows``) that touch or overlap joined to one."""
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    at = np.flatnonzero(np.r_[True, start[1:] > reach[:-1]][: len(start)])
+    return start[at], reach[np.append(at[1:], len(start)) - 1] if len(at) else reach
+
+
+REMOVED = "doc_key long, starts array<long>, ends array<long>, first_docs array<long>"
+
+
+def _removed(table: pa.Table, least: int) -> pa.RecordBatch:
+    """Per document what goes: lines, and runs of pieces that cover ``least`` words;
+    and the documents where it stays."""
+    doc_key, start, end, first_doc, flags = (
+        numbers(table[c], t)[0] for c, t in (("doc_key", "<i8"), ("start", "<i4"), ("end", "<i4"), ("first_doc", "<i8"), ("flags", "u1"))
+    )
+    docs, row = np.unique(doc_key, return_inverse=True)
+    start, end, line = _in_rows(row, start), _in_rows(row, end), (flags & LINE) > 0
+    run_start, run_end = _runs(start[~line], end[~line])
+    long = run_end - run_start >= least
+    run_start, run_end = _runs(np.r_[run_start[long], start[line]], np.r_[run_end[long], end[line]])
+    run_row, some = np.unique(run_start >> 32, return_inverse=True)
+    run = np.searchsorted(run_start, start, side="right") - 1
+    inside = (run >= 0) & (end <= np.append(run_end, 0)[run]) & (flags & NO_FIRST == 0)
+    pairs = np.unique(np.stack([row[inside], first_doc[inside]], 1), axis=0)
+    run_first, doc_first = np.searchsorted(some, np.arange(len(run_row) + 1)), np.searchsorted(pairs[:, 0], np.append(run_row, len(docs)))
+    words = (1 << 32) - 1
+    lists = [(run_start & words, run_first), (run_end & words, run_first), (pairs[:, 1], doc_first)]
+    columns = [pa.ListArray.from_arrays(pa.array(f.astype(np.int32)), pa.array(v.astype(np.int64))) for v, f in lists]
+    return pa.RecordBatch.from_arrays([pa.array(docs[run_row]), *columns], names=["doc_key", "starts", "ends", "first_docs"])
+
+
+def removed_spans(spans: DataFrame, n: int, least: int = MIN_WORDS) -> DataFrame:
+    """REMOVED of the documents that lose something, from SPANS (``n`` at most)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_buckets(batches):
+            out = _removed(table, least)
+            for lo in range(0, out.num_rows, BATCH_ROWS):
+                yield out.slice(lo, BATCH_ROWS)
 
-def _runs(spans: list[tuple[int, int]], least: int) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for s, e in sorted(spans):
-        if out and s <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], e)
-        else:
-            out.append([s, e])
-    return [(s, e) for s, e in out if e - s >= least]
+    return meeting(spans, n).mapInArrow(run, REMOVED)
 
 
-def cut_text(text: str, lines: list[tuple[int, int]], pieces: list[tuple[int, int]], least: int = MIN_WORDS) -> tuple[str, list[tuple[int, int]], int]:
-    """(text without the removed words, their spans, words before). A line that
-    is removed whole goes with its line break."""
-    raw = text.encode()
-    starts, ends, _ = split_words(np.frombuffer(raw, np.uint8), np.asarray([0, len(raw)]), SPACED)
-    removed = _runs(_runs(pieces, least) + lines, 1)
+def _kept(raw: bytes, starts: np.ndarray, ends: np.ndarray, removed: Iterator[tuple[int, int]]) -> bytes:
+    """The text without the words of these spans; ``starts`` and ``ends`` are the
+    bytes of its words. A line that is removed whole goes with its line break."""
     out, at = [], 0
     for s, e in removed:
         lo, hi = int(starts[s]), int(ends[e - 1])
@@ -281,7 +426,24 @@ def cut_text(text: str, lines: list[tuple[int, int]], pieces: list[tuple[int, in
         out.append(raw[at:lo])
         at = max(at, hi)
     out.append(raw[at:])
-    return b"".join(out).decode(), removed, len(starts)
+    return b"".join(out)
+
+
+def cut_texts(texts: pa.Array, removed: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The texts without the words of their spans (lists of start, end), and the
+    number of words before."""
+    new, n_words = [], [np.zeros(0, np.int64)]
+    for lo, hi, buf, offs in text_chunks(texts):
+        starts, ends, first = split_words(buf, offs, SPACED)
+        n_words.append(np.diff(first))
+        raw = buf.tobytes()
+        for i, spans in enumerate(removed.slice(lo, hi - lo).to_pylist()):
+            text, a, b = raw[offs[i] : offs[i + 1]], first[i], first[i + 1]
+            if spans:
+                text = _kept(text, starts[a:b] - offs[i], ends[a:b] - offs[i], [(s["start"], s["end"]) for s in spans])
+            new.append(text)
+    none = texts.is_null().to_pylist()
+    return pa.array([None if x else t for t, x in zip(new, none)], pa.binary()).cast(pa.string()), np.concatenate(n_words)
 
 
 def with_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -296,46 +458,42 @@ def dedup_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     docs as a struct ``row``."""
     small_batches(docs.sparkSession)
     rows = with_key(docs, id_col, text_col)
-    parts = materialize(paragraphs_of(rows))
+    seen = Observation()
+    parts = materialize(paragraphs_of(rows).observe(seen, F.sum(F.octet_length("p_step")).alias("n")))
+    n_pieces = int(seen.get["n"] or 0)
     lines = materialize(repeated_lines(parts, rows))
-    pieces = repeated_pieces(parts, lines.select("doc_key", "start", "end"))
-    spans = lines.withColumn("line", F.lit(True)).unionByName(pieces.withColumn("line", F.lit(False)))
-    # a set: rows of equal id and text give the same spans, which are held once
-    by_doc = spans.groupBy("doc_key").agg(F.collect_set(F.struct("line", "start", "end", "first_doc")).alias("spans"))
+    pieces = repeated_pieces(parts, lines.select("doc_key", "start", "end"), n_pieces)
+    by_doc = removed_spans(pieces.unionByName(_line_spans(lines, n_pieces)), n_pieces)
     whole = rows
     if keep:
         doc_id, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
         whole = docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, text).alias("doc_key"), text.alias("text"), F.struct(*keep).alias("row"))
     extra = f", row {whole.schema['row'].dataType.simpleString()}" if keep else ""
-    span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, n_words, spans_out, firsts = [], [], [], []
-            for text, found in zip(batch.column("text"), batch.column("spans")):
-                text, found = text.as_py(), found.as_py() or []
-                lines = [(f["start"], f["end"]) for f in found if f["line"]]
-                pieces = [(f["start"], f["end"]) for f in found if not f["line"]]
-                new, removed, n = cut_text(text or "", lines, pieces)
-                texts.append(None if text is None else new)
-                n_words.append(n)
-                spans_out.append([{"start": s, "end": e} for s, e in removed])
-                inside = {f["first_doc"] for f in found if any(s <= f["start"] and f["end"] <= e for s, e in removed)}
-                firsts.append(sorted(inside - {None}))
+            starts, ends = batch.column("starts"), batch.column("ends")
+            spans = pa.StructArray.from_arrays([starts.flatten(), ends.flatten()], names=["start", "end"])
+            first = np.cumsum(np.r_[0, starts.value_lengths().to_numpy(zero_copy_only=False)])
+            removed = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), spans)
+            texts, n_words = cut_texts(batch.column("text"), removed)
+            n_removed = row_sums(ends.flatten().to_numpy() - starts.flatten().to_numpy(), first)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array(texts, pa.string()),
-                    pa.array(n_words, pa.int64()),
-                    pa.array([sum(s["end"] - s["start"] for s in x) for x in spans_out], pa.int64()),
-                    pa.array(spans_out, span_type),
-                    pa.array(firsts, pa.list_(pa.int64())),
+                    texts,
+                    pa.array(n_words),
+                    pa.array(n_removed),
+                    removed,
+                    batch.column("first_docs"),
                     *([batch.column("row")] if keep else []),
                 ],
                 names=["doc_id", "text", "n_words", "n_removed", "removed", "first_docs", *(["row"] if keep else [])],
             )
 
-    return merged_join(whole, by_doc, "doc_key", "left").mapInArrow(
+    joined = merged_join(whole, by_doc, "doc_key", "left")
+    found = [F.coalesce(c, F.expr("cast(array() as array<bigint>)")).alias(c) for c in ("starts", "ends", "first_docs")]
+    return joined.select(*whole.columns, *found).mapInArrow(
         run,
         "doc_id long, text string, n_words long, n_removed long, removed array<struct<start:long,end:long>>, "
         f"first_docs array<long>{extra}",

@@ -7,11 +7,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from conftest import SF_CHECK, SF_SMALL
-from mercato.llm import chat, decontam, minmax, near, paragraphs, qda
+from mercato.llm import buckets, chat, decontam, minmax, near, paragraphs, qda
 from mercato.llm import queries as Q
 from oracle_check import compare, duck
 from pyspark.sql import functions as F
@@ -318,6 +319,67 @@ def test_repeated_passages_of_the_table_stay(spark):
             assert period < 20 and any(f" {' '.join(g[k : k + period])} " in left for k in range(period)), g
 
 
+def test_later_pieces_against_brute_force(spark, monkeypatch):
+    """Pieces meet as blobs, in few rows, and the first place is the least free one."""
+    monkeypatch.setattr(buckets, "WORK_BYTES", 1 << 10)
+    rng = random.Random(14)
+    common = [" ".join(words(rng, 60)) for _ in range(12)]
+    rows = [(rng.choice([None, *range(-5, 60)]), "\n".join(f"{' '.join(words(rng, 3))} {t}" for t in rng.sample(common, 4))) for _ in range(120)]
+    rows += [(None, f"{k} {alone}") for alone in [" ".join(words(rng, 60))] for k in ("one", "two")]
+    docs = spark.createDataFrame(rows + rows[:20], "doc_id long, text string").repartition(7)
+    parts = near.materialize(paragraphs.paragraphs_of(paragraphs.with_key(docs, "doc_id", "text")))
+    gone = {r.doc_key: [(5, 40), (64, 70)] for r in parts.collect() if r.doc_key % 3 == 0}
+    places, n_pieces = collections.defaultdict(set), 0
+    for batch in parts.toArrow().to_batches():
+        hashes, row, start, n = paragraphs.pieces_of(batch)
+        n_pieces += len(hashes)
+        for h, r, s, k in zip(hashes.tolist(), row.tolist(), start.tolist(), n.tolist()):
+            i, key = batch["doc_id"][r].as_py(), batch["doc_key"][r].as_py()
+            free = all(not (a < s + k and s < b) for a, b in gone.get(key, []))
+            places[h].add((i is None, i or 0, key, s, s + k, free))
+    want = collections.Counter()
+    for found in places.values():
+        first = min((p for p in found if p[-1]), default=None)
+        want.update((p[2], p[3], p[4], None if first[0] else first[1]) for p in found if first and p > first)
+    lost = spark.createDataFrame([(k, *x) for k, spans in gone.items() for x in spans], "doc_key long, start long, end long")
+    out = paragraphs.repeated_pieces(parts, lost, n_pieces).collect()
+    got = collections.Counter()
+    for r in out:
+        columns = [np.frombuffer(bytes(r[c]), t).tolist() for c, t in (("doc_key", "<i8"), ("start", "<i4"), ("end", "<i4"), ("first_doc", "<i8"), ("flags", "u1"))]
+        got.update((k, s, e, None if f & paragraphs.NO_FIRST else d) for k, s, e, d, f in zip(*columns))
+    assert got == want and any(k[3] is None for k in want) and len(out) < sum(want.values()) / 2
+
+
+def test_lines_are_confirmed_without_sketches(spark, monkeypatch):
+    monkeypatch.setattr(near, "with_sketch", lambda sets: pytest.fail("sets of lines are hardly longer than a sketch"))
+    rng = random.Random(15)
+    line = words(rng, 60)
+    rows = [(i, " ".join([*line[:i], "edited" if i else line[0], *line[i + 1 :]]) + f"\nown words {i}") for i in range(0, 60, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in paragraphs.dedup_paragraphs(docs).collect()}
+    assert got[0] == 0 and all(got[i] >= 60 for i in got if i)
+
+
+def test_lonely_items_against_a_count(spark):
+    rng = random.Random(16)
+    sets = {n: rng.sample(range(400), 30) for n in range(1, 41)}
+    live = [n for n in sets if n % 4]
+    rows = near.few(spark.createDataFrame(list(sets.items()), "node long, items array<long>"), 40)
+    times = collections.Counter(x for n in live for x in sets[n])
+    want = {n: k for n in live if (k := sum(times[x] == 1 for x in sets[n]))}
+    got = near._lonely_items(spark.createDataFrame([(n,) for n in live * 2], "node long"), rows, 40).collect()
+    assert {r.node: r.lonely for r in got} == want and len(got) == len(want)
+
+
+def test_buckets_over_batches_stay_whole(monkeypatch):
+    monkeypatch.setattr(buckets, "WORK_BYTES", 1)
+    order = [5, 5, 5, 2, 2, 9, 1, 1, 1, 1, 7]  # partitions of one task, each in order
+    batches = [pa.RecordBatch.from_arrays([pa.array(order[k : k + 2]), pa.array([str(i).encode() for i in range(k, min(k + 2, 11))])], names=["bucket", "x"]) for k in range(0, 11, 2)]
+    tables = [t["bucket"].to_pylist() for t in buckets.whole_buckets(iter(batches))]
+    assert sum(tables, []) == order and len(tables) > 2
+    assert sum(len(set(t)) for t in tables) == len(set(order))
+
+
 def test_paragraph_edges(spark):
     long_line = " ".join(f"k{i}" for i in range(60))
     rows = [(1, None), (2, ""), (3, " \n\n"), (4, long_line), (4, long_line), (5, long_line), (None, long_line), (6, "z " * 400), (7, "few words\nfew words")]
