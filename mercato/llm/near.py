@@ -26,7 +26,8 @@ pair goes to the full sets only if 128 sketch values agree well enough: SLACK is
 five standard deviations under the limit.
 
 Everything is joins and aggregates; hot buckets are aggregated partially and
-their joins can be split by AQE. Links, components and sets stay distributed.
+their joins can be split by AQE. Band keys and items are counted as blobs
+(``buckets``). Links, components and sets stay distributed.
 Tables used several times are stored in the shared folder and read back, and
 deleted when the next round's stand: so no plan computes one twice, and plans stay
 short. The driver holds all stages and tasks of a running plan, and those that can
